@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window as W
 
 from crawlflow.operators.sequence import with_position
-from crawlflow.session import materialize
+from crawlflow.session import materialize, spread
 
 # Fixed values of the method.
 MAX_SUBSTRING = 12
@@ -108,23 +108,29 @@ def _keyed_rows(lines: DataFrame, scope: str) -> tuple[DataFrame, list[str]]:
 def _bucket_substrings(lines: DataFrame, scope: str) -> tuple[DataFrame, list[str]]:
     """Usable buckets as one row per substring with the sizes of its pages.
 
-    A usable bucket has at most 1000 rows, which bounds every collected list.
+    A usable bucket has at most 1000 rows, which bounds every collected list. Buckets with one
+    row or with equal substrings only are left out too, as they cannot make a pair; the latter
+    show by equal minimum and maximum of the substrings' hashes.
     """
     rows, keys = _keyed_rows(lines, scope)
-    sizes = _bucket_sizes(rows, keys)
+    named = rows.withColumn("_name", F.xxhash64("substr"))
+    sizes = named.groupBy(*keys).agg(
+        F.sum("m").alias("n"), (F.min("_name") != F.max("_name")).alias("varied")
+    )
+    sizes = materialize(sizes.where(f"n > {MAX_BUCKET} or (n > 1 and varied)"), "bucket_sizes")
     # The fullest overflowing buckets leave first, through a bounded broadcast, so that no hot
     # bucket is ever sent to one task. The others are found by the semi join.
     hot = (
         sizes.where(f"n > {MAX_BUCKET}").orderBy(F.desc("n"), *keys).limit(HOT_BUCKETS).select(*keys)
     )
-    usable = sizes.where(f"n between 2 and {MAX_BUCKET}").select(*keys)
+    usable = sizes.where(f"n <= {MAX_BUCKET}").select(*keys)
     members = (
         rows.join(F.broadcast(hot), keys, "left_anti")
         .join(usable, keys, "left_semi")
         .groupBy(*keys, "substr")
         .agg(F.collect_list(F.struct("size", "m")).alias("pages"))
     )
-    return members, keys
+    return materialize(members, "bucket_members"), keys
 
 
 def _pair_count_sql(size_percent: int | None) -> str:
@@ -158,20 +164,19 @@ def likely_rules(
     passes when ``size_beta < 2 * size_alpha``. A number asks that the sizes differ by less than
     that percentage of ``size_alpha``.
 
-    The examined lines are written once, so the page table is read once. Inside a bucket the
-    join pairs substrings, not pages.
+    The examined lines, the bucket sizes and the bucket members are written once each, so the
+    page table is read once. Inside a bucket the join pairs substrings, not pages.
     """
-    lines = materialize(url_heads(size_log, scope), "url_lines")
+    lines = spread(materialize(url_heads(size_log, scope), "url_lines"), "line", "size")
     members, keys = _bucket_substrings(lines, scope)
     left = members.select(*keys, F.col("substr").alias("alpha"), F.col("pages").alias("pages_a"))
     right = members.select(*keys, F.col("substr").alias("beta"), F.col("pages").alias("pages_b"))
     return (
         left.join(right, keys)
         .where("alpha <> beta")
-        .select("alpha", "beta", F.expr(_pair_count_sql(size_percent)).alias("pairs"))
-        .where("pairs > 0")
         .groupBy("alpha", "beta")
-        .agg(F.sum("pairs").alias("support"))
+        .agg(F.sum(F.expr(_pair_count_sql(size_percent))).alias("support"))
+        .where("support > 0")
     )
 
 
@@ -217,7 +222,7 @@ def refinements(ranked: DataFrame, reading: str = "intent") -> DataFrame:
     ``kind`` is ``fwd`` when the earlier rule refines the later one, else ``bwd``. The band join
     runs as an equi-join on blocks of 50 positions; the later rule is placed in its own block
     and the one before. By intent a refinement keeps ``length(beta) - length(alpha)``, which
-    joins the key and leaves far fewer candidates.
+    joins the key and leaves far fewer candidates, as does that one beta contains the other.
     """
     growth = "length(beta) - length(alpha)" if reading == "intent" else "0"
     keyed = ranked.withColumn("_growth", F.expr(growth))
@@ -233,17 +238,17 @@ def refinements(ranked: DataFrame, reading: str = "intent") -> DataFrame:
     )
     near = (
         f"pos_j - pos_i between 1 and {WINDOW}"
-        " and (contains(alpha_j, alpha_i) or contains(alpha_i, alpha_j))"
+        " and (contains(alpha_j, alpha_i) and contains(beta_j, beta_i)"
+        " or contains(alpha_i, alpha_j) and contains(beta_i, beta_j))"
         f" and support_i - support_j <= greatest({MAX_RELATIVE_DEFICIENCY} - support_i, {MAX_ABSOLUTE_DEFICIENCY})"
     )
     forward = refines_sql("alpha_i", "beta_i", "alpha_j", "beta_j", reading)
     backward = refines_sql("alpha_j", "beta_j", "alpha_i", "beta_i", reading)
-    kind = F.when(F.expr(forward), "fwd").when(F.expr(backward), "bwd")
+    kind = F.when(F.expr(forward), "fwd").otherwise("bwd")
     return (
         first.join(second, ["_block", "_growth"])
-        .where(near)
+        .where(f"{near} and ({forward} or {backward})")
         .select("pos_i", "pos_j", kind.alias("kind"))
-        .where("kind is not null")
     )
 
 

@@ -10,7 +10,7 @@ from crawlflow import schemas
 from crawlflow.functions import html as H, text as X, url as U
 from crawlflow.operators import crawl, dust, dust_apply, politeness, redirects, robots
 from crawlflow.plans import inputs as I
-from crawlflow.session import scratch_path
+from crawlflow.session import scratch_path, spread
 from crawlflow.sources import seeds, sinks
 from crawlflow.streaming.articles import read_folder, stream_articles
 from crawlflow.streaming.throttle import stream_throttle
@@ -131,6 +131,7 @@ def html_gate(pages):
 
 @on_pages
 def out_links(pages):
+    pages = spread(pages, "page_id")
     return crawl.out_links(pages)
 
 
@@ -149,17 +150,19 @@ def quarantine(pages):
 
 @on_pages
 def article_text(pages):
+    pages = spread(pages, "page_id")
     return H.with_article(pages).select("page_id", H.article_text().alias("text"))
 
 
 @on_pages
 def article_stats(pages):
+    pages = spread(pages, "page_id")
     return H.with_article(pages).select("page_id", *H.article_statistics())
 
 
 @query
 def tokens(spark, sf_dir):
-    documents = I.table(spark, sf_dir, "documents")
+    documents = spread(I.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return documents.select(
         "doc_id", F.posexplode(X.tokens(F.col("text"))).alias("pos", "token")
     )
@@ -167,14 +170,14 @@ def tokens(spark, sf_dir):
 
 @query
 def token_stems(spark, sf_dir):
-    documents = I.table(spark, sf_dir, "documents")
+    documents = spread(I.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     stemmed = documents.select("doc_id", X.stems(X.tokens(F.col("text"))).alias("stems"))
     return stemmed.select("doc_id", F.posexplode("stems").alias("pos", "stem"))
 
 
 @on_pages
 def article_tokens(pages):
-    return crawl.article_tokens(I.crawled(pages))
+    return crawl.article_tokens(I.crawled(spread(pages, "page_id")))
 
 
 # Politeness and distribution

@@ -55,3 +55,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give a table of few files to all cores before work that is heavy per row.
+
+    For scans only. A table with a split for every core, as any large one, is left as it is.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
