@@ -7,6 +7,7 @@ from crawlflow.functions.text import STOP_WORDS
 from crawlflow.functions.url import PUBLIC_SUFFIXES
 from crawlflow.operators.dust import MAX_BUCKET, MAX_SUBSTRING, WINDOW
 from crawlflow.plans.inputs import EVENT_DELAY_MS, NOW_MS, PERIOD_MS, START_MS
+from crawlflow.plans.oracle_stems import stem_ctes
 
 NOW = f"epoch_ms({NOW_MS}::bigint)"
 DATE = f"epoch_ms(({START_MS} + page_id * {PERIOD_MS})::bigint)"
@@ -177,11 +178,27 @@ content AS (
         THEN NOT (words <= 16 AND nw <= 15 AND pw <= 4)
         ELSE NOT (words <= 40 AND nw <= 17) END AS is_content FROM beside)"""
 
-TOKENS = f"""SELECT doc_id, unnest(k) AS token, unnest(range(len(k)))::int AS pos FROM (
-    SELECT doc_id, list_filter(list_transform(
+
+
+def token_rows(source: str, key: str) -> str:
+    return f"""SELECT {key}, unnest(k) AS token, unnest(range(len(k)))::int AS pos FROM (
+    SELECT {key}, list_filter(list_transform(
         regexp_extract_all(text, '[\\p{{L}}\\p{{M}}\\p{{N}}_]+(?:[''’.][\\p{{L}}\\p{{N}}_]+)*'),
         lambda w: regexp_replace(lower(w), '[''’]s$', '')),
-        lambda w: w NOT IN ({quoted(STOP_WORDS)})) AS k FROM documents)"""
+        lambda w: w NOT IN ({quoted(STOP_WORDS)})) AS k FROM {source})"""
+
+
+ARTICLE_TOKENS = f"""WITH {ARTICLE},
+    articles AS (
+        SELECT page_id, coalesce(t, '') AS text FROM pages LEFT JOIN (
+            SELECT page_id, string_agg(text, chr(10) ORDER BY n) AS t FROM content WHERE is_content GROUP BY 1)
+        USING (page_id)),
+    toks AS ({token_rows('articles', 'page_id')}),
+    {stem_ctes('toks')},
+    lists AS (
+        SELECT page_id, list(stem ORDER BY pos) AS tokens FROM toks JOIN stems ON w = token GROUP BY 1)
+    SELECT url, {DATE} AS date, text, coalesce(tokens, []) AS tokens
+    FROM pages JOIN articles USING (page_id) LEFT JOIN lists USING (page_id)"""
 
 VISITS = f"""visits AS (
     SELECT event_id, user_id, epoch_us(ts) // 1000 AS ms,
@@ -386,7 +403,12 @@ def _queries() -> dict[str, str]:
                 CASE WHEN c > 0 THEN a::double / c ELSE 0.0::double END AS avg_block_words
                 FROM pages LEFT JOIN sums USING (page_id))
             SELECT *, words_before < 90 OR words_after < 70 OR avg_block_words < 25 AS low_quality FROM stats""",
-        "tokens": TOKENS,
+        "tokens": token_rows("documents", "doc_id"),
+        "token_stems": f"""
+            WITH toks AS ({token_rows('documents', 'doc_id')}), {stem_ctes('toks')}
+            SELECT doc_id, pos, stem FROM toks JOIN stems ON w = token""",
+        "article_tokens": ARTICLE_TOKENS,
+        "stream_article_tokens": ARTICLE_TOKENS,
         "throttle_gap": f"""
             WITH {VISITS}
             SELECT event_id, user_id, coalesce(greatest(0, {EVENT_DELAY_MS} - (ms - before)), 0)::bigint AS wait_ms
