@@ -19,7 +19,10 @@ TARGET = r"(?i)\s(?:href|src)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 SKIPPED_LINK = r"(?i)javascript:|mailto:|@"
 
 # Marks put in place of tags; control characters do not occur in page text.
-ANCHOR_OPEN, ANCHOR_CLOSE, BREAK = "\u0001", "\u0002", "\u0003"
+ANCHOR, BREAK = "\u0001", "\u0003"
+ANCHOR_TAG = r"(?i)<(/?)a(?:\s[^>]*)?>"
+ANCHOR_MARK = "\u0001/?\u0002"
+LINKED_TEXT = "\u0001\u0002([^\u0001]*)\u0001/\u0002"
 INLINE_TAG = (
     r"(?i)</?(?:strike|u|b|i|em|strong|span|sup|sub|code|tt|var|abbr|acronym|font)(?:\s[^>]*)?>"
 )
@@ -82,12 +85,15 @@ def with_out_links(df: DataFrame, html: str = "html", url: str = "url") -> DataF
     )
 
 
-def _plain(text: Column) -> Column:
-    decoded = text
+def _collapse(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, LOOSE_BLANKS, " "))
+
+
+def _decode(text: Column) -> Column:
+    """Character references as characters; ``&amp;`` last, so nothing is decoded twice."""
     for entity, char in ENTITIES:
-        decoded = F.replace(decoded, F.lit(entity), F.lit(char))
-    decoded = F.when(text.contains("&"), decoded).otherwise(text)
-    return F.trim(F.regexp_replace(decoded, LOOSE_BLANKS, " "))
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
 
 
 def _count_words(text: Column) -> Column:
@@ -98,23 +104,22 @@ def _count_words(text: Column) -> Column:
 
 
 def marked_body(html: Column) -> Column:
-    """The page body with anchors and block ends marked and every tag taken out."""
+    """The text of the page body with single blanks, anchors and block ends marked, no tags."""
     body = F.regexp_replace(F.regexp_replace(html, UNSEEN, " "), HEAD, "")
-    body = F.regexp_replace(body, r"(?i)<a(?:\s[^>]*)?>", ANCHOR_OPEN)
-    body = F.regexp_replace(body, r"(?i)</a\s*>", ANCHOR_CLOSE)
+    body = F.regexp_replace(body, ANCHOR_TAG, "\u0001$1\u0002")
     body = F.regexp_replace(body, INLINE_TAG, "")
-    return F.regexp_replace(body, "<[^>]*>", BREAK)
+    body = F.regexp_replace(body, "<[^>]*>", BREAK)
+    return _collapse(_decode(body))
 
 
 def _block_texts(raw: Column) -> Column:
     """``struct(text, anchors)`` of one marked block."""
-    anchors = F.regexp_extract_all(
-        raw, F.lit(f"{ANCHOR_OPEN}([^{ANCHOR_CLOSE}]*){ANCHOR_CLOSE}"), F.lit(1)
-    )
-    anchor_text = F.when(raw.contains(ANCHOR_OPEN), _plain(F.array_join(anchors, " ")))
+    linked = raw.contains(ANCHOR)
+    bare = F.regexp_replace(raw, ANCHOR_MARK, "")
+    anchors = F.array_join(F.regexp_extract_all(raw, F.lit(LINKED_TEXT), F.lit(1)), " ")
     return F.struct(
-        _plain(F.translate(raw, f"{ANCHOR_OPEN}{ANCHOR_CLOSE}", "")).alias("text"),
-        F.coalesce(anchor_text, F.lit("")).alias("anchors"),
+        F.when(linked, _collapse(bare)).otherwise(F.trim(raw)).alias("text"),
+        F.when(linked, _collapse(anchors)).otherwise("").alias("anchors"),
     )
 
 
