@@ -30,23 +30,22 @@ ELIMINATION_BLOCK = 20_000
 MARK = "\n"
 
 
-def url_heads(size_log: DataFrame, scope: str = "head") -> DataFrame:
-    """``(line, size, m)``: the examined part of each URL, with the number of equal rows.
+def examined(size_log: DataFrame, scope: str = "head") -> DataFrame:
+    """``(line, size)``: the examined part of each URL.
 
-    ``head`` examines the first min(length - 1, 12) characters, ``full`` the whole URL. Equal
-    rows are merged here, before anything is exploded.
+    ``head`` examines the first min(length - 1, 12) characters, ``full`` the whole URL.
     """
     line = F.col("url")
     if scope == "head":
         line = F.expr(f"substring(url, 1, least(length(url) - 1, {MAX_SUBSTRING}))")
     elif scope != "full":
         raise ValueError(f"scope must be 'head' or 'full', not {scope!r}")
-    return (
-        size_log.select(line.alias("line"), "size")
-        .where("length(line) > 0")
-        .groupBy("line", "size")
-        .agg(F.count("*").alias("m"))
-    )
+    return size_log.select(line.alias("line"), "size").where("length(line) > 0")
+
+
+def merged_lines(size_log: DataFrame, scope: str = "head") -> DataFrame:
+    """``(line, size, m)``: equal rows merged to one with their number, before any explosion."""
+    return examined(size_log, scope).groupBy("line", "size").agg(F.count("*").alias("m"))
 
 
 def explode_envelopes(lines: DataFrame) -> DataFrame:
@@ -70,10 +69,7 @@ def explode_envelopes(lines: DataFrame) -> DataFrame:
 
 def envelopes(size_log: DataFrame, scope: str = "head") -> DataFrame:
     """``(prefix, suffix, substr, size)``, one row per substring occurrence of every URL."""
-    rows = explode_envelopes(url_heads(size_log, scope))
-    return rows.select(
-        "prefix", "suffix", "substr", "size", F.explode(F.expr("sequence(1L, m)")).alias("_copy")
-    ).drop("_copy")
+    return explode_envelopes(examined(size_log, scope))
 
 
 def _bucket_sizes(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -82,7 +78,7 @@ def _bucket_sizes(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 def buckets(size_log: DataFrame, scope: str = "head") -> DataFrame:
     """Buckets that may yield rules: more than one and at most 1000 rows."""
-    rows = explode_envelopes(url_heads(size_log, scope))
+    rows = explode_envelopes(merged_lines(size_log, scope))
     return _bucket_sizes(rows, ["prefix", "suffix"]).where(f"n between 2 and {MAX_BUCKET}")
 
 
@@ -167,7 +163,7 @@ def likely_rules(
     The examined lines, the bucket sizes and the bucket members are written once each, so the
     page table is read once. Inside a bucket the join pairs substrings, not pages.
     """
-    lines = spread(materialize(url_heads(size_log, scope), "url_lines"), "line", "size")
+    lines = spread(materialize(merged_lines(size_log, scope), "url_lines"), "line", "size")
     members, keys = _bucket_substrings(lines, scope)
     left = members.select(*keys, F.col("substr").alias("alpha"), F.col("pages").alias("pages_a"))
     right = members.select(*keys, F.col("substr").alias("beta"), F.col("pages").alias("pages_b"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
-from crawlflow.operators.sequence import BLOCK, with_position
+from crawlflow.operators.sequence import with_position
 
 # Delay between two visits of a domain, what counts as recent, and when a domain
 # is over-represented (percent), and the number of workers.
@@ -18,8 +18,9 @@ RECENT = 100
 OVERLOAD_PERCENT = 15
 WORKERS = 4
 
-#: Span of time that one window group covers.
+#: Span of time, and of positions, that one window group covers.
 CHUNK_MS = 3_600_000
+BLOCK = 65_536
 
 
 def epoch_ms(df: DataFrame, name: str) -> Column:
@@ -36,6 +37,13 @@ def _chunks(visits: DataFrame, domain: str, ts: str, row_id: str, chunk_ms: int)
     ).withColumn("_chunk", F.expr(f"_ms div {chunk_ms}"))
 
 
+def _with_summary(rows: DataFrame, summary: DataFrame, *keys: str) -> DataFrame:
+    """Rows with the summary of their chunk; rows without a domain or time keep theirs as well."""
+    renamed = summary.withColumnsRenamed({k: f"{k}_of" for k in keys})
+    same = [rows[k].eqNullSafe(renamed[f"{k}_of"]) for k in keys]
+    return rows.join(renamed, same).drop(*[f"{k}_of" for k in keys])
+
+
 def throttle_gap(
     visits: DataFrame,
     domain: str,
@@ -55,9 +63,9 @@ def throttle_gap(
     )
     last = F.coalesce("_before", "_carried")
     wait = F.greatest(F.lit(0), delay_ms - (F.col("_ms") - last))
+    local = rows.withColumn("_before", F.lag("_ms").over(inside))
     return (
-        rows.withColumn("_before", F.lag("_ms").over(inside))
-        .join(carried, [domain, "_chunk"])
+        _with_summary(local, carried, domain, "_chunk")
         .select(row_id, domain, F.coalesce(wait, F.lit(0)).cast("long").alias("wait_ms"))
     )
 
@@ -98,9 +106,9 @@ def throttle_plan(
         )
     running = F.max("_slack").over(inside.rowsBetween(W.unboundedPreceding, 0))
     slack = F.greatest(F.col("_running") - F.col("_offset"), F.col("_carried"))
+    chunks = summary.select(domain, "_chunk", "_offset", "_carried")
     return (
-        ranked.withColumn("_running", running)
-        .join(summary.select(domain, "_chunk", "_offset", "_carried"), [domain, "_chunk"])
+        _with_summary(ranked.withColumn("_running", running), chunks, domain, "_chunk")
         .select(
             row_id,
             domain,
@@ -165,9 +173,9 @@ def spread_workers(offered: DataFrame, workers: int = WORKERS, block: int = BLOC
         )
     )
     inside = W.partitionBy("domain", "_block").orderBy("idx")
+    local = rows.withColumn("_inside", F.row_number().over(inside))
     turns = (
-        rows.withColumn("_inside", F.row_number().over(inside))
-        .join(offsets, ["domain", "_block"])
+        _with_summary(local, offsets, "domain", "_block")
         .select("url", "domain", (F.col("_offset") + F.col("_inside")).alias("turn"))
     )
     placed = with_position(turns, "turn", "domain")

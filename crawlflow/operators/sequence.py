@@ -6,34 +6,8 @@ from pyspark.sql import DataFrame, functions as F, Window as W
 
 from crawlflow.session import materialize
 
-#: ids that share one numbering block; bounds the rows of a window group.
-BLOCK = 65_536
-
-
-def with_sequence(df: DataFrame, id_col: str, name: str = "idx", block: int = BLOCK) -> DataFrame:
-    """Add the 1-based rank of a unique integer id.
-
-    Ids are cut into blocks of ``block`` values. Each block is numbered on its own and shifted
-    by the row count of the blocks before it, so only one row per block meets in one task.
-    """
-    blocked = df.withColumn("_block", F.expr(f"{id_col} div {block}"))
-    before = W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        blocked.groupBy("_block")
-        .agg(F.count("*").alias("_n"))
-        .select("_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = F.row_number().over(W.partitionBy("_block").orderBy(id_col))
-    return (
-        blocked.withColumn("_inside", inside)
-        .join(offsets, "_block")
-        .withColumn(name, F.col("_offset") + F.col("_inside"))
-        .drop("_block", "_inside", "_offset")
-    )
-
-
-def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
-    """Add the 0-based position of each row in the total order ``order`` (a unique key).
+def with_position(df: DataFrame, *order: str, name: str = "pos", first: int = 0) -> DataFrame:
+    """Add the position, from ``first`` on, of each row in the total order ``order`` (a unique key).
 
     The rows are range-sorted and written once; the offset of a sorted partition is the row
     count of those before it. Only one row per shuffle partition is broadcast.
@@ -55,5 +29,5 @@ def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
         .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
     return stored.join(F.broadcast(offsets), "_part").select(
-        *df.columns, (F.col("_offset") + F.col("_row")).alias(name)
+        *df.columns, (F.col("_offset") + F.col("_row") + first).alias(name)
     )

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crawlflow.functions import url as U
+from crawlflow.operators.sequence import with_position
 
 START_MS = 1_704_067_200_000  # 2024-01-01
 PERIOD_MS = 500
@@ -142,9 +143,7 @@ def fetch_log(pages: DataFrame) -> DataFrame:
 
 def offered(pages: DataFrame) -> DataFrame:
     """``(idx, url, domain)``: URLs in arrival order with their form-A domain."""
-    from crawlflow.operators.sequence import with_sequence
-
-    numbered = with_sequence(pages.select("page_id", "url"), "page_id")
+    numbered = with_position(pages.select("page_id", "url"), "page_id", name="idx", first=1)
     return numbered.select("idx", "url", U.domain_www(F.col("url")).alias("domain"))
 
 

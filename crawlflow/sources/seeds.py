@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crawlflow import schemas
-from crawlflow.operators.sequence import with_sequence
+from crawlflow.operators.sequence import with_position
 
 #: Time between two fed URLs.
 FEED_PERIOD_MS = 500
@@ -29,15 +29,14 @@ def feed(
 ) -> DataFrame:
     """``(seq, url, date)``: the seed list, cycled ``rounds`` times, one URL per period.
 
-    ``seq`` counts over all rounds. Each seed makes its own rows, so nothing but the numbering
-    is shuffled. The number of seeds comes from a scalar subquery.
+    ``seq`` counts over all rounds. The number of seeds comes from a scalar subquery.
     """
-    numbered = with_sequence(seeds.select(id_col, "url"), id_col)
-    total = seeds.agg(F.count("*").alias("n"))
+    numbered = with_position(seeds.select(id_col, "url"), id_col)
+    total = numbered.agg(F.count("*").alias("n"))
     return (
         numbered.withColumn("_total", total.scalar())
         .withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
-        .select(F.expr("_round * _total + idx - 1").alias("seq"), "url")
+        .select(F.expr("_round * _total + pos").alias("seq"), "url")
         .withColumn("date", F.expr(f"timestamp_millis({start_ms} + seq * {period_ms})"))
     )
 

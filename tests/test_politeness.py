@@ -4,7 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from crawlflow.operators import politeness as P
-from crawlflow.operators.sequence import with_position, with_sequence
+from crawlflow.operators.sequence import with_position
 
 
 def visits(spark, rows):
@@ -82,12 +82,17 @@ def test_spread(spark):
         last[worker[f"u{i + 1}"]] = domains[i]
 
 
-def test_sequence_and_position(spark):
-    ids = random.Random(4).sample(range(-5_000, 100_000), 900)
+def test_rows_without_domain_stay(spark):
+    rows = [(1, None, 5), (2, "a", 5), (3, None, 6), (4, "a", None)]
+    frame = visits(spark, rows)
+    assert P.throttle_plan(frame, "domain", "ts", "id").count() == 4
+    assert P.throttle_gap(frame, "domain", "ts", "id").count() == 4
+
+
+def test_position(spark):
+    ids = random.Random(4).sample(range(-5_000, 2**60), 900)
     frame = spark.createDataFrame([(i, str(i)) for i in ids], "id long, name string").repartition(5)
-    want = {i: n for n, i in enumerate(sorted(ids), 1)}
-    for block in (100, 65_536):
-        got = with_sequence(frame, "id", block=block).collect()
-        assert {r.id: r.idx for r in got} == want
     placed = with_position(frame, "name").collect()
     assert {r.name: r.pos for r in placed} == {n: i for i, n in enumerate(sorted(map(str, ids)))}
+    placed = with_position(frame, "id", name="idx", first=1).collect()
+    assert {r.id: r.idx for r in placed} == {n: i for i, n in enumerate(sorted(ids), 1)}
