@@ -20,6 +20,19 @@ def reject(urls: DataFrame, url: str = "url") -> DataFrame:
     return urls.where(~U.is_rejected(F.col(url)))
 
 
+def admit(urls: DataFrame, url: str = "url") -> DataFrame:
+    """Canonical URLs, without the invalid and the rejected ones.
+
+    Done inside an array that is then exploded, so a URL is canonicalized once; a filter on a
+    computed column would compute it again for each condition.
+    """
+    kept = F.filter(
+        U.canonical_urls(F.array(url)), lambda u: u.isNotNull() & ~U.is_rejected(u)
+    )
+    others = [c for c in urls.columns if c != url]
+    return urls.select(*others, F.explode(kept).alias(url)).select(*urls.columns)
+
+
 def _has_content() -> Column:
     return F.col("html").isNotNull() & (F.col("html") != "") & H.is_html(F.col("html"))
 
@@ -58,8 +71,13 @@ def route(fetch_log: DataFrame, now: Column) -> DataFrame:
 
 
 def out_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """``(key, link)``: the distinct canonical links of each page."""
-    return H.with_out_links(pages).select(key, F.explode("links").alias("link"))
+    """``(key, link)``: the distinct canonical links of each page.
+
+    What is exploded is an expression, not the bare column: for a column, Spark adds a filter on
+    its size that would extract the links a second time.
+    """
+    links = F.filter("links", lambda link: link.isNotNull())
+    return H.with_out_links(pages).select(key, F.explode(links).alias("link"))
 
 
 def frontier(
@@ -96,8 +114,7 @@ def frontier(
         )
     ).select("url", now.alias("date"), "origin", "attempt")
     seeded = seeds.select("url", "date", F.lit("seed").alias("origin"), first.alias("attempt"))
-    whole = canonicalize(seeded.unionByName(fed_back))
-    return reject(whole.where("url is not null"))
+    return admit(seeded.unionByName(fed_back))
 
 
 def quarantine(fetch_log: DataFrame, max_attempts: int | None = None) -> DataFrame:

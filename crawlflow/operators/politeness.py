@@ -37,13 +37,6 @@ def _chunks(visits: DataFrame, domain: str, ts: str, row_id: str, chunk_ms: int)
     ).withColumn("_chunk", F.expr(f"_ms div {chunk_ms}"))
 
 
-def _with_summary(rows: DataFrame, summary: DataFrame, *keys: str) -> DataFrame:
-    """Rows with the summary of their chunk; rows without a domain or time keep theirs as well."""
-    renamed = summary.withColumnsRenamed({k: f"{k}_of" for k in keys})
-    same = [rows[k].eqNullSafe(renamed[f"{k}_of"]) for k in keys]
-    return rows.join(renamed, same).drop(*[f"{k}_of" for k in keys])
-
-
 def throttle_gap(
     visits: DataFrame,
     domain: str,
@@ -52,7 +45,10 @@ def throttle_gap(
     delay_ms: int = DOMAIN_DELAY_MS,
     chunk_ms: int = CHUNK_MS,
 ) -> DataFrame:
-    """``(row_id, domain, wait_ms)``: how long a visit waits for its domain's last one."""
+    """``(row_id, domain, wait_ms)``: how long a visit waits for its domain's last one.
+
+    A visit without a domain does not wait.
+    """
     rows = _chunks(visits, domain, ts, row_id, chunk_ms)
     inside = W.partitionBy(domain, "_chunk").orderBy("_ms", row_id)
     between = W.partitionBy(domain).orderBy("_chunk")
@@ -62,10 +58,12 @@ def throttle_gap(
         .select(domain, "_chunk", F.lag("_last").over(between).alias("_carried"))
     )
     last = F.coalesce("_before", "_carried")
-    wait = F.greatest(F.lit(0), delay_ms - (F.col("_ms") - last))
+    wait = F.when(
+        F.col(domain).isNotNull(), F.greatest(F.lit(0), delay_ms - (F.col("_ms") - last))
+    )
     local = rows.withColumn("_before", F.lag("_ms").over(inside))
     return (
-        _with_summary(local, carried, domain, "_chunk")
+        local.join(carried, [domain, "_chunk"], "left")
         .select(row_id, domain, F.coalesce(wait, F.lit(0)).cast("long").alias("wait_ms"))
     )
 
@@ -107,14 +105,13 @@ def throttle_plan(
     running = F.max("_slack").over(inside.rowsBetween(W.unboundedPreceding, 0))
     slack = F.greatest(F.col("_running") - F.col("_offset"), F.col("_carried"))
     chunks = summary.select(domain, "_chunk", "_offset", "_carried")
+    planned = F.col("_k") * F.lit(delay_ms).cast("long") + F.col("_offset") + slack
+    free = F.col(domain).isNull()
     return (
-        _with_summary(ranked.withColumn("_running", running), chunks, domain, "_chunk")
+        ranked.withColumn("_running", running)
+        .join(chunks, [domain, "_chunk"], "left")
         .select(
-            row_id,
-            domain,
-            (F.col("_k") * F.lit(delay_ms).cast("long") + F.col("_offset") + slack).alias(
-                "release_ms"
-            ),
+            row_id, domain, F.when(free, F.col("_ms")).otherwise(planned).alias("release_ms")
         )
     )
 
@@ -161,7 +158,8 @@ def spread_workers(offered: DataFrame, workers: int = WORKERS, block: int = BLOC
     that order, modulo the number of workers, is the worker. A domain's rank is counted per block
     of positions and shifted by the counts of earlier blocks.
     """
-    rows = offered.select("idx", "url", "domain").withColumn(
+    named = F.coalesce("domain", F.lit("")).alias("domain")
+    rows = offered.select("idx", "url", named).withColumn(
         "_block", F.expr(f"(idx - 1) div {block}")
     )
     earlier = W.partitionBy("domain").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
@@ -175,7 +173,7 @@ def spread_workers(offered: DataFrame, workers: int = WORKERS, block: int = BLOC
     inside = W.partitionBy("domain", "_block").orderBy("idx")
     local = rows.withColumn("_inside", F.row_number().over(inside))
     turns = (
-        _with_summary(local, offsets, "domain", "_block")
+        local.join(offsets, ["domain", "_block"])
         .select("url", "domain", (F.col("_offset") + F.col("_inside")).alias("turn"))
     )
     placed = with_position(turns, "turn", "domain")

@@ -85,8 +85,10 @@ def test_spread(spark):
 def test_rows_without_domain_stay(spark):
     rows = [(1, None, 5), (2, "a", 5), (3, None, 6), (4, "a", None)]
     frame = visits(spark, rows)
-    assert P.throttle_plan(frame, "domain", "ts", "id").count() == 4
-    assert P.throttle_gap(frame, "domain", "ts", "id").count() == 4
+    plan = P.throttle_plan(frame, "domain", "ts", "id").collect()
+    assert {r.id: r.release_ms for r in plan} == {1: 5, 2: 5, 3: 6, 4: None}
+    waits = P.throttle_gap(frame, "domain", "ts", "id").collect()
+    assert {r.id: r.wait_ms for r in waits} == {1: 0, 2: 0, 3: 0, 4: 0}
 
 
 def test_position(spark):
