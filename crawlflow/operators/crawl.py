@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlflow.functions import html as H, text as X, url as U
+from crawlflow.session import once
 
 # Status codes by what follows from them.
 MOVED = (301, 302, 303)
@@ -71,13 +72,8 @@ def route(fetch_log: DataFrame, now: Column) -> DataFrame:
 
 
 def out_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """``(key, link)``: the distinct canonical links of each page.
-
-    What is exploded is an expression, not the bare column: for a column, Spark adds a filter on
-    its size that would extract the links a second time.
-    """
-    links = F.filter("links", lambda link: link.isNotNull())
-    return H.with_out_links(pages).select(key, F.explode(links).alias("link"))
+    """``(key, link)``: the distinct canonical links of each page."""
+    return H.with_out_links(pages).select(key, F.explode(once("links")).alias("link"))
 
 
 def frontier(
@@ -131,7 +127,7 @@ def quarantine(fetch_log: DataFrame, max_attempts: int | None = None) -> DataFra
         .when(~moved & (F.col("html") == ""), "empty_page")
         .when(~moved & ~H.is_html(F.col("html")), "not_html")
     )
-    return fetch_log.select("url", reason.alias("reason")).where("reason is not null")
+    return fetch_log.select("url", F.explode(once(F.array(reason))).alias("reason"))
 
 
 def extract_text(crawled: DataFrame) -> DataFrame:

@@ -45,11 +45,11 @@ def rewrite(url: Column, rules: Column) -> Column:
 def apply_rules(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Add ``canonical_url``; URLs rewritten to the filter mark are dropped.
 
-    The rule list comes from a scalar subquery: one small value, no join.
+    The rule list comes from a scalar subquery: one small value, no join. The result is filtered
+    inside an array that is then exploded, so that it is computed once.
     """
-    return (
-        urls.withColumn("_rules", rule_list(rules).scalar())
-        .withColumn("canonical_url", rewrite(F.col(url), F.col("_rules")))
-        .drop("_rules")
-        .where(F.col("canonical_url") != FILTERED)
+    result = rewrite(F.col(url), F.col("_rules"))
+    kept = F.filter(F.array(result), lambda u: u != FILTERED)
+    return urls.withColumn("_rules", rule_list(rules).scalar()).select(
+        *urls.columns, F.explode(kept).alias("canonical_url")
     )

@@ -10,7 +10,7 @@ from crawlflow import schemas
 from crawlflow.functions import html as H, text as X, url as U
 from crawlflow.operators import crawl, dust, dust_apply, politeness, redirects, robots
 from crawlflow.plans import inputs as I
-from crawlflow.session import scratch_path, spread
+from crawlflow.session import once, scratch_path, spread
 from crawlflow.sources import seeds, sinks
 from crawlflow.streaming.articles import read_folder, stream_articles
 from crawlflow.streaming.throttle import stream_throttle
@@ -172,7 +172,7 @@ def tokens(spark, sf_dir):
 def token_stems(spark, sf_dir):
     documents = spread(I.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     stemmed = documents.select("doc_id", X.stems(X.tokens(F.col("text"))).alias("stems"))
-    return stemmed.select("doc_id", F.posexplode("stems").alias("pos", "stem"))
+    return stemmed.select("doc_id", F.posexplode(once("stems")).alias("pos", "stem"))
 
 
 @on_pages

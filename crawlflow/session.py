@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def get_session(app: str = "crawlflow", master: str | None = None, **conf: object) -> SparkSession:
@@ -64,3 +64,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df
+
+
+def once(array: str | Column) -> Column:
+    """An array without its nulls, to be exploded without being computed twice.
+
+    For a bare column Spark adds a filter on its size before the explode and pushes it down to
+    where the column is computed, which then happens for the filter and again for the rows.
+    """
+    return F.array_compact(array)
