@@ -76,18 +76,17 @@ def out_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return H.with_out_links(pages).select(key, F.explode(once("links")).alias("link"))
 
 
-def frontier(
-    seeds: DataFrame, fetch_log: DataFrame, now: Column, max_attempts: int | None = None
-) -> DataFrame:
-    """``(url, date, origin, attempt)``: seeds, moves, retries and out-links, ready to filter.
+def feedback(fetch_log: DataFrame, now: Column, max_attempts: int | None = None) -> DataFrame:
+    """``(url, date, origin, attempt)`` that fetch results send back: moves, retries, out-links.
 
-    The fetch log is read once for its three kinds of rows. URLs come out canonical and those
-    of rejected kinds are dropped. ``max_attempts`` stops retries (``quarantine`` reports them).
+    The log is read once for the three kinds. ``max_attempts`` stops retries (``quarantine``
+    reports them).
     """
     moved = F.col("status").isin(*MOVED)
     retry = F.col("status").isin(*RETRY)
     if max_attempts is not None:
         retry = retry & (F.col("attempt") < max_attempts)
+    first = F.lit(1)
 
     def rows(condition: Column, urls: Column, origin: str, attempt: Column) -> Column:
         made = F.transform(
@@ -96,21 +95,28 @@ def frontier(
                 u.alias("url"), F.lit(origin).alias("origin"), attempt.alias("attempt")
             ),
         )
-        return F.when(condition, made).otherwise(F.array().cast("array<struct<url:string,origin:string,attempt:int>>"))
+        return F.when(condition, made).otherwise(
+            F.array().cast("array<struct<url:string,origin:string,attempt:int>>")
+        )
 
-    first = F.lit(1)
     content = H.with_out_links(fetch_log.withColumn("_content", _has_content() & ~moved))
-    fed_back = content.select(
+    return content.select(
         F.inline(
             F.concat(
                 rows(moved & F.col("moved_to").isNotNull(), F.array("moved_to"), "redirect", first),
                 rows(retry, F.array("url"), "retry", (F.col("attempt") + 1).cast("int")),
-                rows(F.col("_content"), F.col("links"), "outlink", first),
+                rows(F.coalesce("_content", F.lit(False)), F.col("links"), "outlink", first),
             )
         )
     ).select("url", now.alias("date"), "origin", "attempt")
-    seeded = seeds.select("url", "date", F.lit("seed").alias("origin"), first.alias("attempt"))
-    return admit(seeded.unionByName(fed_back))
+
+
+def frontier(
+    seeds: DataFrame, fetch_log: DataFrame, now: Column, max_attempts: int | None = None
+) -> DataFrame:
+    """``(url, date, origin, attempt)``: seeds and feedback, canonical and without rejected URLs."""
+    seeded = seeds.select("url", "date", F.lit("seed").alias("origin"), F.lit(1).alias("attempt"))
+    return admit(seeded.unionByName(feedback(fetch_log, now, max_attempts)))
 
 
 def quarantine(fetch_log: DataFrame, max_attempts: int | None = None) -> DataFrame:

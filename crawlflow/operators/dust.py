@@ -134,7 +134,8 @@ def _pair_count_sql(size_percent: int | None) -> str:
 
     Both lists are put on one scale and sorted together. Walking along, ``seen`` counts the pages
     of b so far; the upper limit of a page of a adds it, the lower limit takes it off again. This
-    costs the sum of the list lengths instead of their product.
+    costs the sum of the list lengths instead of their product. Two single pages, by far the most
+    frequent case when whole URLs are examined, are compared directly.
     """
     scale, upper, lower = (1, 2, None) if size_percent is None else (100, 100 + size_percent, 100 - size_percent)
     events = [
@@ -143,12 +144,18 @@ def _pair_count_sql(size_percent: int | None) -> str:
     ]
     if lower is not None:
         events.append(f"transform(pages_a, p -> struct({lower}L * p.size as at, 2 as kind, -p.m as w))")
-    return (
+    merge = (
         f"aggregate(array_sort(concat({', '.join(events)})), struct(0L as seen, 0L as pairs), "
         "(acc, e) -> struct("
         "acc.seen + if(e.kind = 1, e.w, 0L) as seen, "
         "acc.pairs + if(e.kind = 1, 0L, e.w * acc.seen) as pairs), acc -> acc.pairs)"
     )
+    size_a, size_b = "pages_a[0].size", f"{scale}L * pages_b[0].size"
+    similar = f"{size_b} < {upper}L * {size_a}"
+    if lower is not None:
+        similar += f" and {size_b} > {lower}L * {size_a}"
+    single = f"if({similar}, pages_a[0].m * pages_b[0].m, 0L)"
+    return f"if(size(pages_a) = 1 and size(pages_b) = 1, {single}, {merge})"
 
 
 def likely_rules(

@@ -19,7 +19,7 @@ OVERLOAD_PERCENT = 15
 WORKERS = 4
 
 #: Span of time, and of positions, that one window group covers.
-CHUNK_MS = 3_600_000
+CHUNK_MS = 60_000
 BLOCK = 65_536
 
 

@@ -12,7 +12,7 @@ from crawlflow.operators import crawl, dust, dust_apply, politeness, redirects,
 from crawlflow.plans import inputs as I
 from crawlflow.session import once, scratch_path, spread
 from crawlflow.sources import seeds, sinks
-from crawlflow.streaming.articles import read_folder, stream_articles
+from crawlflow.streaming.articles import read_folder, stream_articles, stream_frontier
 from crawlflow.streaming.throttle import stream_throttle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -276,6 +276,16 @@ def stream_article_tokens(spark, sf_dir):
     return spark.read.schema(schemas.ARTICLE_TOKENS).parquet(f"{out}/rows")
 
 
+@query
+def stream_frontier_feedback(spark, sf_dir):
+    pages = read_folder(spark, sf_dir, schemas.PAGES, "pages*.parquet")
+    log = I.fetch_log(pages, I.table(spark, sf_dir, "pages"))
+    out = scratch_path(spark, "frontier")
+    run = stream_frontier(log, I.now(), f"{out}/rows", f"{out}/progress", max_attempts=3)
+    run.awaitTermination()
+    return spark.read.schema(schemas.FRONTIER).parquet(f"{out}/rows")
+
+
 @query
 def stream_throttle_plan(spark, sf_dir):
     schema = I.table(spark, sf_dir, "events").schema

@@ -111,9 +111,12 @@ def robots_files(pages: DataFrame) -> DataFrame:
     return pages.groupBy(U.host(F.col("url")).alias("host")).agg(body.alias("body"))
 
 
-def fetch_log(pages: DataFrame) -> DataFrame:
-    """``(url, date, attempt, status, moved_to, fetched_url, html)``, results of all kinds."""
-    targets = pages.select(F.col("page_id").alias("_target"), F.col("url").alias("moved_to"))
+def fetch_log(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``(url, date, attempt, status, moved_to, fetched_url, html)``, results of all kinds.
+
+    Moves lead to pages of ``known``, by default the same table.
+    """
+    targets = (pages if known is None else known).select(F.col("page_id").alias("_target"), F.col("url").alias("moved_to"))
     target = F.expr(
         """
         case when page_id % 10 in (1, 2) then page_id + 1

@@ -305,11 +305,28 @@ def rewritten() -> str:
     return text
 
 
+def frontier(seeds: str) -> str:
+    moved = "status IN (301, 302, 303)"
+    return f"""
+        WITH {FETCH_LOG},
+        content AS (SELECT *, row_number() OVER (ORDER BY date) AS n FROM fetch_log
+            WHERE NOT {moved} AND html <> '' AND {IS_HTML}),
+        {links('content', 'n')},
+        rows_ AS (
+            {seeds} SELECT moved_to AS url, {NOW} AS date, 'redirect' AS origin, 1 AS attempt
+            FROM fetch_log WHERE {moved} AND moved_to IS NOT NULL
+            UNION ALL SELECT url, {NOW}, 'retry', attempt + 1 FROM fetch_log
+            WHERE status IN (408, 502, 503) AND attempt < 3
+            UNION ALL SELECT link, {NOW}, 'outlink', 1 FROM links WHERE link IS NOT NULL)
+        SELECT url, date, origin, attempt::int AS attempt FROM (
+            SELECT {canonical('url')} AS url, date, origin, attempt FROM rows_)
+        WHERE url IS NOT NULL AND NOT {REJECTED.replace('{u}', 'url')}"""
+
+
 def _queries() -> dict[str, str]:
     moved = "status IN (301, 302, 303)"
     retry = "status IN (408, 502, 503)"
     head = likely(HEAD_ROWS, LITERAL)
-    canonical_rows = f"(SELECT {canonical('url')} AS url, date, origin, attempt FROM rows_)"
     return {
         "seed_scan": "SELECT url FROM pages",
         "seed_feed": f"""
@@ -369,18 +386,10 @@ def _queries() -> dict[str, str]:
                 SELECT * FROM chain WHERE target NOT IN (SELECT url FROM moves)) e USING (url)""",
         "html_gate": f"WITH {FETCH_LOG} SELECT url FROM fetch_log WHERE html <> '' AND {IS_HTML}",
         "out_links": f"WITH {links('pages', 'page_id')} SELECT page_id, link FROM links WHERE link IS NOT NULL",
-        "frontier": f"""
-            WITH {FETCH_LOG},
-            content AS (SELECT *, row_number() OVER (ORDER BY date) AS n FROM fetch_log
-                WHERE NOT {moved} AND html <> '' AND {IS_HTML}),
-            {links('content', 'n')},
-            rows_ AS (
-                SELECT url, {DATE} AS date, 'seed' AS origin, 1 AS attempt FROM pages
-                UNION ALL SELECT moved_to, {NOW}, 'redirect', 1 FROM fetch_log WHERE {moved} AND moved_to IS NOT NULL
-                UNION ALL SELECT url, {NOW}, 'retry', attempt + 1 FROM fetch_log WHERE {retry} AND attempt < 3
-                UNION ALL SELECT link, {NOW}, 'outlink', 1 FROM links WHERE link IS NOT NULL)
-            SELECT url, date, origin, attempt::int AS attempt FROM {canonical_rows}
-            WHERE url IS NOT NULL AND NOT {REJECTED.replace('{u}', 'url')}""",
+        "frontier": frontier(
+            f"SELECT url, {DATE} AS date, 'seed' AS origin, 1 AS attempt FROM pages UNION ALL"
+        ),
+        "stream_frontier_feedback": frontier(""),
         "quarantine": f"""
             WITH {FETCH_LOG}
             SELECT url, reason FROM (SELECT url, CASE WHEN {canonical('url')} IS NULL THEN 'invalid_url'

@@ -25,6 +25,11 @@ FETCH_LOG = T.StructType(
     ]
 )
 
+FRONTIER = T.StructType(
+    URL_FEED.fields
+    + [T.StructField("origin", T.StringType()), T.StructField("attempt", T.IntegerType())]
+)
+
 EXTRACTED = T.StructType(URL_FEED.fields + [T.StructField("text", T.StringType())])
 
 ARTICLE_TOKENS = T.StructType(

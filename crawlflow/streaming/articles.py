@@ -1,12 +1,12 @@
-"""The continuous flow from crawled pages to article tokens, and rule application on a stream."""
+"""The continuous flow: frontier feedback, article tokens, and rule application on a stream."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from crawlflow.operators.crawl import article_tokens
+from crawlflow.operators.crawl import admit, article_tokens, feedback
 from crawlflow.operators.dust_apply import apply_rules
 
 
@@ -39,6 +39,13 @@ def stream_articles(crawled: DataFrame, path: str, checkpoint: str) -> Streaming
     return write_folder(article_tokens(crawled), path, checkpoint)
 
 
+def stream_frontier(
+    fetch_log: DataFrame, now: Column, path: str, checkpoint: str, max_attempts: int | None = None
+) -> StreamingQuery:
+    """Append what fetch results send back to the folder the next fetches are taken from."""
+    return write_folder(admit(feedback(fetch_log, now, max_attempts)), path, checkpoint)
+
+
 def stream_rewrites(urls: DataFrame, rules_path: str, path: str, checkpoint: str) -> StreamingQuery:
     """Apply the rule table as it stands when each micro-batch starts.
 
