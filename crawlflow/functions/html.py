@@ -11,21 +11,23 @@ UNSEEN = (
     r"(?is)<(?:!--.*?-->|script\b[^>]*>.*?</script\s*>|style\b[^>]*>.*?</style\s*>)"
 )
 HEAD = r"(?is)<(?:head\b[^>]*>.*?</head\s*>|/body\s*>.*)"
-LINK_TAG = r"(?i)<(?:a|area|link|img|iframe|frame|embed)\s[^>]*>"
-BASE_TAG = r"(?i)<base\s[^>]*>"
-REFRESH_TAG = r"(?i)<meta\s[^>]*http-equiv\s*=\s*[\"']?refresh[^>]*>"
+LINK_TAGS = r"(?i)<(?:a|area|link|img|iframe|frame|embed|base|meta)\s[^>]*>"
+BASE_TAG = r"(?i)^<base\s"
+REFRESH_TAG = r"(?i)^<meta\s(?:[^>]*\s)?http-equiv\s*=\s*[\"']?refresh"
+NO_LINK_TAG = r"(?i)^<(?:base|meta)\s"
 REFRESH_TARGET = r"(?i)url\s*=\s*([^\"'\s>;]+)"
 TARGET = r"(?i)\s(?:href|src)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 SKIPPED_LINK = r"(?i)javascript:|mailto:|@"
 
-# Marks put in place of tags; control characters do not occur in page text.
-ANCHOR, BREAK = "\u0001", "\u0003"
-ANCHOR_TAG = r"(?i)<(/?)a(?:\s[^>]*)?>"
-ANCHOR_MARK = "\u0001/?\u0002"
-LINKED_TEXT = "\u0001\u0002([^\u0001]*)\u0001/\u0002"
+# Marks put in place of tags; control characters do not occur in page text. Inline tags, anchors
+# among them, leave their name between two marks; all others end a block.
+MARK, BREAK = "\u0001", "\u0003"
 INLINE_TAG = (
-    r"(?i)</?(?:strike|u|b|i|em|strong|span|sup|sub|code|tt|var|abbr|acronym|font)(?:\s[^>]*)?>"
+    r"(?i)<(/?)(a|strike|u|b|i|em|strong|span|sup|sub|code|tt|var|abbr|acronym|font)(?:\s[^>]*)?>"
 )
+INLINE_MARK = "(?i)\u0001/?(?!a\u0002)[a-z]+\u0002"
+ANCHOR_MARK = "(?i)\u0001/?a\u0002"
+LINKED_TEXT = "(?i)\u0001a\u0002([^\u0001]*)\u0001/a\u0002"
 ENTITIES = (
     ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
     ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
@@ -53,18 +55,21 @@ def _tag_target(tag: Column) -> Column:
 
 
 def with_out_links(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """Add ``links``, the distinct canonical links of a page; an array, so nothing is shuffled."""
+    """Add ``links``, the distinct canonical links of a page; an array, so nothing is shuffled.
+
+    One pass takes out the comments and scripts, one finds the tags; the rest works on tags.
+    """
+    tags = F.regexp_extract_all(F.regexp_replace(html, UNSEEN, " "), F.lit(LINK_TAGS), F.lit(0))
     refresh = F.transform(
-        F.regexp_extract_all("_seen", F.lit(REFRESH_TAG), F.lit(0)),
+        F.filter("_tags", lambda tag: tag.rlike(REFRESH_TAG)),
         lambda tag: F.regexp_extract(tag, REFRESH_TARGET, 1),
     )
-    targets = F.transform(F.regexp_extract_all("_seen", F.lit(LINK_TAG), F.lit(0)), _tag_target)
-    stated = _tag_target(F.regexp_extract("_seen", BASE_TAG, 0))
-    base = link_base(F.col(url))
+    targets = F.transform(F.filter("_tags", lambda tag: ~tag.rlike(NO_LINK_TAG)), _tag_target)
+    stated = _tag_target(F.get(F.filter("_tags", lambda tag: tag.rlike(BASE_TAG)), F.lit(0)))
     resolved = F.transform("_targets", lambda t: resolve_link(t, F.col("_base")))
     return (
-        df.withColumn("_seen", F.regexp_replace(html, UNSEEN, " "))
-        .withColumn("_stated", stated)
+        df.withColumn("_tags", tags)
+        .withColumn("_stated", F.coalesce(stated, F.lit("")))
         .withColumn(
             "_targets",
             F.array_distinct(
@@ -73,7 +78,7 @@ def with_out_links(df: DataFrame, html: str = "html", url: str = "url") -> DataF
                 )
             ),
         )
-        .withColumn("_page", base)
+        .withColumn("_page", link_base(F.col(url)))
         .withColumn(
             "_base",
             F.when(F.col("_stated") == "", F.col("_page")).otherwise(
@@ -81,7 +86,7 @@ def with_out_links(df: DataFrame, html: str = "html", url: str = "url") -> DataF
             ),
         )
         .withColumn("links", F.array_distinct(F.array_compact(canonical_urls(resolved))))
-        .drop("_seen", "_stated", "_targets", "_page", "_base")
+        .drop("_tags", "_stated", "_targets", "_page", "_base")
     )
 
 
@@ -104,22 +109,22 @@ def _count_words(text: Column) -> Column:
 
 
 def marked_body(html: Column) -> Column:
-    """The text of the page body with single blanks, anchors and block ends marked, no tags."""
+    """The text of the page body with single blanks, inline tags and block ends marked."""
     body = F.regexp_replace(F.regexp_replace(html, UNSEEN, " "), HEAD, "")
-    body = F.regexp_replace(body, ANCHOR_TAG, "\u0001$1\u0002")
-    body = F.regexp_replace(body, INLINE_TAG, "")
+    body = F.regexp_replace(body, INLINE_TAG, "\u0001$1$2\u0002")
     body = F.regexp_replace(body, "<[^>]*>", BREAK)
     return _collapse(_decode(body))
 
 
 def _block_texts(raw: Column) -> Column:
     """``struct(text, anchors)`` of one marked block."""
-    linked = raw.contains(ANCHOR)
-    bare = F.regexp_replace(raw, ANCHOR_MARK, "")
-    anchors = F.array_join(F.regexp_extract_all(raw, F.lit(LINKED_TEXT), F.lit(1)), " ")
+    anchored = F.regexp_replace(raw, INLINE_MARK, "")
+    linked = F.regexp_extract_all(anchored, F.lit(LINKED_TEXT), F.lit(1))
+    marked = raw.contains(MARK)
+    bare = _collapse(F.regexp_replace(anchored, ANCHOR_MARK, ""))
     return F.struct(
-        F.when(linked, _collapse(bare)).otherwise(F.trim(raw)).alias("text"),
-        F.when(linked, _collapse(anchors)).otherwise("").alias("anchors"),
+        F.when(marked, bare).otherwise(F.trim(raw)).alias("text"),
+        F.when(marked, _collapse(F.array_join(linked, " "))).otherwise("").alias("anchors"),
     )
 
 

@@ -62,7 +62,7 @@ def test_stems_keep_rows(spark):
 
 PAGE = """
 <html><head><title>not text</title><script>var t = "</p><a href='no'>";</script></head><body>
-<nav><ul><li><A HREF="/a">/Home page/</A ></li><li><a href="/b">All news of today</a></li></ul></nav>
+<nav><ul><li><A HREF="/a">/Home page/</A ></li><li><a href="/b">All <B class=x>news</B> of today</a></li></ul></nav>
 <!-- <p>hidden</p> -->
 <p>{long}</p><div>Read <b>more</b> &amp; more<br>{long}</div>
 <footer>&copy; small print</footer></body></html>
