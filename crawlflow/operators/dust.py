@@ -33,14 +33,15 @@ MARK = "\n"
 def examined(size_log: DataFrame, scope: str = "head") -> DataFrame:
     """``(line, size)``: the examined part of each URL.
 
-    ``head`` examines the first min(length - 1, 12) characters, ``full`` the whole URL.
+    ``head`` examines the first min(length - 1, 12) characters, ``full`` the whole URL. A row
+    without a positive size is no page.
     """
     line = F.col("url")
     if scope == "head":
         line = F.expr(f"substring(url, 1, least(length(url) - 1, {MAX_SUBSTRING}))")
     elif scope != "full":
         raise ValueError(f"scope must be 'head' or 'full', not {scope!r}")
-    return size_log.select(line.alias("line"), "size").where("length(line) > 0")
+    return size_log.where("size > 0").select(line.alias("line"), "size").where("length(line) > 0")
 
 
 def merged_lines(size_log: DataFrame, scope: str = "head") -> DataFrame:

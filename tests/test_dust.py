@@ -105,6 +105,12 @@ def test_hot_bucket_is_dropped_whole(spark):
     assert dust.likely_rules(size_log(spark, at + [("az", 10)])).count() == 0
 
 
+def test_rows_without_size_are_no_pages(spark):
+    rows = [("ab/x", 10), ("cb/x", 10), ("db/x", 0), ("eb/x", None)]
+    rules = {(r.alpha, r.beta) for r in dust.likely_rules(size_log(spark, rows)).collect()}
+    assert {a for a, _ in rules if len(a) == 1} == {"a", "c"}
+
+
 def sequential(rules, refines, window=50):
     """The elimination as one pass over the list."""
     gone = set()
