@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlflow.llm import token_counts
+from crawlflow.llm import language_id, token_counts
 from crawlflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +22,9 @@ def query(fn):
 def op4_token_counts(spark, sf_dir):
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"))
     return counts.withColumn("over_limit", F.col("n_tokens") > token_counts.TOKEN_LIMIT)
+
+
+@query
+def op9_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.learn(language_id.train_rows(docs)))
