@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlflow.llm import language_id, token_counts
+from crawlflow.llm import language_id, quality_rules, token_counts, toxicity
 from crawlflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,20 @@ def op4_token_counts(spark, sf_dir):
 def op9_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return language_id.identify(docs, language_id.learn(language_id.train_rows(docs)))
+
+
+@query
+def op8_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    rules = quality_rules.learn(docs, table(spark, sf_dir, "labels"))
+    judged = quality_rules.apply_rules(docs, rules)
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return judged.select(
+        "doc_id", *quality_rules.COUNTS, failed.alias("base_failed"), (~failed & F.col("good")).alias("kept")
+    )
+
+
+@query
+def op5_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.toxicity(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
