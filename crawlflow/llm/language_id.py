@@ -2,15 +2,15 @@
 
 Learning counts, per language, the documents that hold each character n-gram (n = 1, 2, 3, over
 lower-cased letters with one space around words) in a bounded sample of labelled rows, and keeps
-the n-grams that at least ``min_share`` of the language's sampled documents hold. They go into one
+the n-grams that at least ``min_share`` of the language's sampled documents hold, and ``RELATIVE``
+times the share of the language that holds them most, as texts quote others. They go into one
 Bloom filter whose slots hold a bitmask of languages instead of a bit: the bit-sliced form of one
 filter per language. An n-gram probes ``PROBES`` slots; the AND of the masks names every language
 that has it (and, rarely, one that has not).
 
 A text is decided by the popcounts per language over all its n-grams. A language whose slots are
 filled to the share f gets a false hit with probability q = f ** PROBES, so its count c of n becomes
-(c - n q) / (1 - q). N-grams weigh by length and by how few languages hold them. The largest
-corrected count wins; ties go to the first language in alphabetical order; the score is the
+(c - n q) / (1 - q). N-grams weigh by their length. The largest corrected count wins; ties go to the first language in alphabetical order; the score is the
 winner's share of it against the runner-up, 0 to 1.
 
 Null texts and texts without a letter are ``und`` with score 0. Rows without language teach nothing.
@@ -32,6 +32,7 @@ from crawlflow.llm.common import remainder, shrink, slices
 SAMPLE_ROWS = 20_000
 MAX_GRAMS = 20_000
 MIN_SHARE = 0.002
+RELATIVE = 0.4
 SLOTS = 1 << 18
 PROBES = 3
 MAX_LANGUAGES = 64
@@ -143,20 +144,26 @@ def learn(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, min_share: float =
                 langs = np.array(part.column("lang").to_pylist(), object)
                 for n in SIZES:
                     keys, row = gram_keys(points, at, n)
-                    pairs = np.unique(np.stack([row.astype(np.uint64), keys]), axis=1) if len(keys) else np.zeros((2, 0), np.uint64)
-                    owner = langs[pairs[0].astype(np.int64)]
-                    for language in np.unique(owner.astype(str)):
-                        gram, count = np.unique(pairs[1][owner == language], return_counts=True)
+                    gram, index = np.unique(keys, return_inverse=True)
+                    pairs = np.unique(row * max(1, len(gram)) + index)
+                    row, index = np.divmod(pairs, max(1, len(gram)))
+                    owner = langs[row]
+                    for language in sorted(set(owner)):
+                        count = np.bincount(index[owner == language], minlength=len(gram))
+                        held = np.flatnonzero(count)
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array([language] * len(gram)), pa.array(np.full(len(gram), n, np.int32)), pa.array(gram.astype(np.int64)), pa.array(count)],
+                            [pa.array([language] * len(held)), pa.array(np.full(len(held), n, np.int32)), pa.array(gram[held].astype(np.int64)), pa.array(count[held])],
                             ["lang", "n", "gram", "docs"],
                         )
 
     counted = sample.mapInArrow(grams, "lang string, n int, gram long, docs long").groupBy("lang", "n", "gram").agg(F.sum("docs").alias("docs"))
     seen = {r["lang"]: min(r["count"], per_language) for r in sizes}
-    least = F.create_map(*[F.lit(x) for k, v in seen.items() for x in (k, max(2.0, min_share * v) if v > 2 else 1.0)])
+    of = F.create_map(*[F.lit(x) for k, v in seen.items() for x in (k, float(v))])
+    shared = counted.withColumn("share", F.col("docs") / of[F.col("lang")])
+    shared = shared.withColumn("most", F.max("share").over(W.partitionBy("n", "gram")))
     first = W.partitionBy("lang", "n").orderBy(F.desc("docs"), "gram")
-    kept = counted.where(F.col("docs") >= least[F.col("lang")]).withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= MAX_GRAMS)
+    own = (F.col("share") >= F.greatest(F.lit(min_share), RELATIVE * F.col("most"))) & ((F.col("docs") > 1) | (of[F.col("lang")] < 10))
+    kept = shared.where(own).withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= MAX_GRAMS)
     found = kept.groupBy("lang", "n").agg(F.collect_list("gram").alias("grams")).collect()
     return LanguageFilter.build(sorted(seen), {(r["n"], r["lang"]): np.array(r["grams"], np.int64).astype(np.uint64) for r in found})
 
