@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlflow.llm import language_id, quality_rules, token_counts, toxicity
+from crawlflow.llm import language_id, quality_rules, simhash, token_counts, toxicity
 from crawlflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,10 @@ def op8_quality_rules(spark, sf_dir):
 def op5_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op10_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
