@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlflow.llm import language_id, quality_rules, simhash, token_counts, toxicity
+from crawlflow.llm import language_id, license_scan, quality_rules, secret_scan, simhash, token_counts, toxicity
 from crawlflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,80 @@ def op10_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op6_license_scan(spark, sf_dir):
+    return license_scan.license_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_secret_scan(spark, sf_dir):
+    found = secret_scan.secret_spans(table(spark, sf_dir, "documents"))
+    kinds = [r.kind for r in secret_scan.BASE_RULES]
+    n_of = lambda k: F.size(F.filter("spans", lambda s: s["rule"] == k)).cast("long")
+    base = F.filter("spans", lambda s: s["rule"] < len(kinds))
+    return found.select(
+        "doc_id", *[n_of(k).alias(f"n_{kind}") for k, kind in enumerate(kinds)],
+        F.sha2(secret_scan.digest(base), 256).alias("base_sha256"), secret_scan.digest(F.col("spans")).alias("spans"),
+    )
+
+
+def _ascii_lower(text: str) -> str:
+    return f"translate({text}, '{license_scan.UPPER}', '{license_scan.LOWER}')"
+
+
+def _license_sql() -> str:
+    """Brute force: every line against every template, words by position."""
+    word = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+    at = lambda k: f"list_extract(w, i + {k})"
+    tests = {p: " AND ".join(f"{at(k)} = '{x}'" for k, x in enumerate(p.split())) for p in license_scan.PHRASES}
+    base = ", ".join(f"[CASE WHEN {t} THEN '{license_scan.PHRASES[p]}' END]" for p, t in tests.items())
+    values = ", ".join(
+        f"('{k}', [{', '.join(repr(x) for x in words)}], {least})"
+        for k, (words, least) in license_scan.templates(license_scan.TEMPLATES, license_scan.THRESHOLD).items()
+    )
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all({_ascii_lower('t')}, '{word}') AS w FROM d),
+p AS (SELECT r, i, list_filter(flatten([{base}]), lambda x: x IS NOT NULL) AS l
+      FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+b AS (SELECT r, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, flatten(list(l)) AS base
+      FROM p WHERE len(l) > 0 GROUP BY r),
+lines AS (SELECT r, regexp_extract_all({_ascii_lower('l')}, '{word}') AS lw
+          FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM w)),
+tpl(label, tw, least) AS (VALUES {values}),
+m AS (SELECT r, list(DISTINCT label) AS more, max(len(list_intersect(lw, tw)) / len(tw)) AS best
+      FROM lines, tpl WHERE len(list_intersect(lw, tw)) >= least GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(list_distinct(base)), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(base, []), coalesce(more, [])))), ','), '') AS labels,
+       coalesce(best, 0.0) AS score
+FROM w LEFT JOIN b USING (r) LEFT JOIN m USING (r)"""
+
+
+def _secret_sql() -> str:
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    parts = []
+    for k, rule in enumerate(secret_scan.RULES):
+        m = f"regexp_extract_all(t, {quoted(rule.pattern)}, 0)"
+        g = f"regexp_extract_all(t, {quoted(rule.pattern)}, {rule.group})"
+        parts.append(f"""
+SELECT r, {k} AS rule, '{rule.kind}' AS kind, a AS start, a + len(m[i]) AS stop
+FROM (SELECT r, m, g, i, list_sum(list_transform(p[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS a
+      FROM (SELECT r, m, g, p, unnest(range(1, len(m) + 1)) AS i
+            FROM (SELECT r, {m} AS m, {g} AS g, string_split_regex(t, {quoted(rule.pattern)}) AS p FROM d)))
+WHERE len(g[i]) >= {rule.least}""")
+    line = "kind || ':' || CAST(CAST(start AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(stop AS BIGINT) AS VARCHAR)"
+    joined = f"string_agg({line}, ',' ORDER BY start, rule)"
+    kinds = [r.kind for r in secret_scan.BASE_RULES]
+    counts = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in kinds)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({' UNION ALL '.join(parts)})
+SELECT doc_id, {counts}, sha256(coalesce({joined} FILTER (rule < {len(kinds)}), '')) AS base_sha256,
+       coalesce({joined} FILTER (kind IS NOT NULL), '') AS spans
+FROM d LEFT JOIN s USING (r) GROUP BY r, doc_id"""
+
+
+ORACLE |= {"op6_license_scan": _license_sql(), "op7_secret_scan": _secret_sql()}
