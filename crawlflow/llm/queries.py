@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlflow.llm import language_id, license_scan, quality_rules, secret_scan, sentence_pieces, simhash, token_counts, toxicity
+from crawlflow.llm import decontamination, language_id, license_scan, quality_rules, secret_scan, sentence_pieces, simhash, token_counts, toxicity
 from crawlflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,8 @@ def op3_sentence_pieces(spark, sf_dir):
     """Ids by digest, and the text that decoding gives back by digest."""
     back = sentence_pieces.decode(sentence_pieces.encode(table(spark, sf_dir, "documents")))
     return back.select("doc_id", "n_pieces", "score", "ids_sha256", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op2_decontamination(spark, sf_dir):
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
