@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crawlflow.llm import decontamination, language_id, license_scan, quality_rules, secret_scan, sentence_pieces, simhash, token_counts, toxicity
+from crawlflow.llm import (
+    decontamination, language_id, license_scan, quality_rules, repeats, secret_scan, sentence_pieces, simhash, token_counts, toxicity,
+)
 from crawlflow.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +143,8 @@ def op3_sentence_pieces(spark, sf_dir):
 @query
 def op2_decontamination(spark, sf_dir):
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_suffix_dedup(spark, sf_dir):
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")

@@ -262,3 +262,15 @@ def toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
     return scored.select(
         "doc_id", (remainder(modulus) == left).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
+
+
+def clean(docs: DataFrame, lexicon: Lexicon, *, threshold: float = THRESHOLD) -> DataFrame:
+    """``docs``, all columns, without the rows whose text scores ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most MAX_TERMS entries
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = shared.value
+        for batch in batches:
+            yield batch.filter(pa.array([lexicon.score(t.as_py() or "") < threshold for t in batch.column("text")], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
