@@ -1,10 +1,10 @@
 """Removal of long repeats: every byte covered by a string of ``LENGTH`` bytes that also starts in a
 document with a smaller ``doc_id``.
 
-Anchors find where such strings can be. A position is an anchor if the hash of its ``GRAM`` bytes is
-the smallest in some window of LENGTH bytes; equal strings have their anchor at the same place, so
-every shared string shares an anchor. An anchor's *context* is its gram with the bytes on both sides
-that any string of LENGTH bytes around it can reach.
+Anchors find where such strings can be. The anchor of a string of LENGTH bytes is the place in it
+whose ``GRAM`` bytes have the smallest hash (the first such place); equal strings have equal anchors
+at the same place. An anchor's *context* is the union of the strings that have it, which follow each
+other.
 
 1. Every batch of texts sends each anchor's hash with a digest of its context and its smallest
    document to the bucket of the hash: once per batch, and twice if it has several contexts, so a
@@ -45,18 +45,19 @@ GRAM = 24
 WINDOW = LENGTH - GRAM + 1
 SIDE = LENGTH - GRAM
 GROUP = 2048
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 6 << 20
 PART_BYTES, SLICE = 16 << 20, 1 << 20
 
 
-def extremes(x: np.ndarray, width: int, best) -> np.ndarray:
-    """The minimum or maximum of every run of ``width``, by doubling."""
-    span = 1
-    while 2 * span <= width:
-        x = best(x[:-span], x[span:])
-        span *= 2
-    rest = width - span
-    return best(x[:-rest], x[rest:]) if rest else x
+def leftmost_least(x: np.ndarray, width: int) -> np.ndarray:
+    """Where each run of ``width`` has its smallest value, the first of equal ones; by doubling."""
+    at, span = np.arange(len(x)), 1
+    while span < width:
+        step = min(span, width - span)
+        left, right = at[:-step], at[step:]
+        at = np.where(x[right] < x[left], right, left)
+        span += step
+    return at
 
 
 class Anchors:
@@ -81,13 +82,16 @@ class Anchors:
             code = lambda a, b: mix((sums[b] - sums[a]) * back[a])
             start = np.arange(len(data) - GRAM + 1)
             grams = code(start, start + GRAM)
-            least = extremes(grams, WINDOW, np.minimum)
-            reach = np.concatenate([np.zeros(WINDOW - 1, np.uint64), least, np.zeros(WINDOW - 1, np.uint64)])
-            at = np.flatnonzero(extremes(reach, WINDOW, np.maximum)[: len(grams)] == grams)
-            row = np.searchsorted(offsets, at, side="right") - 1
-            lo, hi = np.maximum(at - SIDE, offsets[row]), np.minimum(at + GRAM + SIDE, offsets[row + 1])
-            ok = (at + GRAM <= offsets[row + 1]) & (hi - lo >= LENGTH)
-            self.row, self.at, self.lo, self.hi = row[ok], at[ok], lo[ok], hi[ok]
+            size = np.diff(offsets)
+            row_of = np.repeat(np.arange(len(size)), size)
+            string = np.flatnonzero(np.arange(len(data)) + LENGTH <= offsets[1:][row_of])  # starts of those in one text
+            if not len(string):
+                return
+            of = leftmost_least(grams, WINDOW)[string]
+            row = row_of[string]
+            head = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (row[1:] != row[:-1])]))
+            last = np.concatenate([head[1:], [len(string)]]) - 1
+            self.row, self.at, self.lo, self.hi = row[head], of[head], string[head], string[last] + LENGTH
             self.hash = grams[self.at]
             self.digest = mix(code(self.lo, self.hi) + (self.at - self.lo).astype(np.uint64), 5)
 
