@@ -46,7 +46,7 @@ WINDOW = LENGTH - GRAM + 1
 SIDE = LENGTH - GRAM
 GROUP = 2048
 BUCKET_BYTES = 6 << 20
-PART_BYTES, SLICE = 16 << 20, 1 << 20
+PART_BYTES, SLICE = 4 << 20, 1 << 18
 
 
 def leftmost_least(x: np.ndarray, width: int) -> np.ndarray:
@@ -236,7 +236,12 @@ MASKS = "hash long, before binary, after binary, first long, mask long"
 def shared_masks(group: list[tuple[bytes, bytes, int]]) -> list[int]:
     """Bit o of each context's mask: the string that begins o bytes before the anchor is also in a
     context whose first document is smaller."""
-    sides = sorted({x for before, after, _ in group for x in (before, after)})
+    every = sorted({x for before, after, _ in group for x in (before, after)})
+    # A side that only begins another one is told apart from others just as that one is.
+    longer: dict[bytes, bytes] = {}
+    for side, following in zip(reversed(every), [b"", *reversed(every)]):
+        longer[side] = longer[following] if following.startswith(side) and following in longer else side
+    sides = sorted(set(longer.values()))
     text: list[int] = []
     start = {}
     for k, side in enumerate(sides):
@@ -262,14 +267,14 @@ def shared_masks(group: list[tuple[bytes, bytes, int]]) -> list[int]:
         name[side] = current[:]
     smallest: dict[tuple[int, int, int], int] = {}
     for before, after, first in group:
-        left, right = name[before], name[after]
+        left, right = name[longer[before]], name[longer[after]]
         for o in range(max(0, SIDE - len(after)), len(before) + 1):
             key = o, left[o], right[SIDE - o]
             if smallest.get(key, first) >= first:
                 smallest[key] = first
     masks = []
     for before, after, first in group:
-        left, right, mask = name[before], name[after], 0
+        left, right, mask = name[longer[before]], name[longer[after]], 0
         for o in range(max(0, SIDE - len(after)), len(before) + 1):
             if smallest[o, left[o], right[SIDE - o]] < first:
                 mask |= 1 << o
