@@ -50,8 +50,9 @@ def route(fetch_log: DataFrame, now: Column) -> DataFrame:
     feeds the URL back and, like any other status, goes on to content if there is any. One row
     may go to both streams; it is read once.
     """
-    moved = F.col("status").isin(*MOVED)
-    retry = F.col("status").isin(*RETRY)
+    # A row without a status is like any other status: content if there is any.
+    moved = F.coalesce(F.col("status").isin(*MOVED), F.lit(False))
+    retry = F.coalesce(F.col("status").isin(*RETRY), F.lit(False))
     redirected = ~F.col("url").eqNullSafe(F.col("fetched_url"))
 
     def branch(condition: Column, stream: str, url: Column, date: Column) -> Column:
@@ -121,7 +122,7 @@ def frontier(
 
 def quarantine(fetch_log: DataFrame, max_attempts: int | None = None) -> DataFrame:
     """``(url, reason)`` of the rows that leave the flow, the first reason that holds."""
-    moved = F.col("status").isin(*MOVED)
+    moved = F.coalesce(F.col("status").isin(*MOVED), F.lit(False))
     reason = F.when(U.canonical_url(F.col("url")).isNull(), "invalid_url").when(
         moved & F.col("moved_to").isNull(), "moved_without_target"
     )

@@ -4,27 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Rule applications per URL, and the result that drops a URL.
+# Rule applications per URL unless told otherwise, and the result that drops a URL.
 MAX_STEPS = 100
 FILTERED = "--filtered--"
 
 
-def rule_list(rules: DataFrame, order: str = "pos") -> DataFrame:
+def one_direction(rules: DataFrame) -> DataFrame:
+    """Of a rule and its inverse the one that shortens, or at equal length has the smaller beta.
+
+    Mined sets hold many such pairs; applying both would turn a URL back and forth.
+    """
+    longer = F.length("beta") > F.length("alpha")
+    same = F.length("beta") == F.length("alpha")
+    backward = longer | (same & (F.col("beta") > F.col("alpha")))
+    inverse = rules.select(F.col("beta").alias("alpha"), F.col("alpha").alias("beta")).distinct()
+    return rules.where(~backward).unionByName(rules.where(backward).join(inverse, ["alpha", "beta"], "left_anti").select(*rules.columns))
+
+
+def rule_list(rules: DataFrame, order: str = "pos", max_steps: int = MAX_STEPS) -> DataFrame:
     """The rules in order as one row with one array.
 
-    Step i of the application takes rule i modulo their number, so only the first 100 rules can
-    ever be used; that bounds the array.
+    Step i of the application takes rule i modulo their number, so only the first ``max_steps``
+    rules can ever be used; that bounds the array. Tables without a position, as the rule sink
+    writes them, go by beta and alpha.
     """
-    first = rules.select(order, "alpha", "beta").orderBy(order).limit(MAX_STEPS)
-    return first.agg(
-        F.array_sort(F.collect_list(F.struct(F.col(order).alias("pos"), "alpha", "beta"))).alias("rules")
-    )
+    place = F.col(order) if order in rules.columns else F.struct("beta", "alpha")
+    first = rules.select(place.alias("pos"), "alpha", "beta").orderBy("pos").limit(max_steps)
+    return first.agg(F.array_sort(F.collect_list(F.struct("pos", "alpha", "beta"))).alias("rules"))
 
 
-def rewrite(url: Column, rules: Column) -> Column:
+def rewrite(url: Column, rules: Column, max_steps: int = MAX_STEPS) -> Column:
     """``url`` after rules have been applied in turn until a whole round changes nothing.
 
-    At most 100 applications are made. A rule replaces every occurrence of its alpha as text.
+    At most ``max_steps`` applications are made. A rule replaces every occurrence of its alpha as text.
     """
     start = F.struct(url.alias("url"), F.lit(0).alias("idle"))
 
@@ -37,19 +49,21 @@ def rewrite(url: Column, rules: Column) -> Column:
         idle = F.when(fresh == state["url"], state["idle"] + 1).otherwise(0)
         return F.struct(fresh.alias("url"), idle.alias("idle"))
 
-    steps = F.sequence(F.lit(0), F.lit(MAX_STEPS - 1))
+    steps = F.sequence(F.lit(0), F.lit(max_steps - 1))
     folded = F.aggregate(steps, start, step, lambda state: state["url"])
     return F.when(F.size(rules) > 0, folded).otherwise(url)
 
 
-def apply_rules(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+def apply_rules(
+    urls: DataFrame, rules: DataFrame, url: str = "url", max_steps: int = MAX_STEPS
+) -> DataFrame:
     """Add ``canonical_url``; URLs rewritten to the filter mark are dropped.
 
     The rule list comes from a scalar subquery: one small value, no join. The result is filtered
     inside an array that is then exploded, so that it is computed once.
     """
-    result = rewrite(F.col(url), F.col("_rules"))
+    result = rewrite(F.col(url), F.col("_rules"), max_steps)
     kept = F.filter(F.array(result), lambda u: u != FILTERED)
-    return urls.withColumn("_rules", rule_list(rules).scalar()).select(
+    return urls.withColumn("_rules", rule_list(rules, max_steps=max_steps).scalar()).select(
         *urls.columns, F.explode(kept).alias("canonical_url")
     )

@@ -108,3 +108,11 @@ def test_redirect_chains(spark):
 
 def test_no_redirects(spark):
     assert redirects.resolve(log(spark, [("a", 200, None, "a", HTML)])).count() == 0
+
+
+def test_row_without_status_is_routed_or_named(spark):
+    schema = "url string, date timestamp, status int, moved_to string, fetched_url string, html string"
+    log = spark.createDataFrame([("http://a/", None, None, None, "http://a/", "<html></html>"), ("http://b/", None, None, None, None, None)], schema)
+    now = F.current_timestamp()
+    assert [(r.url, r.stream) for r in crawl.route(log, now).collect()] == [("http://a/", "content")]
+    assert [(r.url, r.reason) for r in crawl.quarantine(log).collect()] == [("http://b/", "not_fetched")]

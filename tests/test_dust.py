@@ -5,8 +5,9 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from crawlflow.operators import dust
-from crawlflow.operators.dust_apply import MAX_STEPS, apply_rules
+from crawlflow.operators.dust_apply import MAX_STEPS, apply_rules, one_direction
 from crawlflow.sources.seeds import page_sizes
+from crawlflow.sources.sinks import write_rules
 
 SIX = [
     ("http://www.cnn.com/index.html", 1000),
@@ -232,3 +233,24 @@ def test_apply_without_rules(spark):
     frame = spark.createDataFrame([], "pos int, alpha string, beta string")
     got = apply_rules(spark.createDataFrame([("u",)], "url string"), frame).collect()
     assert [(r.url, r.canonical_url) for r in got] == [("u", "u")]
+
+
+def test_mined_rules_apply_after_the_sink(spark, tmp_path):
+    log = size_log(spark, SIX)
+    write_rules(dust.mine_rules(log), f"{tmp_path}/rules")
+    mined = spark.read.parquet(f"{tmp_path}/rules")
+    rules = one_direction(mined)
+    pairs = {(r.alpha, r.beta) for r in rules.collect()}
+    assert pairs and not pairs & {(b, a) for a, b in pairs}
+    assert {frozenset(p) for p in pairs} == {frozenset(r) for r in mined.select("alpha", "beta").collect()}
+    got = apply_rules(log.select("url"), rules).collect()
+    assert len(got) == len(SIX)
+    assert len({r.canonical_url for r in got}) < len(SIX)
+
+
+def test_more_than_the_default_steps(spark):
+    rules = [(f"<{k}>", f"<{k + 1}>") for k in range(150)]
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rules)], "pos int, alpha string, beta string")
+    url = spark.createDataFrame([("<0>",)], "url string")
+    assert apply_rules(url, frame, max_steps=400).first().canonical_url == "<150>"
+    assert apply_rules(url, frame).first().canonical_url == "<100>"
