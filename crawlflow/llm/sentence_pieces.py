@@ -15,9 +15,10 @@ composing these maps from the end gives every chunk its true end state, and each
 back independently. The result is that of one pass over the whole text, ties included, as scores
 are whole numbers.
 
-No piece has a space after another character, so every path passes every beginning of a word:
-stretches between are memoized, and only the first and last stretch of a chunk depend on its states.
-(A vocabulary for which this does not hold is worked on character by character.)
+No piece has a space after another character or mixes letters with others, so every path passes every
+place between them: stretches between are memoized, and only the first and last stretch of a chunk
+depend on its states. (Where a vocabulary's pieces are not like that, stretches are whole words; where
+they span words too, it is worked on character by character.)
 
 Null texts count as empty, which encode to nothing. Repeated rows each give a row; columns other
 than ``doc_id`` and ``text`` are not read.
@@ -26,6 +27,7 @@ than ``doc_id`` and ``text`` are not read.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -42,6 +44,12 @@ CHUNK_CHARS = 1 << 15
 UNKNOWN = 10.0
 MEMO = 200_000
 NEVER = float("-inf")
+#: Stretches, finest first: spaces then letters or then other characters; spaces then a word. Where
+#: one ends depends on the two characters there alone. The first kind is used that cuts no piece.
+CUTS = (
+    re.compile(f"{SPACE}*(?:[^\\W\\d_]+|(?:[^\\w{SPACE}]|[\\d_])+)|{SPACE}+"),
+    re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+"),
+)
 
 
 class Lattice:
@@ -59,9 +67,14 @@ class Lattice:
         self.byte_ids = {b[0]: i for i, b in self.spelling.items()}
         self.spelling |= {i: p.encode() for p, (i, _) in self.pieces.items()}
         self.longest = max(map(len, self.pieces))
+        # Scores of pieces and, minus infinity, of what only begins one: a search ends where neither is known.
+        self.known = {p[:k]: NEVER for p in self.pieces for k in range(1, len(p))}
+        self.known |= {p: score for p, (_, score) in self.pieces.items()}
         self.unknown = min(s for _, s in self.pieces.values() if s > -1e8) - UNKNOWN
-        self.words = not any(SPACE in p.lstrip(SPACE) for p in self.pieces)
-        self.memo: dict[str, tuple[float, list[int]]] = {}
+        self.cut = next((c for c in CUTS if all(map(c.fullmatch, self.pieces))), None)
+        # Two generations: the older one goes when the newer one is full.
+        self.memo: dict[str, tuple[float, tuple[int, ...]]] = {}
+        self.older: dict[str, tuple[float, tuple[int, ...]]] = {}
 
     def ids(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
@@ -70,56 +83,88 @@ class Lattice:
     def forward(self, text: str, seeds: dict[int, float], starts: int) -> tuple[list[float], list[int], list[int]]:
         """Best score of each position, the position before it on the best path (-1: a seed) and
         the seed it comes from. Pieces begin before ``starts``."""
-        size, pieces, longest = len(text) + 1, self.pieces, self.longest
-        best, before, seed = [NEVER] * size, [-1] * size, [-1] * size
-        for p in range(size):
-            top, at, origin = seeds.get(p, NEVER), -1, p
-            for a in range(max(0, p - longest), min(p, starts)):
-                if best[a] == NEVER:
-                    continue
-                found = pieces.get(text[a:p])
-                score = found[1] if found else self.unknown if p - a == 1 else NEVER
-                if best[a] + score > top:
-                    top, at, origin = best[a] + score, a, seed[a]
-            best[p], before[p], seed[p] = top, at, origin
+        size, known = len(text) + 1, self.known.get
+        best, before, seed = [NEVER] * size, [-1] * size, list(range(size))
+        for p, score in seeds.items():
+            if p < size:
+                best[p] = score
+        for a in range(min(starts, size - 1)):
+            base = best[a]
+            if base == NEVER:
+                continue
+            top = base + self.unknown
+            if text[a] not in self.pieces and top > best[a + 1]:
+                best[a + 1], before[a + 1], seed[a + 1] = top, a, seed[a]
+            for p in range(a + 1, size):
+                score = known(text[a:p])
+                if score is None:
+                    break
+                if base + score > best[p]:
+                    best[p], before[p], seed[p] = base + score, a, seed[a]
         return best, before, seed
 
     def trace(self, text: str, before: list[int], end: int) -> list[int]:
         found: list[int] = []
-        while before[end] >= 0:
-            found += reversed(self.ids(text[before[end] : end]))
+        while end > 0 and before[end] >= 0:
+            piece = self.pieces.get(text[before[end] : end])
+            if piece:
+                found.append(piece[0])
+            else:
+                found += reversed(self.ids(text[before[end] : end]))
             end = before[end]
         return found[::-1]
 
-    def stretch(self, text: str) -> tuple[float, list[int]]:
+    def stretch(self, text: str) -> tuple[float, tuple[int, ...]]:
         """Score and ids of a stretch that paths enter at its start and leave at its end."""
         found = self.memo.get(text)
         if found is None:
+            found = self.older.get(text) or self.shortest(text)
             if len(self.memo) >= MEMO:
-                self.memo.clear()
-            best, before, _ = self.forward(text, {0: 0.0}, len(text))
-            found = self.memo[text] = best[-1], self.trace(text, before, len(text))
+                self.older, self.memo = self.memo, {}
+            self.memo[text] = found
         return found
 
+    def shortest(self, text: str) -> tuple[float, tuple[int, ...]]:
+        """``forward`` and ``trace`` of a stretch, for which one seed and no origins are needed."""
+        n, known, unknown = len(text), self.known.get, self.unknown
+        best, before = [NEVER] * (n + 1), [0] * (n + 1)
+        best[0] = 0.0
+        for a in range(n):
+            base, p = best[a], a + 1
+            score = known(text[a:p])
+            if score is None or score == NEVER:
+                if base + unknown > best[p]:
+                    best[p], before[p] = base + unknown, a
+                if score is None:
+                    continue
+            elif base + score > best[p]:
+                best[p], before[p] = base + score, a
+            while p < n:
+                p += 1
+                score = known(text[a:p])
+                if score is None:
+                    break
+                score += base
+                if score > best[p]:
+                    best[p], before[p] = score, a
+        # Tuples of numbers, which the garbage collector need not visit again and again.
+        return best[n], tuple(self.trace(text, before, n))
+
     def turns(self, text: str, first: int, last: int) -> list[int]:
-        """Word beginnings in ``first .. last``: positions that every path passes."""
-        if not self.words:
-            return []
-        at, found = text.find(SPACE, max(first, 1)), []
-        while 0 <= at <= last:
-            if text[at - 1] != SPACE:
-                found.append(at)
-            at = text.find(SPACE, at + 1)
-        return found
+        """Ends of stretches in ``first .. last``: positions that every path passes."""
+        return [m.end() for m in self.cut.finditer(text) if first <= m.end() <= last] if self.cut else []
 
     def encode(self, text: str) -> tuple[float, list[int]]:
         """Score and ids of a whole text that has not been prepared."""
         if not text:
             return 0.0, []
         shown = prepared(text)
-        at = [0, *self.turns(shown, 1, len(shown) - 1), len(shown)]
-        parts = [self.stretch(shown[a:b]) for a, b in zip(at, at[1:])]
-        return sum(p[0] for p in parts), [i for p in parts for i in p[1]]
+        score, ids = 0.0, []
+        for stretch in self.cut.findall(shown) if self.cut else [shown]:
+            part = self.memo.get(stretch) or self.stretch(stretch)
+            score += part[0]
+            ids += part[1]
+        return score, ids
 
     def through(self, text: str, n: int, seeds: dict[int, float]) -> Passage:
         """Best paths through a chunk: ``text`` is the chunk of ``n`` characters and a lookahead."""
