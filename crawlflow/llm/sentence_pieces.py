@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -73,8 +74,8 @@ class Lattice:
         self.unknown = min(s for _, s in self.pieces.values() if s > -1e8) - UNKNOWN
         self.cut = next((c for c in CUTS if all(map(c.fullmatch, self.pieces))), None)
         # Two generations: the older one goes when the newer one is full.
-        self.memo: dict[str, tuple[float, tuple[int, ...]]] = {}
-        self.older: dict[str, tuple[float, tuple[int, ...]]] = {}
+        self.memo: dict[str, tuple[float, bytes]] = {}
+        self.older: dict[str, tuple[float, bytes]] = {}
 
     def ids(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
@@ -114,7 +115,7 @@ class Lattice:
             end = before[end]
         return found[::-1]
 
-    def stretch(self, text: str) -> tuple[float, tuple[int, ...]]:
+    def stretch(self, text: str) -> tuple[float, bytes]:
         """Score and ids of a stretch that paths enter at its start and leave at its end."""
         found = self.memo.get(text)
         if found is None:
@@ -124,7 +125,7 @@ class Lattice:
             self.memo[text] = found
         return found
 
-    def shortest(self, text: str) -> tuple[float, tuple[int, ...]]:
+    def shortest(self, text: str) -> tuple[float, bytes]:
         """``forward`` and ``trace`` of a stretch, for which one seed and no origins are needed."""
         n, known, unknown = len(text), self.known.get, self.unknown
         best, before = [NEVER] * (n + 1), [0] * (n + 1)
@@ -147,24 +148,29 @@ class Lattice:
                 score += base
                 if score > best[p]:
                     best[p], before[p] = score, a
-        # Tuples of numbers, which the garbage collector need not visit again and again.
-        return best[n], tuple(self.trace(text, before, n))
+        # Packed, so that ids of a text are joined at once and the garbage collector has less to visit.
+        return best[n], array("i", self.trace(text, before, n)).tobytes()
 
     def turns(self, text: str, first: int, last: int) -> list[int]:
         """Ends of stretches in ``first .. last``: positions that every path passes."""
         return [m.end() for m in self.cut.finditer(text) if first <= m.end() <= last] if self.cut else []
 
-    def encode(self, text: str) -> tuple[float, list[int]]:
-        """Score and ids of a whole text that has not been prepared."""
+    def packed(self, text: str) -> tuple[float, bytes]:
+        """Score and packed ids of a whole text that has not been prepared."""
         if not text:
-            return 0.0, []
-        shown = prepared(text)
+            return 0.0, b""
+        shown, known = prepared(text), self.memo.get
         score, ids = 0.0, []
-        for stretch in self.cut.findall(shown) if self.cut else [shown]:
-            part = self.memo.get(stretch) or self.stretch(stretch)
+        for x in self.cut.findall(shown) if self.cut else [shown]:
+            part = known(x) or self.stretch(x)
             score += part[0]
-            ids += part[1]
-        return score, ids
+            ids.append(part[1])
+        return score, b"".join(ids)
+
+    def encode(self, text: str) -> tuple[float, list[int]]:
+        """``packed`` with the ids as a list."""
+        score, ids = self.packed(text)
+        return score, np.frombuffer(ids, np.int32).tolist()
 
     def through(self, text: str, n: int, seeds: dict[int, float]) -> Passage:
         """Best paths through a chunk: ``text`` is the chunk of ``n`` characters and a lookahead."""
@@ -219,8 +225,7 @@ class Passage:
             return self.lattice.trace(self.text, self.head[1], self.n + x)
         parts, (_, before, _) = self.inner
         out = self.lattice.trace(self.text, self.head[1], self.head_end)
-        for p in parts:
-            out += p[1]
+        out += np.frombuffer(b"".join(p[1] for p in parts), np.int32).tolist()
         return out + self.lattice.trace(self.text[self.turns[-1] :], before, self.n + x - self.turns[-1])
 
 
@@ -256,15 +261,24 @@ def rows_of(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
 
 def encode_whole(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     model = lattice(path)
+
+    def encoded(rows: list[tuple]) -> pa.RecordBatch:
+        row_ids, doc_ids, scores, ids = zip(*rows) if rows else ((), (), (), ())
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        values = pa.array(np.frombuffer(b"".join(ids), np.int32))
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+        columns = [pa.array(row_ids, pa.int64()), pa.array(doc_ids, pa.int64()), pa.array(scores, pa.float64()), lists]
+        return pa.RecordBatch.from_arrays(columns, ["row_id", "doc_id", "score", "ids"])
+
     for batch in batches:
         rows, chars = [], 0
         for row_id, doc_id, text in rows_of(batch, "row_id", "doc_id", "text"):
-            rows.append((row_id, doc_id, *model.encode(text)))
+            rows.append((row_id, doc_id, *model.packed(text)))
             chars += len(text)
             if chars > 1 << 21:
-                yield batch_of(rows, ENCODED)
+                yield encoded(rows)
                 rows, chars = [], 0
-        yield batch_of(rows, ENCODED)
+        yield encoded(rows)
 
 
 def cut(batches: Iterator[pa.RecordBatch], path: str, chunk: int) -> Iterator[pa.RecordBatch]:
