@@ -68,10 +68,22 @@ class Lattice:
         self.byte_ids = {b[0]: i for i, b in self.spelling.items()}
         self.spelling |= {i: p.encode() for p, (i, _) in self.pieces.items()}
         self.longest = max(map(len, self.pieces))
-        # Scores of pieces and, minus infinity, of what only begins one: a search ends where neither is known.
-        self.known = {p[:k]: NEVER for p in self.pieces for k in range(1, len(p))}
-        self.known |= {p: score for p, (_, score) in self.pieces.items()}
         self.unknown = min(s for _, s in self.pieces.values() if s > -1e8) - UNKNOWN
+        # By character: what may follow, and the score of what was read (minus infinity: no piece yet).
+        self.trie: dict = {}
+        leaf: dict = {}
+        for piece in sorted(self.pieces, key=len, reverse=True):
+            node = self.trie
+            for c in piece[:-1]:
+                after, score = node.get(c, (leaf, NEVER))
+                if after is leaf:
+                    after = {}
+                    node[c] = after, score
+                node = after
+            node[piece[-1]] = node.get(piece[-1], (leaf,))[0], self.pieces[piece][1]
+        for c, (after, score) in self.trie.items():
+            self.trie[c] = after, self.unknown if score == NEVER else score
+        self.alone = leaf, self.unknown
         self.cut = next((c for c in CUTS if all(map(c.fullmatch, self.pieces))), None)
         # Two generations: the older one goes when the newer one is full.
         self.memo: dict[str, tuple[float, bytes]] = {}
@@ -84,7 +96,7 @@ class Lattice:
     def forward(self, text: str, seeds: dict[int, float], starts: int) -> tuple[list[float], list[int], list[int]]:
         """Best score of each position, the position before it on the best path (-1: a seed) and
         the seed it comes from. Pieces begin before ``starts``."""
-        size, known = len(text) + 1, self.known.get
+        size, roots = len(text) + 1, self.trie.get
         best, before, seed = [NEVER] * size, [-1] * size, list(range(size))
         for p, score in seeds.items():
             if p < size:
@@ -93,15 +105,16 @@ class Lattice:
             base = best[a]
             if base == NEVER:
                 continue
-            top = base + self.unknown
-            if text[a] not in self.pieces and top > best[a + 1]:
-                best[a + 1], before[a + 1], seed[a + 1] = top, a, seed[a]
-            for p in range(a + 1, size):
-                score = known(text[a:p])
-                if score is None:
-                    break
+            after, score = roots(text[a], self.alone)
+            p = a + 1
+            while True:
                 if base + score > best[p]:
                     best[p], before[p], seed[p] = base + score, a, seed[a]
+                found = after.get(text[p]) if p < size - 1 else None
+                if found is None:
+                    break
+                after, score = found
+                p += 1
         return best, before, seed
 
     def trace(self, text: str, before: list[int], end: int) -> list[int]:
@@ -127,24 +140,21 @@ class Lattice:
 
     def shortest(self, text: str) -> tuple[float, bytes]:
         """``forward`` and ``trace`` of a stretch, for which one seed and no origins are needed."""
-        n, known, unknown = len(text), self.known.get, self.unknown
+        n, roots, alone = len(text), self.trie.get, self.alone
         best, before = [NEVER] * (n + 1), [0] * (n + 1)
         best[0] = 0.0
         for a in range(n):
             base, p = best[a], a + 1
-            score = known(text[a:p])
-            if score is None or score == NEVER:
-                if base + unknown > best[p]:
-                    best[p], before[p] = base + unknown, a
-                if score is None:
-                    continue
-            elif base + score > best[p]:
-                best[p], before[p] = base + score, a
-            while p < n:
-                p += 1
-                score = known(text[a:p])
-                if score is None:
+            after, score = roots(text[a], alone)
+            score += base
+            if score > best[p]:
+                best[p], before[p] = score, a
+            for c in text[p:]:
+                found = after.get(c)
+                if found is None:
                     break
+                after, score = found
+                p += 1
                 score += base
                 if score > best[p]:
                     best[p], before[p] = score, a
