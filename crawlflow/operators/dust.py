@@ -30,10 +30,10 @@ ELIMINATION_BLOCK = 20_000
 MARK = "\n"
 
 
-def examined(size_log: DataFrame, scope: str = "head") -> DataFrame:
+def examined(size_log: DataFrame, scope: str = "full") -> DataFrame:
     """``(line, size)``: the examined part of each URL.
 
-    ``head`` examines the first min(length - 1, 12) characters, ``full`` the whole URL. A row
+    ``full`` examines the whole URL, ``head`` only the first min(length - 1, 12) characters. A row
     without a positive size is no page.
     """
     line = F.col("url")
@@ -44,7 +44,7 @@ def examined(size_log: DataFrame, scope: str = "head") -> DataFrame:
     return size_log.where("size > 0").select(line.alias("line"), "size").where("length(line) > 0")
 
 
-def merged_lines(size_log: DataFrame, scope: str = "head") -> DataFrame:
+def merged_lines(size_log: DataFrame, scope: str = "full") -> DataFrame:
     """``(line, size, m)``: equal rows merged to one with their number, before any explosion."""
     return examined(size_log, scope).groupBy("line", "size").agg(F.count("*").alias("m"))
 
@@ -68,7 +68,7 @@ def explode_envelopes(lines: DataFrame) -> DataFrame:
     )
 
 
-def envelopes(size_log: DataFrame, scope: str = "head") -> DataFrame:
+def envelopes(size_log: DataFrame, scope: str = "full") -> DataFrame:
     """``(prefix, suffix, substr, size)``, one row per substring occurrence of every URL."""
     return explode_envelopes(examined(size_log, scope))
 
@@ -77,12 +77,18 @@ def _bucket_sizes(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.sum("m").alias("n"))
 
 
-def buckets(size_log: DataFrame, scope: str = "head") -> DataFrame:
+def buckets(size_log: DataFrame, scope: str = "full") -> DataFrame:
     """Buckets that may yield rules: more than one and at most 1000 rows."""
     rows = explode_envelopes(merged_lines(size_log, scope))
     return _bucket_sizes(rows, ["prefix", "suffix"]).where(f"n between 2 and {MAX_BUCKET}")
 
 
+def overflow(size_log: DataFrame, scope: str = "full") -> DataFrame:
+    """``(prefix, suffix, n)`` of the buckets over the bound of the method, which yield no rules."""
+    rows = explode_envelopes(merged_lines(size_log, scope))
+    return _bucket_sizes(rows, ["prefix", "suffix"]).where(f"n > {MAX_BUCKET}")
+
+
 def _keyed_rows(lines: DataFrame, scope: str) -> tuple[DataFrame, list[str]]:
     """Exploded rows with the columns that identify their bucket.
 
@@ -160,7 +166,7 @@ def _pair_count_sql(size_percent: int | None) -> str:
 
 
 def likely_rules(
-    size_log: DataFrame, scope: str = "head", size_percent: int | None = None
+    size_log: DataFrame, scope: str = "full", size_percent: int | None = None
 ) -> DataFrame:
     """``(alpha, beta, support)``: support counts the URL pairs that show the rule.
 
@@ -308,7 +314,7 @@ def eliminate_redundant(ranked: DataFrame, reading: str = "intent") -> DataFrame
 
 def mine_rules(
     size_log: DataFrame,
-    scope: str = "head",
+    scope: str = "full",
     size_percent: int | None = None,
     order: str = "asc",
     reading: str = "intent",

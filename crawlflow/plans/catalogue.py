@@ -248,6 +248,22 @@ def dust_final_rules(pages):
     return dust.mine_rules(seeds.page_sizes(pages))
 
 
+@on_pages
+def dust_overflow(pages):
+    return dust.overflow(seeds.page_sizes(pages))
+
+
+@on_pages
+def dust_final_rules_head(pages):
+    """The original's reading of 12 characters, kept for parity."""
+    return dust.mine_rules(seeds.page_sizes(pages), scope="head")
+
+
+@on_pages
+def dust_overflow_head(pages):
+    return dust.overflow(seeds.page_sizes(pages), scope="head")
+
+
 @on_pages
 def dust_final_rules_literal(pages):
     return dust.mine_rules(seeds.page_sizes(pages), reading="literal")

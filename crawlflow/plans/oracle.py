@@ -326,7 +326,8 @@ def frontier(seeds: str) -> str:
 def _queries() -> dict[str, str]:
     moved = "status IN (301, 302, 303)"
     retry = "status IN (408, 502, 503)"
-    head = likely(HEAD_ROWS, LITERAL)
+    head, full = likely(HEAD_ROWS, LITERAL), likely(FULL_ROWS, LITERAL)
+    over = f"SELECT prefix, suffix, count(*) AS n FROM envelopes GROUP BY ALL HAVING count(*) > {MAX_BUCKET}"
     return {
         "seed_scan": "SELECT url FROM pages",
         "seed_feed": f"""
@@ -435,14 +436,17 @@ def _queries() -> dict[str, str]:
             WITH {OFFERED},
             turns AS (SELECT url, domain, row_number() OVER (PARTITION BY domain ORDER BY idx) AS turn FROM offered)
             SELECT url, ((row_number() OVER (ORDER BY turn, domain) - 1) % 4)::int AS worker FROM turns""",
-        "dust_envelopes": f"WITH {HEAD_ROWS} SELECT prefix, suffix, substr, size FROM envelopes",
-        "dust_buckets": f"WITH {HEAD_ROWS}, {BUCKETS} SELECT prefix, suffix, n FROM buckets",
-        "dust_likely_rules": f"WITH {head} SELECT alpha, beta, support FROM likely",
+        "dust_envelopes": f"WITH {FULL_ROWS} SELECT prefix, suffix, substr, size FROM envelopes",
+        "dust_buckets": f"WITH {FULL_ROWS}, {BUCKETS} SELECT prefix, suffix, n FROM buckets",
+        "dust_likely_rules": f"WITH {full} SELECT alpha, beta, support FROM likely",
         "dust_likely_rules_full": f"WITH {likely(FULL_ROWS, WITHIN_20)} SELECT alpha, beta, support FROM likely",
-        "dust_ranked_rules": f"WITH {head}, {ranked()} SELECT pos, alpha, beta, support FROM ranked",
-        "dust_refinements": f"WITH {head}, {ranked()}, {pairs()} SELECT pos_i, pos_j, kind FROM pairs",
-        "dust_final_rules": f"WITH {head}, {ranked()}, {pairs()}, {final_rules()}",
-        "dust_final_rules_literal": f"WITH {head}, {ranked()}, {pairs(True)}, {final_rules(True)}",
+        "dust_ranked_rules": f"WITH {full}, {ranked()} SELECT pos, alpha, beta, support FROM ranked",
+        "dust_refinements": f"WITH {full}, {ranked()}, {pairs()} SELECT pos_i, pos_j, kind FROM pairs",
+        "dust_final_rules": f"WITH {full}, {ranked()}, {pairs()}, {final_rules()}",
+        "dust_final_rules_head": f"WITH {head}, {ranked()}, {pairs()}, {final_rules()}",
+        "dust_overflow": f"WITH {FULL_ROWS} {over}",
+        "dust_overflow_head": f"WITH {HEAD_ROWS} {over}",
+        "dust_final_rules_literal": f"WITH {full}, {ranked()}, {pairs(True)}, {final_rules(True)}",
         "dust_final_rules_full": f"WITH {likely(FULL_ROWS, LITERAL)}, {ranked('DESC')}, {pairs()}, {final_rules()}",
         "dust_apply_rules": f"SELECT url, {rewritten()} AS canonical_url FROM pages",
     }

@@ -39,13 +39,13 @@ GOLDEN = [
 @pytest.mark.parametrize("rows,exploded,buckets,likely,support,final", GOLDEN)
 def test_head_golden(spark, rows, exploded, buckets, likely, support, final):
     log = size_log(spark, rows)
-    rows_out = dust.envelopes(log)
+    rows_out = dust.envelopes(log, "head")
     assert rows_out.count() == exploded
     assert rows_out.select("prefix", "suffix").distinct().count() == buckets
-    rules = dust.likely_rules(log)
+    rules = dust.likely_rules(log, "head")
     assert rules.count() == likely
     assert (rules.agg(F.sum("support")).first()[0] or 0) == support
-    assert [tuple(r) for r in dust.mine_rules(log).collect()] == final
+    assert [tuple(r) for r in dust.mine_rules(log, "head").collect()] == final
 
 
 def test_full_golden(spark):
@@ -61,7 +61,7 @@ def test_full_golden(spark):
 
 def test_pages_golden(spark):
     pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
-    rules = dust.likely_rules(page_sizes(pages))
+    rules = dust.likely_rules(page_sizes(pages), "head")
     total = rules.agg(F.count("*"), F.sum("support"), F.max("support")).first()
     assert tuple(total) == (2990, 5_779_580, 81_361)
     assert dust.eliminate_redundant(dust.ranked_rules(rules)).count() == 714
@@ -101,14 +101,18 @@ def test_likely_rules_against_all_pairs(spark, scope, percent):
 def test_hot_bucket_is_dropped_whole(spark):
     """One bucket over the bound yields nothing, one at the bound yields all its pairs."""
     at = [(f"{c}z", 10) for c in "ab" for _ in range(500)]
-    rules = {(r.alpha, r.beta): r.support for r in dust.likely_rules(size_log(spark, at)).collect()}
+    rules = {(r.alpha, r.beta): r.support for r in dust.likely_rules(size_log(spark, at), "head").collect()}
     assert rules == {("a", "b"): 250_000, ("b", "a"): 250_000}
-    assert dust.likely_rules(size_log(spark, at + [("az", 10)])).count() == 0
+    assert dust.likely_rules(size_log(spark, at + [("az", 10)]), "head").count() == 0
+    assert [tuple(r) for r in dust.overflow(size_log(spark, at + [("az", 10)]), "head").collect()] == [("", "", 1001)]
+    whole = dust.overflow(size_log(spark, at + [("az", 10)])).collect()
+    assert {tuple(r) for r in whole} == {("", "", 1001), ("", "z", 1001)}
+    assert dust.overflow(size_log(spark, at)).count() == 0
 
 
 def test_rows_without_size_are_no_pages(spark):
     rows = [("ab/x", 10), ("cb/x", 10), ("db/x", 0), ("eb/x", None)]
-    rules = {(r.alpha, r.beta) for r in dust.likely_rules(size_log(spark, rows)).collect()}
+    rules = {(r.alpha, r.beta) for r in dust.likely_rules(size_log(spark, rows), "head").collect()}
     assert {a for a, _ in rules if len(a) == 1} == {"a", "c"}
 
 
