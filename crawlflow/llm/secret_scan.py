@@ -37,6 +37,17 @@ class Rule:
     least: int = 0
 
 
+# A private key: header, body and END line; without END the RFC 1421 headers and the lines of base64 that
+# follow, up to 240 (RSA of 16,384 bits has 197). Java recurses per repeat of a group and RE2 takes at
+# most 1,000 nested repeats, so groups are bounded and single classes are not.
+KEY_END = "[^-]*(?:-[^-]+){0,40}-----END [A-Z ]{0,30}PRIVATE KEY-----"
+KEY_BREAK = "[\\x20\\t\\r\\n\\\\\"'+,>]"
+KEY_LINES = f"(?:{KEY_BREAK}*[A-Za-z0-9+/=]{{16,}})"
+KEY_BODY = (
+    f"(?:[\\r\\n]+[A-Za-z0-9-]{{1,40}}:\\x20[^\\r\\n]*){{0,9}}{KEY_LINES}{{1,60}}" + f"{KEY_LINES}{{0,60}}" * 3
+    + f"(?:{KEY_BREAK}+[A-Za-z0-9+/]{{1,15}}={{0,2}}(?:[\\r\\n\\\\\"']|$))?"
+)
+
 # The three base rules, then well-known public token formats.
 BASE_RULES = (
     Rule("assign", f"({'|'.join(map(either_case, ('password', 'passwd', 'secret', 'token')))}|{either_case('api')}_?{either_case('key')})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 2, 6),
@@ -47,7 +58,7 @@ MORE_RULES = (
     Rule("github", "gh[opsu]_[A-Za-z0-9]{36,255}"),
     Rule("google", "AIza[0-9A-Za-z_-]{35}"),
     Rule("jwt", "eyJ[A-Za-z0-9_-]{10,}[.][A-Za-z0-9_-]{10,}[.][A-Za-z0-9_-]{10,}"),
-    Rule("private_key", "-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----"),
+    Rule("private_key", f"-----BEGIN [A-Z ]{{0,30}}PRIVATE KEY-----(?:{KEY_END}|{KEY_BODY})?"),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]{10,}"),
 )
 RULES = BASE_RULES + MORE_RULES
