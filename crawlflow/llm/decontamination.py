@@ -9,6 +9,11 @@ Hamming distance; ``SAMPLES`` positions of the embedding make a bucket key, and
 independent walks and samples give every near window many chances (``expected_recall``). Windows
 that meet an item of their size in a bucket are verified by exact semi-global edit distance.
 
+Walks drift apart with the number of edits, so long items, deletions above all, would often be
+missed by buckets alone. Therefore items are also cut into k + 1 pieces: k edits leave one of them
+as it is, at most k words off its place. Windows that hold a piece of an item of their size there
+are verified too, so that no match is lost, whatever the item's size and the kind of edits.
+
 Before embedding, windows are dropped that provably cannot match: k edits spoil at most 2 k of a
 window's n - 1 word pairs, so the others must be pairs of an item of that size. Those pairs sit in a
 Bloom filter of fixed size; it never drops a match, and if a huge benchmark fills it, only time
@@ -85,6 +90,50 @@ def bucket_keys(hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ends:
         return mix(keys + repeat[None], 4)
 
 
+def piece_words(n: int, similarity: float) -> int:
+    """Words of a piece of an item."""
+    return max(1, n // (edits(n, similarity) + 1))
+
+
+def piece_keys(hashes: np.ndarray, at: np.ndarray, n: int, similarity: float) -> np.ndarray:
+    """Keys of the stretches of a piece's length at ``at``, for an item size."""
+    with np.errstate(over="ignore"):
+        key = np.full(at.shape, n, np.uint64)
+        for k in range(piece_words(n, similarity)):
+            key = mix(key + hashes[at + k], 200)
+        return key
+
+
+def pieces_of_item(hashes: np.ndarray, similarity: float) -> list[dict[str, int]]:
+    n = len(hashes)
+    at = np.arange(edits(n, similarity) + 1) * piece_words(n, similarity)
+    at = at[at + piece_words(n, similarity) <= n]
+    keys = piece_keys(hashes, at, n, similarity).view(np.int64)
+    return [{"key": int(k), "at": int(a)} for k, a in zip(keys, at, strict=True)]
+
+
+def pieces_of_windows(
+    hashes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, lo: np.ndarray, hi: np.ndarray, bits: np.ndarray, similarity: float
+) -> pa.Array:
+    """Per window the stretches between ``lo`` and ``hi`` that may be pieces of items of its size."""
+    which, keys, at = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for n in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == n)
+        place = lo[rows][:, None] + np.arange(n + 2 * edits(n, similarity))[None]
+        row, column = np.nonzero(place + piece_words(n, similarity) <= hi[rows][:, None])
+        where, back = np.unique(place[row, column], return_inverse=True)  # windows overlap
+        key = piece_keys(hashes, where, n, similarity)
+        known = bits[(key & np.uint64(BLOOM_BITS - 1)).astype(np.int64)][back]
+        which.append(rows[row[known]])
+        keys.append(key[back[known]])
+        at.append(where[back[known]] - starts[rows[row[known]]])
+    which, keys, at = np.concatenate(which), np.concatenate(keys), np.concatenate(at)
+    order = np.argsort(which, kind="stable")
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(which, minlength=len(starts)))]).astype(np.int32)
+    pieces = pa.StructArray.from_arrays([pa.array(keys[order].view(np.int64)), pa.array(at[order].astype(np.int32))], ["key", "at"])
+    return pa.ListArray.from_arrays(pa.array(offsets), pieces)
+
+
 def near_windows(words: Words, bits: np.ndarray, sizes: list[int], similarity: float) -> tuple[np.ndarray, np.ndarray]:
     """Starts and sizes of windows that hold enough word pairs of items of their size."""
     starts, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -134,11 +183,13 @@ def distance(item: list[int], text: list[int]) -> tuple[int, int]:
     return best, where
 
 
-WINDOW = "doc_id long, start long, size int, lead int, words binary, keys array<long>"
+PIECES = "array<struct<key: bigint, at: int>>"
+PIECE_TYPE = pa.list_(pa.struct([("key", pa.int64()), ("at", pa.int32())]))
+WINDOW = f"doc_id long, start long, size int, lead int, words binary, keys array<long>, pieces {PIECES}"
 
 
-def item_rows(benchmark: DataFrame) -> DataFrame:
-    """``item_id, size, words, keys`` of the items that are long enough."""
+def item_rows(benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``item_id, size, words, keys, pieces`` of the items that are long enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,13 +199,14 @@ def item_rows(benchmark: DataFrame) -> DataFrame:
                 long = np.flatnonzero(sizes >= LEAST_WORDS)
                 keys = bucket_keys(words.hashes, words.first[long], sizes[long], words.first[long + 1]).view(np.int64)
                 body = [words.hashes[words.first[k] : words.first[k + 1]].tobytes() for k in long]
+                pieces = [pieces_of_item(words.hashes[words.first[k] : words.first[k + 1]], similarity) for k in long]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("item_id").take(pa.array(long)), pa.array(sizes[long].astype(np.int32)), pa.array(body, pa.binary()), pa.array(list(keys), pa.list_(pa.int64()))],
-                    ["item_id", "size", "words", "keys"],
+                    [part.column("item_id").take(pa.array(long)), pa.array(sizes[long].astype(np.int32)), pa.array(body, pa.binary()), pa.array(list(keys), pa.list_(pa.int64())), pa.array(pieces, PIECE_TYPE)],
+                    ["item_id", "size", "words", "keys", "pieces"],
                 )
 
     texts = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
-    return texts.mapInArrow(run, "item_id long, size int, words binary, keys array<long>")
+    return texts.mapInArrow(run, f"item_id long, size int, words binary, keys array<long>, pieces {PIECES}")
 
 
 def filter_of(items: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -173,11 +225,19 @@ def filter_of(items: DataFrame) -> tuple[np.ndarray, list[int]]:
     return bits, sorted(r["size"] for r in items.select("size").distinct().collect())
 
 
-def windows(docs: DataFrame, bits: np.ndarray, sizes: list[int], similarity: float) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
+def piece_filter(items: DataFrame) -> np.ndarray:
+    """The Bloom filter of the items' pieces; bounded like ``filter_of``."""
+    bits = np.zeros(BLOOM_BITS, bool)
+    at = items.select(F.explode("pieces.key").alias("key")).select(F.col("key").bitwiseAND(F.lit(BLOOM_BITS - 1)).alias("at")).distinct()
+    bits[at.toPandas()["at"].to_numpy(np.int64)] = True
+    return bits
+
+
+def windows(docs: DataFrame, bits: np.ndarray, piece_bits: np.ndarray, sizes: list[int], similarity: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast((np.packbits(bits), np.packbits(piece_bits)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value).astype(bool)
+        bits, piece_bits = (np.unpackbits(b).astype(bool) for b in shared.value)
         for batch in batches:
             for part in slices(batch, SLICE):
                 words = words_of(part.column("text"))
@@ -186,13 +246,18 @@ def windows(docs: DataFrame, bits: np.ndarray, sizes: list[int], similarity: flo
                 for k in range(0, len(starts), 4096):
                     s, n = starts[k : k + 4096], size[k : k + 4096]
                     row = words.rows[s]
-                    keys = bucket_keys(words.hashes, s, n, np.minimum(s + n, words.first[row + 1]))
                     spare = np.array([edits(int(x), similarity) for x in n])
                     lo = np.maximum(s - spare, words.first[row])
                     hi = np.minimum(s + n + spare, words.first[row + 1])
+                    pieces = pieces_of_windows(words.hashes, s, n, lo, hi, piece_bits, similarity)
+                    # A match's own window holds a piece, so only such windows are embedded.
+                    held = np.flatnonzero(np.diff(pieces.offsets.to_numpy()))
+                    s, n, row, lo, hi = s[held], n[held], row[held], lo[held], hi[held]
+                    keys = bucket_keys(words.hashes, s, n, np.minimum(s + n, words.first[row + 1]))
                     body = [words.hashes[a:b].tobytes() for a, b in zip(lo, hi, strict=True)]
                     columns = [pa.array(ids[row]), pa.array(s - words.first[row]), pa.array(n.astype(np.int32)), pa.array((s - lo).astype(np.int32)), pa.array(body, pa.binary()), pa.array(list(keys.view(np.int64)), pa.list_(pa.int64()))]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "size", "lead", "words", "keys"])
+                    columns.append(pieces.take(pa.array(held)))
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "size", "lead", "words", "keys", "pieces"])
 
     return whole_texts(docs).where("doc_id is not null").mapInArrow(run, WINDOW)
 
@@ -222,14 +287,19 @@ def verified(pairs: DataFrame, similarity: float) -> DataFrame:
 def leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, item_id, similarity, edits, start``: each document and item it holds, at its best
     place; ``start`` is the word at which an unedited item would begin there."""
-    items = materialize(item_rows(benchmark), "items")
+    items = materialize(item_rows(benchmark, similarity), "items")
     bits, sizes = filter_of(items)
-    found = materialize(windows(docs, bits, sizes, similarity).withColumn("wid", F.xxhash64("doc_id", "start", "size", "words")), "windows")
+    found = materialize(windows(docs, bits, piece_filter(items), sizes, similarity).withColumn("wid", F.xxhash64("doc_id", "start", "size", "words")), "windows")
     probes = found.select("wid", "size", F.posexplode("keys").alias("repeat", "key"))
     buckets = items.select("item_id", "size", F.posexplode("keys").alias("repeat", "key"))
-    met = probes.join(buckets, ["size", "repeat", "key"]).select("wid", "item_id").distinct()
+    near = probes.join(buckets, ["size", "repeat", "key"]).select("wid", "item_id")
+    spare = F.floor((1 - F.lit(similarity)) * F.col("size") + F.lit(1e-9))
+    stretches = found.select("wid", "size", F.inline("pieces")).withColumnRenamed("at", "place")
+    pieces = items.select("item_id", "size", F.inline("pieces"))
+    held = stretches.join(pieces, ["size", "key"]).where(F.abs(F.col("place") - F.col("at")) <= spare).select("wid", "item_id")
+    met = near.union(held).distinct()
     pairs = (
-        met.join(found.drop("keys").dropDuplicates(["wid"]), "wid")
+        met.join(found.drop("keys", "pieces").dropDuplicates(["wid"]), "wid")
         .join(items.select("item_id", F.col("words").alias("item_words")), "item_id")
         .select("doc_id", "item_id", "start", "lead", "words", "item_words")
     )

@@ -72,6 +72,31 @@ def test_leaks_match_brute_force(spark):
     assert {r.doc_id for r in D.clean(frame, bench).collect()} == set(range(len(docs))) - {d for d, _ in got}
 
 
+def edited(rng, item, kind, k):
+    """``item`` with ``k`` edits at places of their own; nothing else has the words put in."""
+    words = [[w] for w in item]
+    for j, at in enumerate(rng.sample(range(len(item)), k)):
+        words[at] = [] if kind == "deletion" else [f"new{j}"] + (words[at] if kind == "insertion" else [])
+    return [w for part in words for w in part]
+
+
+def test_recall_at_the_limit_by_size_and_kind(spark):
+    rng = random.Random(9)
+    items, docs, want = [], [], set()
+    for n in (5, 9, 10, 16, 39, 59, 120, 250):
+        for kind in ("substitution", "deletion", "insertion"):
+            for _ in range(4):
+                item = rng.sample([f"w{k}" for k in range(900)], n)
+                docs.append(["a"] * rng.randrange(30) + edited(rng, item, kind, D.edits(n)) + ["b"] * rng.randrange(30))
+                want.add((len(docs) - 1, len(items)))
+                items.append(item)
+    frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.edits for r in D.leaks(frame, bench).collect()}
+    assert want <= set(got)
+    assert all(got[d, i] == brute_distance(items[i], docs[d]) for d, i in got)
+
+
 def test_edges(spark):
     item = "one two three four five six seven eight nine ten"
     bench = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "one two"), (5, item)], "item_id long, text string")
