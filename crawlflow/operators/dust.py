@@ -322,3 +322,17 @@ def mine_rules(
     """The whole miner: size log to final rules."""
     rules = likely_rules(size_log, scope, size_percent)
     return eliminate_redundant(ranked_rules(rules, order), reading)
+
+
+def mine_supported_rules(
+    size_log: DataFrame,
+    scope: str = "full",
+    size_percent: int | None = None,
+    order: str = "asc",
+    reading: str = "intent",
+) -> DataFrame:
+    """``(pos, alpha, beta, support)`` of the final rules; those with most support have the first ``pos``."""
+    ranked = materialize(ranked_rules(likely_rules(size_log, scope, size_percent), order), "ranked_rules")
+    gone = eliminated_positions(refinements(ranked, reading), reading)
+    final = ranked.join(gone, "pos", "left_anti")
+    return final.select((-F.col("support")).alias("pos"), "alpha", "beta", "support")

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Rule applications per URL unless told otherwise, and the result that drops a URL.
 MAX_STEPS = 100
 FILTERED = "--filtered--"
 
+#: Rules that let a URL grow beyond this many characters have no end; it is then left as it stands.
+MAX_LENGTH = 1 << 16
+
 
 def one_direction(rules: DataFrame) -> DataFrame:
     """Of a rule and its inverse the one that shortens, or at equal length has the smaller beta.
@@ -67,3 +74,67 @@ def apply_rules(
     return urls.withColumn("_rules", rule_list(rules, max_steps=max_steps).scalar()).select(
         *urls.columns, F.explode(kept).alias("canonical_url")
     )
+
+
+class Rewriter:
+    """All of an ordered list of rules, found in a URL through a dictionary of their alphas."""
+
+    def __init__(self, rules: list[tuple[str, str]]) -> None:
+        self.rules = [(a, b) for a, b in rules if a and b is not None and a != b]
+        self.places: dict[str, list[int]] = {}
+        for k, (alpha, _) in enumerate(self.rules):
+            self.places.setdefault(alpha, []).append(k)
+        self.lengths = sorted(set(map(len, self.places)))
+
+    def following(self, url: str, start: int) -> int | None:
+        """The first rule from ``start`` on whose alpha occurs in ``url``."""
+        found = None
+        for n in self.lengths:
+            for at in {url[i : i + n] for i in range(len(url) - n + 1)} & self.places.keys():
+                places = self.places[at]
+                k = bisect_left(places, start)
+                if k < len(places) and (found is None or places[k] < found):
+                    found = places[k]
+        return found
+
+    def round(self, url: str) -> str:
+        k = self.following(url, 0)
+        while k is not None and len(url) <= MAX_LENGTH:
+            url = url.replace(*self.rules[k])
+            k = self.following(url, k + 1)
+        return url
+
+    def rewrite(self, url: str | None) -> str | None:
+        """``url`` after rounds until one changes nothing. Where rounds lead in a circle, the shortest
+        and then smallest URL of the circle is taken."""
+        if url is None:
+            return None
+        seen = [url]
+        known = {url: 0}
+        while len(url) <= MAX_LENGTH:
+            url = self.round(url)
+            if url in known:
+                return min(seen[known[url] :], key=lambda u: (len(u), u))
+            known[url] = len(seen)
+            seen.append(url)
+        return url
+
+
+def apply_all_rules(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+    """Like ``apply_rules``, but with every rule and without a number of steps.
+
+    Rules go by ``pos`` if they have it, then by beta and alpha. They are collected and broadcast once.
+    """
+    order = [c for c in ("pos", "beta", "alpha") if c in rules.columns]
+    listed = [(r["alpha"], r["beta"]) for r in rules.orderBy(*order).select("alpha", "beta").collect()]
+    shared = urls.sparkSession.sparkContext.broadcast(listed)
+    at = urls.columns.index(url)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rewriter = Rewriter(shared.value)
+        for batch in batches:
+            fresh = pa.array(map(rewriter.rewrite, batch.column(at).to_pylist()), pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, fresh], [*batch.schema.names, "canonical_url"])
+
+    schema = urls.withColumn("canonical_url", F.lit(None).cast("string")).schema
+    return urls.mapInArrow(run, schema).where(F.col("canonical_url") != FILTERED)

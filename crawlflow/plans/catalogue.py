@@ -280,6 +280,15 @@ def dust_apply_rules(spark, sf_dir):
     return dust_apply.apply_rules(urls, I.rewrite_rules(spark))
 
 
+@query
+def dust_apply_mined(spark, sf_dir):
+    """Mine, write, read and apply: all rules, one direction of each pair, to all pages."""
+    pages = I.table(spark, sf_dir, "pages")
+    out = scratch_path(spark, "rules")
+    sinks.write_rules(dust.mine_supported_rules(seeds.page_sizes(pages)), out)
+    return dust_apply.apply_all_rules(pages.select("url"), dust_apply.one_direction(spark.read.parquet(out)))
+
+
 # Streams
 
 

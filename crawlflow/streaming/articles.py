@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from crawlflow.operators.crawl import admit, article_tokens, feedback
-from crawlflow.operators.dust_apply import apply_rules
+from crawlflow.operators.dust_apply import apply_all_rules
 
 
 def read_folder(
@@ -54,7 +54,7 @@ def stream_rewrites(urls: DataFrame, rules_path: str, path: str, checkpoint: str
 
     def apply_current(batch: DataFrame, batch_id: int) -> None:
         rules = batch.sparkSession.read.parquet(rules_path)
-        apply_rules(batch, rules).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        apply_all_rules(batch, rules).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
         urls.writeStream.foreachBatch(apply_current)

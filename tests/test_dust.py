@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from crawlflow.operators import dust
-from crawlflow.operators.dust_apply import MAX_STEPS, apply_rules, one_direction
+from crawlflow.operators.dust_apply import MAX_STEPS, apply_all_rules, apply_rules, one_direction
 from crawlflow.sources.seeds import page_sizes
 from crawlflow.sources.sinks import write_rules
 
@@ -258,3 +258,52 @@ def test_more_than_the_default_steps(spark):
     url = spark.createDataFrame([("<0>",)], "url string")
     assert apply_rules(url, frame, max_steps=400).first().canonical_url == "<150>"
     assert apply_rules(url, frame).first().canonical_url == "<100>"
+
+
+def all_rewritten(url, rules):
+    for _ in range(1000):
+        before = url
+        for alpha, beta in rules:
+            url = url.replace(alpha, beta)
+        if url == before:
+            return url
+    raise AssertionError(url)
+
+
+def test_all_rules_apply(spark):
+    rng = random.Random(6)
+    chain = [(f"<{k}>", f"<{k + 1}>") for k in range(400)]
+    mixed = [("".join(rng.choices("abc", k=3)), "".join(rng.choices("abc", k=rng.randrange(3)))) for _ in range(300)]
+    urls = ["".join(rng.choices("abc", k=30)) for _ in range(40)] + ["<0>", "<399>x", "", "drop"]
+    for rules in (chain, chain[::-1], mixed, [*mixed, ("drop", "--filtered--")]):
+        frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rules)], "pos int, alpha string, beta string")
+        got = apply_all_rules(spark.createDataFrame([(u, 1) for u in urls], "url string, n int"), frame)
+        want = [(u, 1, all_rewritten(u, rules)) for u in urls]
+        assert sorted(map(tuple, got.collect())) == sorted(w for w in want if w[2] != "--filtered--")
+
+
+def test_all_rules_in_circles_and_without_end(spark):
+    urls = spark.createDataFrame([("a",), ("b",), ("xc",), (None,)], "url string")
+    frame = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "cc"), ("", "z")], "alpha string, beta string")
+    got = {r.url: r.canonical_url for r in apply_all_rules(urls, frame).collect()}
+    assert got["a"] == got["b"] and len(got["xc"]) > 100 and None not in got
+    assert apply_all_rules(urls, frame.where("false")).count() == 3
+
+
+def test_mined_rules_are_all_applied(spark):
+    from crawlflow.plans.catalogue import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    rules = dust.mine_supported_rules(page_sizes(pages))
+    assert {(r.alpha, r.beta) for r in rules.collect()} == {(r.alpha, r.beta) for r in dust.mine_rules(page_sizes(pages)).collect()}
+    listed = [(r.alpha, r.beta) for r in one_direction(rules).orderBy("pos", "beta", "alpha").collect()]
+    assert listed
+    got = QUERIES["dust_apply_mined"](spark, sf).collect()
+    assert len(got) == pages.count()
+    # No rule is left that would still change a result: what a whole round gives is the URL again.
+    for r in got[:200]:
+        url = r.canonical_url
+        for alpha, beta in listed:
+            url = url.replace(alpha, beta)
+        assert url == r.canonical_url
