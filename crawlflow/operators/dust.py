@@ -108,10 +108,12 @@ def _keyed_rows(lines: DataFrame, scope: str) -> tuple[DataFrame, list[str]]:
     return hashed, ["env_a", "env_b"]
 
 
-def _bucket_substrings(lines: DataFrame, scope: str) -> tuple[DataFrame, list[str]]:
-    """Usable buckets as one row per substring with the sizes of its pages.
+def _bucket_substrings(
+    lines: DataFrame, scope: str, max_bucket: int = MAX_BUCKET
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Usable buckets as one row per substring with the sizes of its pages; the buckets' sizes.
 
-    A usable bucket has at most 1000 rows, which bounds every collected list. Buckets with one
+    A usable bucket has at most 1000 rows, or ``max_bucket``, which bounds every collected list. Buckets with one
     row or with equal substrings only are left out too, as they cannot make a pair; the latter
     show by equal minimum and maximum of the substrings' hashes.
     """
@@ -120,20 +122,50 @@ def _bucket_substrings(lines: DataFrame, scope: str) -> tuple[DataFrame, list[st
     sizes = named.groupBy(*keys).agg(
         F.sum("m").alias("n"), (F.min("_name") != F.max("_name")).alias("varied")
     )
-    sizes = materialize(sizes.where(f"n > {MAX_BUCKET} or (n > 1 and varied)"), "bucket_sizes")
+    sizes = materialize(sizes.where(f"n > {max_bucket} or (n > 1 and varied)"), "bucket_sizes")
     # The fullest overflowing buckets leave first, through a bounded broadcast, so that no hot
     # bucket is ever sent to one task. The others are found by the semi join.
     hot = (
-        sizes.where(f"n > {MAX_BUCKET}").orderBy(F.desc("n"), *keys).limit(HOT_BUCKETS).select(*keys)
+        sizes.where(f"n > {max_bucket}").orderBy(F.desc("n"), *keys).limit(HOT_BUCKETS).select(*keys)
     )
-    usable = sizes.where(f"n <= {MAX_BUCKET}").select(*keys)
+    usable = sizes.where(f"n <= {max_bucket}").select(*keys)
     members = (
         rows.join(F.broadcast(hot), keys, "left_anti")
         .join(usable, keys, "left_semi")
         .groupBy(*keys, "substr")
         .agg(F.collect_list(F.struct("size", "m")).alias("pages"))
     )
-    return materialize(members, "bucket_members"), keys
+    return materialize(members, "bucket_members"), sizes, keys
+
+
+def _overflow_support(
+    lines: DataFrame, scope: str, sizes: DataFrame, proposed: DataFrame, max_bucket: int, size_percent: int | None
+) -> DataFrame:
+    """``(alpha, beta, support)``: the support of ``proposed`` in buckets over the bound.
+
+    No pairs are formed there: a substring of a bucket has one histogram of sizes, and only those
+    that a proposed rule names meet, first its alpha and then its beta.
+    """
+    rows, keys = _keyed_rows(lines, scope)
+    named = proposed.select(F.explode(F.array("alpha", "beta")).alias("substr")).distinct()
+    over = sizes.where(f"n > {max_bucket} and varied").select(*keys)
+    histograms = materialize(
+        rows.join(named, "substr", "left_semi")
+        .join(over, keys, "left_semi")
+        .groupBy(*keys, "substr", "size")
+        .agg(F.sum("m").alias("m"))
+        .groupBy(*keys, "substr")
+        .agg(F.collect_list(F.struct("size", "m")).alias("pages")),
+        "overflow_members",
+    )
+    left = histograms.select(*keys, F.col("substr").alias("alpha"), F.col("pages").alias("pages_a"))
+    right = histograms.select(*keys, F.col("substr").alias("beta"), F.col("pages").alias("pages_b"))
+    return (
+        left.join(proposed.select("alpha", "beta"), "alpha")
+        .join(right, [*keys, "beta"])
+        .groupBy("alpha", "beta")
+        .agg(F.sum(F.expr(_pair_count_sql(size_percent))).alias("support"))
+    )
 
 
 def _pair_count_sql(size_percent: int | None) -> str:
@@ -166,7 +198,8 @@ def _pair_count_sql(size_percent: int | None) -> str:
 
 
 def likely_rules(
-    size_log: DataFrame, scope: str = "full", size_percent: int | None = None
+    size_log: DataFrame, scope: str = "full", size_percent: int | None = None,
+    max_bucket: int = MAX_BUCKET, count_overflow: bool = False,
 ) -> DataFrame:
     """``(alpha, beta, support)``: support counts the URL pairs that show the rule.
 
@@ -176,18 +209,26 @@ def likely_rules(
 
     The examined lines, the bucket sizes and the bucket members are written once each, so the
     page table is read once. Inside a bucket the join pairs substrings, not pages.
+
+    Buckets of more than ``max_bucket`` rows propose no rules. With ``count_overflow`` the rules that
+    others propose get their support there too; without, as in the original, it is left out.
     """
     lines = spread(materialize(merged_lines(size_log, scope), "url_lines"), "line", "size")
-    members, keys = _bucket_substrings(lines, scope)
+    members, sizes, keys = _bucket_substrings(lines, scope, max_bucket)
     left = members.select(*keys, F.col("substr").alias("alpha"), F.col("pages").alias("pages_a"))
     right = members.select(*keys, F.col("substr").alias("beta"), F.col("pages").alias("pages_b"))
-    return (
+    rules = (
         left.join(right, keys)
         .where("alpha <> beta")
         .groupBy("alpha", "beta")
         .agg(F.sum(F.expr(_pair_count_sql(size_percent))).alias("support"))
         .where("support > 0")
     )
+    if not count_overflow:
+        return rules
+    rules = materialize(rules, "proposed_rules")
+    more = _overflow_support(lines, scope, sizes, rules, max_bucket, size_percent)
+    return rules.unionByName(more).groupBy("alpha", "beta").agg(F.sum("support").alias("support"))
 
 
 def ranked_rules(rules: DataFrame, order: str = "asc") -> DataFrame:

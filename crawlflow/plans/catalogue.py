@@ -274,6 +274,12 @@ def dust_final_rules_full(pages):
     return dust.mine_rules(seeds.page_sizes(pages), scope="full", order="desc")
 
 
+@query
+def dust_likely_rules_counted(spark, sf_dir):
+    """Likely rules with their support in overflowing buckets too."""
+    return dust.likely_rules(seeds.page_sizes(I.table(spark, sf_dir, "pages")), count_overflow=True)
+
+
 @query
 def dust_apply_rules(spark, sf_dir):
     urls = I.table(spark, sf_dir, "pages").select("url")

@@ -307,3 +307,17 @@ def test_mined_rules_are_all_applied(spark):
         for alpha, beta in listed:
             url = url.replace(alpha, beta)
         assert url == r.canonical_url
+
+
+@pytest.mark.parametrize("scope,size_percent", [("full", None), ("full", 20), ("head", None)])
+def test_support_in_overflowing_buckets(spark, scope, size_percent):
+    rng = random.Random(7)
+    parts = ["", "a", "b", "ab", "www.", "index"]
+    urls = [(rng.choice(parts) + rng.choice(parts) + "/x" + rng.choice(parts), rng.randrange(1, 40)) for _ in range(150)]
+    log = spark.createDataFrame(urls, "url string, size int")
+    rules = lambda **kw: {(r.alpha, r.beta): r.support for r in dust.likely_rules(log, scope, size_percent, **kw).collect()}
+    everything = rules(max_bucket=10**9)
+    few = rules(max_bucket=12)
+    got = rules(max_bucket=12, count_overflow=True)
+    assert got == {k: everything[k] for k in few}
+    assert few and few != got
