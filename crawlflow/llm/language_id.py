@@ -4,8 +4,8 @@ Learning counts, per language, the documents that hold each character n-gram (n
 lower-cased letters with one space around words) in a bounded sample of labelled rows, and keeps
 the n-grams that at least ``min_share`` of the language's sampled documents hold, and ``RELATIVE``
 times the share of the language that holds them most, as texts quote others. They go into one
-Bloom filter whose slots hold a bitmask of languages instead of a bit: the bit-sliced form of one
-filter per language. An n-gram probes ``PROBES`` slots; the AND of the masks names every language
+Bloom filter whose slots hold a bitmask of languages instead of a bit, of as many 64-bit words as
+the languages need: the bit-sliced form of one filter per language. An n-gram probes ``PROBES`` slots; the AND of the masks names every language
 that has it (and, rarely, one that has not).
 
 A text is decided by the popcounts per language over all its n-grams. A language whose slots are
@@ -35,7 +35,7 @@ MIN_SHARE = 0.002
 RELATIVE = 0.4
 SLOTS = 1 << 18
 PROBES = 3
-MAX_LANGUAGES = 64
+WORD_BITS = 64
 SIZES = (1, 2, 3)
 UNDETERMINED = "und"
 HELD_OUT = (3, 1)
@@ -83,25 +83,26 @@ def probes(keys: np.ndarray, slots: int) -> Iterator[np.ndarray]:
 
 @dataclass(frozen=True)
 class LanguageFilter:
-    """One array of language bitmasks per n-gram length."""
+    """Per n-gram length the language bitmasks: a line of slots per 64 languages."""
 
     languages: tuple[str, ...]
     masks: dict[int, np.ndarray]
 
     @classmethod
     def build(cls, languages: list[str], grams: dict[tuple[int, str], np.ndarray], slots: int = SLOTS) -> LanguageFilter:
-        masks = {n: np.zeros(slots, np.uint64) for n in SIZES}
+        masks = {n: np.zeros((-(-len(languages) // WORD_BITS), slots), np.uint64) for n in SIZES}
         for (n, language), keys in grams.items():
-            bit = np.uint64(1 << languages.index(language))
+            word, bit = divmod(languages.index(language), WORD_BITS)
             for at in probes(keys, slots):
-                masks[n][at] |= bit
+                masks[n][word][at] |= np.uint64(1 << bit)
         return cls(tuple(languages), masks)
 
-    def holders(self, keys: np.ndarray, n: int) -> np.ndarray:
-        """The bitmask of languages that contain each n-gram."""
+    def holders(self, keys: np.ndarray, n: int, word: int = 0) -> np.ndarray:
+        """The bitmask of languages (of 64, the ``word``-th ones) that contain each n-gram."""
         found = np.full(len(keys), np.uint64(0xFFFFFFFFFFFFFFFF))
-        for at in probes(keys, len(self.masks[n])):
-            found &= self.masks[n][at]
+        masks = self.masks[n][word]
+        for at in probes(keys, len(masks)):
+            found &= masks[at]
         return found
 
     def evidence(self, points: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
@@ -109,12 +110,13 @@ class LanguageFilter:
         total = np.zeros((n_rows, len(self.languages)))
         for n in SIZES:
             keys, at = gram_keys(points, rows, n)
-            found = self.holders(keys, n)
             many = np.bincount(at, minlength=n_rows)
             for k in range(len(self.languages)):
-                bit = np.uint64(1 << k)
+                word, bit = k // WORD_BITS, np.uint64(1 << k % WORD_BITS)
+                if k % WORD_BITS == 0:
+                    found = self.holders(keys, n, word)
                 hits = np.bincount(at[(found & bit) != 0], minlength=n_rows)
-                fill = np.count_nonzero(self.masks[n] & bit) / len(self.masks[n])
+                fill = np.count_nonzero(self.masks[n][word] & bit) / len(self.masks[n][word])
                 false = fill**PROBES
                 total[:, k] += n * np.maximum(0, hits - many * false) / max(1e-9, 1 - false)
         return total
@@ -123,14 +125,14 @@ class LanguageFilter:
 def learn(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, min_share: float = MIN_SHARE) -> LanguageFilter:
     """The filter of ``docs`` (``doc_id, text, lang``); only rows with a text and a language teach.
 
-    The driver receives at most ``MAX_LANGUAGES * len(SIZES) * MAX_GRAMS`` n-grams. Of more than
-    ``MAX_LANGUAGES`` languages, the commonest are learned, as a mask has so many bits.
+    The driver receives at most ``len(SIZES) * MAX_GRAMS`` n-grams of each language. All languages
+    are learned.
     """
     rows = docs.select("doc_id", "text", "lang").where("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     total = sum(r["count"] for r in sizes)
     if not total:
-        return LanguageFilter((), {n: np.zeros(SLOTS, np.uint64) for n in SIZES})
+        return LanguageFilter((), {n: np.zeros((0, SLOTS), np.uint64) for n in SIZES})
     per_language = max(1, sample_rows // len(sizes))
     sample = None  # the same number of rows of each language, so that a small one is learned as well
     for r in sizes:
@@ -170,7 +172,7 @@ def learn(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, min_share: float =
 
 def identify(docs: DataFrame, model: LanguageFilter) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_LANGUAGES bits in SLOTS slots per length
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # a bit per language in SLOTS slots per length
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value

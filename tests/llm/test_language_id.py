@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from crawlflow.llm import language_id as L
 from crawlflow.llm.common import table
@@ -51,3 +52,24 @@ def test_held_out_accuracy(spark):
     truth = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}
     got = [r.lang_pred == truth[r.doc_id] for r in pred.collect()]
     assert len(got) > 200 and np.mean(got) > 0.97
+
+
+def test_more_than_64_languages():
+    languages = [f"l{k:03d}" for k in range(150)]
+    words = [chr(0x4E00 + 3 * k) + chr(0x4E01 + 3 * k) + chr(0x4E02 + 3 * k) for k in range(150)]
+    points, rows = L.code_points(pa.array(words))
+    grams = {}
+    for n in L.SIZES:
+        keys, at = L.gram_keys(points, rows, n)
+        grams |= {(n, language): keys[at == k] for k, language in enumerate(languages)}
+    found = L.LanguageFilter.build(languages, grams).evidence(points, rows, len(words))
+    assert found.argmax(axis=1).tolist() == list(range(150))
+
+
+def test_rare_languages_are_learned(spark):
+    docs = [(100 * k + i, (chr(0x4E00 + 2 * k) + chr(0x4E01 + 2 * k) + " ") * 4, f"l{k:02d}") for k in range(66) for i in range(2 if k == 65 else 3)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = L.learn(frame)
+    assert len(model.languages) == 66
+    got = {r.doc_id: r.lang_pred for r in L.identify(frame, model).collect()}
+    assert got == {d: lang for d, _, lang in docs}
