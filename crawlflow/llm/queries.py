@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crawlflow.llm import (
-    decontamination, language_id, license_scan, quality_rules, repeats, secret_scan, sentence_pieces, simhash, token_counts, toxicity,
+    byte_pairs, decontamination, fill_middle, language_id, license_scan, quality_rules, repeats, secret_scan, sentence_pieces, simhash, token_counts, toxicity,
 )
 from crawlflow.llm.common import table
 
@@ -148,3 +148,36 @@ def op2_decontamination(spark, sf_dir):
 @query
 def op1_suffix_dedup(spark, sf_dir):
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op11_fill_middle(spark, sf_dir):
+    made = fill_middle.fill_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(), 256).alias("restored_sha256"),
+    )
+
+
+ORACLE["op11_fill_middle"] = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                  sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s FROM documents),
+h AS (SELECT *, CAST('0x' || s[1:8] AS BIGINT) AS h1, CAST('0x' || s[9:16] AS BIGINT) AS h2,
+             CAST('0x' || s[17:24] AS BIGINT) AS h3, CAST('0x' || s[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS p, greatest(h1 % (n + 1), h2 % (n + 1)) AS m,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+x AS (SELECT *, substr(t, 1, p) AS a, substr(t, p + 1, m - p) AS b, substr(t, m + 1) AS z FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN p END AS prefix_chars, CASE WHEN form <> 'plain' THEN m - p END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || b
+              ELSE '<S>' || z || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM x"""
+
+
+@query
+def op13_byte_pairs(spark, sf_dir):
+    encoded = byte_pairs.encode(table(spark, sf_dir, "documents"))
+    digest = F.sha2(byte_pairs.ids_text("ids"), 256).alias("ids_sha256")
+    back = byte_pairs.decode(encoded.select("doc_id", "n_tokens", digest, "ids"))
+    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
