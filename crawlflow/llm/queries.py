@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crawlflow.llm import (
-    byte_pairs, decontamination, fill_middle, language_id, license_scan, quality_rules, repeats, secret_scan, sentence_pieces, simhash, token_counts, toxicity,
+    byte_pairs, decontamination, fill_middle, language_id, license_scan, prefix_trie, quality_rules, repeats, secret_scan, sentence_pieces, simhash, token_counts, toxicity,
 )
 from crawlflow.llm.common import table
 
@@ -181,3 +181,30 @@ def op13_byte_pairs(spark, sf_dir):
     digest = F.sha2(byte_pairs.ids_text("ids"), 256).alias("ids_sha256")
     back = byte_pairs.decode(encoded.select("doc_id", "n_tokens", digest, "ids"))
     return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt_paths(table(spark, sf_dir, "conversations")))
+
+
+# Brute force: every beginning of every conversation as a list, every node once for each of its ancestors.
+ORACLE["op12_prefix_trie"] = """
+WITH tab AS (SELECT list(v ORDER BY i) AS tab FROM (
+       SELECT i, list_reduce(list_prepend(CAST(i AS BIGINT), range(8)),
+                             lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END) AS v FROM range(256) AS r(i))),
+own AS (SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS a
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT c, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                                lambda x, y: xor(x // 256, tab[(xor(x, y) & 255) + 1])), 4294967295) % 9 AS h FROM own, tab),
+p AS (SELECT o.c, list_concat(coalesce(b.a[1:h], []), o.a[h + 1:]) AS p FROM own o JOIN h USING (c) LEFT JOIN own b ON b.c = o.c - o.c % 5),
+m AS (SELECT c, p[1:d] AS q, d, d = len(p) AS ends FROM (SELECT c, p, unnest(range(0, len(p) + 1)) AS d FROM p)),
+n AS (SELECT q, d, min(c) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256 FROM m GROUP BY q, d),
+k AS (SELECT q[1:d - 1] AS q, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+f AS (SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.d > 0 THEN (n_convs - 1) * strlen(n.q[n.d].t) ELSE 0 END AS gain
+      FROM n LEFT JOIN k USING (q, d)),
+s AS (SELECT q[1:u] AS q, u AS d, count(*) FILTER (n_children = 0) AS n_leaves, sum(gain) AS saved
+      FROM (SELECT q, gain, n_children, unnest(range(0, d + 1)) AS u FROM f) GROUP BY 1, 2)
+SELECT f.conv_id, f.d AS depth, o.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM f JOIN s USING (q, d) LEFT JOIN n o ON o.d = f.d - 1 AND o.q = f.q[1:f.d - 1]"""
