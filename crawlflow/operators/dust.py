@@ -6,6 +6,8 @@ envelope (same text before and after) on pages of similar size vote for a rule a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window as W
 
@@ -371,9 +373,16 @@ def mine_supported_rules(
     size_percent: int | None = None,
     order: str = "asc",
     reading: str = "intent",
+    min_support: int = 1,
+    only: Callable[[DataFrame], DataFrame] = lambda rules: rules,
 ) -> DataFrame:
-    """``(pos, alpha, beta, support)`` of the final rules; those with most support have the first ``pos``."""
-    ranked = materialize(ranked_rules(likely_rules(size_log, scope, size_percent), order), "ranked_rules")
+    """``(pos, alpha, beta, support)`` of the final rules; those with most support have the first ``pos``.
+
+    ``min_support`` and ``only`` select likely rules before redundant ones are eliminated, so that no rule
+    is given up for one that is not used.
+    """
+    likely = only(likely_rules(size_log, scope, size_percent).where(F.col("support") >= min_support))
+    ranked = materialize(ranked_rules(likely, order), "ranked_rules")
     gone = eliminated_positions(refinements(ranked, reading), reading)
     final = ranked.join(gone, "pos", "left_anti")
     return final.select((-F.col("support")).alias("pos"), "alpha", "beta", "support")

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Iterator
+from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from crawlflow.session import materialize
+
 # Rule applications per URL unless told otherwise, and the result that drops a URL.
 MAX_STEPS = 100
 FILTERED = "--filtered--"
 
-#: Rules that let a URL grow beyond this many characters have no end; it is then left as it stands.
-MAX_LENGTH = 1 << 16
+#: Scheme and host, which mined rules leave alone.
+HOST = "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
 
 
 def one_direction(rules: DataFrame) -> DataFrame:
@@ -76,65 +76,59 @@ def apply_rules(
     )
 
 
-class Rewriter:
-    """All of an ordered list of rules, found in a URL through a dictionary of their alphas."""
-
-    def __init__(self, rules: list[tuple[str, str]]) -> None:
-        self.rules = [(a, b) for a, b in rules if a and b is not None and a != b]
-        self.places: dict[str, list[int]] = {}
-        for k, (alpha, _) in enumerate(self.rules):
-            self.places.setdefault(alpha, []).append(k)
-        self.lengths = sorted(set(map(len, self.places)))
-
-    def following(self, url: str, start: int) -> int | None:
-        """The first rule from ``start`` on whose alpha occurs in ``url``."""
-        found = None
-        for n in self.lengths:
-            for at in {url[i : i + n] for i in range(len(url) - n + 1)} & self.places.keys():
-                places = self.places[at]
-                k = bisect_left(places, start)
-                if k < len(places) and (found is None or places[k] < found):
-                    found = places[k]
-        return found
-
-    def round(self, url: str) -> str:
-        k = self.following(url, 0)
-        while k is not None and len(url) <= MAX_LENGTH:
-            url = url.replace(*self.rules[k])
-            k = self.following(url, k + 1)
-        return url
-
-    def rewrite(self, url: str | None) -> str | None:
-        """``url`` after rounds until one changes nothing. Where rounds lead in a circle, the shortest
-        and then smallest URL of the circle is taken."""
-        if url is None:
-            return None
-        seen = [url]
-        known = {url: 0}
-        while len(url) <= MAX_LENGTH:
-            url = self.round(url)
-            if url in known:
-                return min(seen[known[url] :], key=lambda u: (len(u), u))
-            known[url] = len(seen)
-            seen.append(url)
-        return url
-
-
-def apply_all_rules(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """Like ``apply_rules``, but with every rule and without a number of steps.
-
-    Rules go by ``pos`` if they have it, then by beta and alpha. They are collected and broadcast once.
+def decreasing(rules: DataFrame) -> DataFrame:
+    """The rules that make whatever they apply to shorter, or at equal length smaller as text.
+
+    Rewriting by such rules alone ends, in whatever order they come: there is no endless descent.
+    Of a rule and its inverse, which mined sets hold side by side, exactly one is kept.
+    """
+    shorter = F.length("beta") < F.length("alpha")
+    smaller = (F.length("beta") == F.length("alpha")) & (F.col("beta") < F.col("alpha"))
+    return rules.where(shorter | smaller)
+
+
+def _substrings(text: str, lengths: str) -> Column:
+    """The distinct substrings of the given lengths."""
+    at = f"sequence(1, greatest(1, length({text}) - n + 1))"
+    every = f"flatten(transform(filter({lengths}, n -> n <= length({text})), n -> transform({at}, p -> substring({text}, p, n))))"
+    return F.expr(f"array_distinct({every})")
+
+
+def apply_decreasing(urls: DataFrame, rules: DataFrame, url: str = "url", keep_host: bool = True) -> DataFrame:
+    """Add ``canonical_url``: every decreasing rule is applied until none fits.
+
+    A round finds the rules whose alpha a URL holds as the round begins, of equal alphas the first, and
+    applies them in order (``pos`` if there is one, then beta and alpha), each to every occurrence of its
+    alpha that is still there. Rounds go on for URLs that held a rule. As every rule decreases, they end,
+    no result is longer than its URL, and there is neither a bound on the rules or steps nor a circle.
+
+    With ``keep_host`` rules see what follows the host only. Rules that do not decrease are left out. Null
+    URLs, and those rewritten to the filter mark, are dropped. Repeated URLs are worked on once.
+
+    Rules are found by an equi-join of a URL's substrings, so the rule table is neither collected nor
+    broadcast unless Spark measures it as small. What a round gathers for a URL is at most one rule for
+    each of its substrings. Each round is written, and works on the URLs alone that moved in the one before.
     """
     order = [c for c in ("pos", "beta", "alpha") if c in rules.columns]
-    listed = [(r["alpha"], r["beta"]) for r in rules.orderBy(*order).select("alpha", "beta").collect()]
-    shared = urls.sparkSession.sparkContext.broadcast(listed)
-    at = urls.columns.index(url)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rewriter = Rewriter(shared.value)
-        for batch in batches:
-            fresh = pa.array(map(rewriter.rewrite, batch.column(at).to_pylist()), pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, fresh], [*batch.schema.names, "canonical_url"])
-
-    schema = urls.withColumn("canonical_url", F.lit(None).cast("string")).schema
-    return urls.mapInArrow(run, schema).where(F.col("canonical_url") != FILTERED)
+    place = F.min(F.struct(*order)).alias("due")
+    known = decreasing(rules).groupBy("alpha").agg(place)
+    known = materialize(known, "rules_by_alpha")
+    sizes = known.agg(F.sort_array(F.collect_set(F.length("alpha"))))
+    head = F.regexp_extract("origin", HOST, 0) if keep_host else F.lit("")
+    active = urls.select(F.col(url).alias("origin")).where("origin is not null").distinct()
+    active = active.select("origin", head.alias("head"), F.col("origin").alias("rest"))
+    active = materialize(active.select("origin", "head", F.expr("substring(rest, length(head) + 1)").alias("rest")), "urls_to_rewrite")
+    ended = []
+    while True:
+        held = active.withColumn("_sizes", sizes.scalar()).select("origin", F.explode(_substrings("rest", "_sizes")).alias("alpha"))
+        found = held.join(known, "alpha").groupBy("origin").agg(F.array_sort(F.collect_list("due")).alias("due"))
+        fresh = F.coalesce(F.aggregate("due", F.col("rest"), lambda u, r: F.replace(u, r["alpha"], r["beta"])), "rest")
+        step = active.join(found, "origin", "left").select("origin", "head", fresh.alias("rest"), F.isnotnull("due").alias("moved"))
+        step = materialize(step, "rewrite_round")
+        ended.append(step.where(~F.col("moved")))
+        active = step.where("moved").drop("moved")
+        if active.isEmpty():
+            break
+    results = reduce(DataFrame.unionByName, ended).select(F.col("origin").alias("_origin"), F.concat("head", "rest").alias("canonical_url"))
+    joined = urls.join(results.where(F.col("canonical_url") != FILTERED), F.col(url) == F.col("_origin"))
+    return joined.select(*[urls[c] for c in urls.columns], "canonical_url")

@@ -286,13 +286,20 @@ def dust_apply_rules(spark, sf_dir):
     return dust_apply.apply_rules(urls, I.rewrite_rules(spark))
 
 
+#: Least support of a rule that ``dust_apply_mined`` applies.
+APPLIED_SUPPORT = 3
+
+
 @query
 def dust_apply_mined(spark, sf_dir):
-    """Mine, write, read and apply: all rules, one direction of each pair, to all pages."""
-    pages = I.table(spark, sf_dir, "pages")
+    """Mine, write, read and apply: pages under two spellings, whose rules all decrease."""
+    pages = I.spelled(I.table(spark, sf_dir, "pages"))
+    rules = dust.mine_supported_rules(
+        seeds.page_sizes(pages), size_percent=20, order="desc", min_support=APPLIED_SUPPORT, only=dust_apply.decreasing
+    )
     out = scratch_path(spark, "rules")
-    sinks.write_rules(dust.mine_supported_rules(seeds.page_sizes(pages)), out)
-    return dust_apply.apply_all_rules(pages.select("url"), dust_apply.one_direction(spark.read.parquet(out)))
+    sinks.write_rules(rules, out)
+    return dust_apply.apply_decreasing(pages.select("url"), spark.read.parquet(out))
 
 
 # Streams

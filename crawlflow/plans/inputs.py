@@ -158,3 +158,14 @@ def rewrite_rules(spark: SparkSession) -> DataFrame:
     ]
     rows = [(i, alpha, beta) for i, (alpha, beta) in enumerate(rules)]
     return spark.createDataFrame(rows, "pos int, alpha string, beta string")
+
+
+def spelled(pages: DataFrame) -> DataFrame:
+    """``(url, html)``: each page under its own URL and under another spelling that a site may offer."""
+    other = F.expr(
+        """
+        case page_id % 4 when 0 then concat(url, '/index.html') when 1 then concat(url, '?sid=1')
+            when 2 then concat(url, '#top') else replace(url, '/en/', '/en-us/') end
+        """
+    )
+    return pages.select(F.explode(F.array_distinct(F.array("url", other))).alias("url"), "html")

@@ -305,6 +305,39 @@ def rewritten() -> str:
     return text
 
 
+SPELLED = f"""spelled AS (
+    SELECT unnest(list_distinct([url, CASE page_id % 4 WHEN 0 THEN url || '/index.html' WHEN 1 THEN url || '?sid=1'
+        WHEN 2 THEN url || '#top' ELSE replace(url, '/en/', '/en-us/') END])) AS url, html FROM pages)"""
+
+
+def nested(ctes: str, name: str = "final") -> str:
+    """CTEs that end in a SELECT, with that as one more CTE."""
+    at = ctes.rindex("\n    SELECT alpha, beta FROM ranked")
+    return f"{ctes[:at]},\n    {name} AS ({ctes[at:]})"
+
+
+def applied(min_support: int) -> str:
+    """Rules of the spelled pages by most support, one an alpha, applied round by round until none fits."""
+    rows = FULL_ROWS.replace("FROM pages", "FROM spelled")
+    mined = likely(rows, WITHIN_20).replace("    likely AS (", "    every AS (")
+    return f"""WITH RECURSIVE {SPELLED}, {mined},
+    likely AS (SELECT * FROM every WHERE support >= {min_support}
+        AND (length(beta) < length(alpha) OR length(beta) = length(alpha) AND beta < alpha)),
+    {ranked('DESC')}, {pairs()}, {nested(final_rules())},
+    rules AS (SELECT alpha, min({{'pos': -support, 'beta': beta}}) AS due FROM final JOIN likely USING (alpha, beta) GROUP BY 1),
+    starts AS (SELECT DISTINCT url AS origin, regexp_extract(url, '^{NAME}://[^/?#]*') AS head FROM spelled),
+    rounds AS (
+        SELECT origin, substr(origin, length(head) + 1) AS rest, 0 AS n FROM starts
+        UNION ALL
+        SELECT origin, list_reduce(list_prepend({{'a': '', 'b': any_value(rest)}},
+            list({{'a': alpha, 'b': due.beta}} ORDER BY due.pos, due.beta, alpha)),
+            lambda x, y: {{'a': '', 'b': replace(x.b, y.a, y.b)}}).b, n + 1
+        FROM rounds JOIN rules ON contains(rest, alpha) GROUP BY origin, n)
+    SELECT s.url, head || last.rest AS canonical_url
+    FROM spelled s JOIN starts ON origin = s.url
+    JOIN (SELECT origin, max_by(rest, n) AS rest FROM rounds GROUP BY 1) last USING (origin)"""
+
+
 def frontier(seeds: str) -> str:
     moved = "status IN (301, 302, 303)"
     return f"""
@@ -448,6 +481,7 @@ def _queries() -> dict[str, str]:
         "dust_overflow_head": f"WITH {HEAD_ROWS} {over}",
         "dust_final_rules_literal": f"WITH {full}, {ranked()}, {pairs(True)}, {final_rules(True)}",
         "dust_final_rules_full": f"WITH {likely(FULL_ROWS, LITERAL)}, {ranked('DESC')}, {pairs()}, {final_rules()}",
+        "dust_apply_mined": applied(3),
         "dust_apply_rules": f"SELECT url, {rewritten()} AS canonical_url FROM pages",
     }
 

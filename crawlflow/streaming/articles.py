@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from crawlflow.operators.crawl import admit, article_tokens, feedback
-from crawlflow.operators.dust_apply import apply_all_rules
+from crawlflow.operators.dust_apply import apply_decreasing
 
 
 def read_folder(
@@ -49,12 +49,13 @@ def stream_frontier(
 def stream_rewrites(urls: DataFrame, rules_path: str, path: str, checkpoint: str) -> StreamingQuery:
     """Apply the rule table as it stands when each micro-batch starts.
 
-    A micro-batch that is run again replaces its own folder.
+    Only rules that decrease a URL are applied (``apply_decreasing``). A micro-batch that is run again
+    replaces its own folder.
     """
 
     def apply_current(batch: DataFrame, batch_id: int) -> None:
         rules = batch.sparkSession.read.parquet(rules_path)
-        apply_all_rules(batch, rules).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        apply_decreasing(batch, rules).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
         urls.writeStream.foreachBatch(apply_current)

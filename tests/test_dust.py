@@ -1,11 +1,12 @@
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from crawlflow.operators import dust
-from crawlflow.operators.dust_apply import MAX_STEPS, apply_all_rules, apply_rules, one_direction
+from crawlflow.operators.dust_apply import MAX_STEPS, apply_decreasing, apply_rules, decreasing, one_direction
 from crawlflow.sources.seeds import page_sizes
 from crawlflow.sources.sinks import write_rules
 
@@ -260,53 +261,72 @@ def test_more_than_the_default_steps(spark):
     assert apply_rules(url, frame).first().canonical_url == "<100>"
 
 
-def all_rewritten(url, rules):
-    for _ in range(1000):
-        before = url
-        for alpha, beta in rules:
-            url = url.replace(alpha, beta)
-        if url == before:
-            return url
-    raise AssertionError(url)
+def all_rewritten(url, rules, keep_host=False):
+    """Rounds over the rules that a round begins with, of equal alphas the first."""
+    host = re.match("[a-z]+://[^/?#]*|", url).group() if keep_host else ""
+    first = {}
+    for alpha, beta in rules:
+        if (len(beta), beta) < (len(alpha), alpha):
+            first.setdefault(alpha, beta)
+    rest = url[len(host) :]
+    while due := [(a, b) for a, b in first.items() if a in rest]:
+        for alpha, beta in due:
+            rest = rest.replace(alpha, beta)
+    return host + rest
 
 
 def test_all_rules_apply(spark):
     rng = random.Random(6)
     chain = [(f"<{k}>", f"<{k + 1}>") for k in range(400)]
-    mixed = [("".join(rng.choices("abc", k=3)), "".join(rng.choices("abc", k=rng.randrange(3)))) for _ in range(300)]
-    urls = ["".join(rng.choices("abc", k=30)) for _ in range(40)] + ["<0>", "<399>x", "", "drop"]
-    for rules in (chain, chain[::-1], mixed, [*mixed, ("drop", "--filtered--")]):
+    words = lambda n: "".join(rng.choices("abc", k=rng.randrange(n)))
+    mixed = [(words(4), words(4)) for _ in range(300)]
+    few = [(words(4), words(3)) for _ in range(8)]
+    urls = ["".join(rng.choices("abc", k=30)) for _ in range(40)] + ["<0>", "<399>x", "<9>", "", "--filtered--drop", "http://abc/abcabc", "http://abc?aab"]
+    urls += urls[:3]
+    for rules in (chain, chain[::-1], mixed, few, [*few, ("drop", "")]):
         frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rules)], "pos int, alpha string, beta string")
-        got = apply_all_rules(spark.createDataFrame([(u, 1) for u in urls], "url string, n int"), frame)
-        want = [(u, 1, all_rewritten(u, rules)) for u in urls]
-        assert sorted(map(tuple, got.collect())) == sorted(w for w in want if w[2] != "--filtered--")
+        for keep_host in (True, False):
+            given_urls = spark.createDataFrame([(u, 1) for u in urls], "url string, pos int")
+            got = apply_decreasing(given_urls, frame, keep_host=keep_host).collect()
+            want = [(u, 1, all_rewritten(u, rules, keep_host)) for u in urls]
+            assert sorted(map(tuple, got)) == sorted(w for w in want if w[2] != "--filtered--")
+            assert all(len(r.canonical_url) <= len(r.url) for r in got)
 
 
-def test_all_rules_in_circles_and_without_end(spark):
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.text("ab", max_size=3), st.text("ab", max_size=3)), max_size=12), st.lists(st.text("ab", max_size=12), min_size=1, max_size=8))
+def test_any_rules_end(spark, rules, urls):
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rules)], "pos int, alpha string, beta string")
+    got = apply_decreasing(spark.createDataFrame([(u,) for u in urls], "url string"), frame).collect()
+    assert sorted(map(tuple, got)) == sorted((u, all_rewritten(u, rules)) for u in urls)
+
+
+def test_rules_in_circles_and_without_end(spark):
     urls = spark.createDataFrame([("a",), ("b",), ("xc",), (None,)], "url string")
-    frame = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "cc"), ("", "z")], "alpha string, beta string")
-    got = {r.url: r.canonical_url for r in apply_all_rules(urls, frame).collect()}
-    assert got["a"] == got["b"] and len(got["xc"]) > 100 and None not in got
-    assert apply_all_rules(urls, frame.where("false")).count() == 3
+    frame = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "cc"), ("", "z"), (None, "a"), ("x", None)], "alpha string, beta string")
+    got = {r.url: r.canonical_url for r in apply_decreasing(urls, frame).collect()}
+    assert got == {"a": "a", "b": "a", "xc": "xc"}
+    assert apply_decreasing(urls, frame.where("false")).count() == 3
+    assert apply_decreasing(urls.where("false"), frame).count() == 0
 
 
 def test_mined_rules_are_all_applied(spark):
-    from crawlflow.plans.catalogue import QUERIES
+    from crawlflow.plans import inputs
+    from crawlflow.plans.catalogue import APPLIED_SUPPORT, QUERIES
 
     sf = "/root/testdata/sf0.001"
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     rules = dust.mine_supported_rules(page_sizes(pages))
     assert {(r.alpha, r.beta) for r in rules.collect()} == {(r.alpha, r.beta) for r in dust.mine_rules(page_sizes(pages)).collect()}
-    listed = [(r.alpha, r.beta) for r in one_direction(rules).orderBy("pos", "beta", "alpha").collect()]
-    assert listed
+    log = page_sizes(inputs.spelled(pages))
+    rules = dust.mine_supported_rules(log, size_percent=20, order="desc", min_support=APPLIED_SUPPORT, only=decreasing)
+    listed = rules.orderBy("pos", "beta", "alpha").collect()
+    assert listed and all(r.support >= APPLIED_SUPPORT for r in listed)
     got = QUERIES["dust_apply_mined"](spark, sf).collect()
-    assert len(got) == pages.count()
-    # No rule is left that would still change a result: what a whole round gives is the URL again.
-    for r in got[:200]:
-        url = r.canonical_url
-        for alpha, beta in listed:
-            url = url.replace(alpha, beta)
-        assert url == r.canonical_url
+    assert len(got) == log.count()
+    assert len({r.canonical_url for r in got}) < len({r.url for r in got})
+    pairs = [(r.alpha, r.beta) for r in listed]
+    assert all(r.canonical_url == all_rewritten(r.url, pairs, keep_host=True) for r in got)
 
 
 @pytest.mark.parametrize("scope,size_percent", [("full", None), ("full", 20), ("head", None)])

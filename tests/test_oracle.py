@@ -26,4 +26,5 @@ def test_every_twin_has_a_query():
 def test_entry(spark):
     result = entry(spark)
     assert result.columns == ["alpha", "beta"]
-    assert result.count() == 514
+    assert result.count() == 69
+    assert queries()["dust_final_rules_head"](spark, FOLDER).count() == 514
