@@ -77,14 +77,20 @@ def out_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return H.with_out_links(pages).select(key, F.explode(once("links")).alias("link"))
 
 
+def moved_target(url: str = "url", target: str = "moved_to") -> Column:
+    """The target of a move as an absolute URL."""
+    return U.resolve_link(F.trim(target), U.link_base(F.col(url)))
+
+
 def feedback(fetch_log: DataFrame, now: Column, max_attempts: int | None = None) -> DataFrame:
     """``(url, date, origin, attempt)`` that fetch results send back: moves, retries, out-links.
 
-    The log is read once for the three kinds. ``max_attempts`` stops retries (``quarantine``
-    reports them).
+    The log is read once for the three kinds. A target is resolved against the URL that moved. A row
+    without a status is like any other status: its links go back if there is content. ``max_attempts``
+    stops retries (``quarantine`` reports them).
     """
-    moved = F.col("status").isin(*MOVED)
-    retry = F.col("status").isin(*RETRY)
+    moved = F.coalesce(F.col("status").isin(*MOVED), F.lit(False))
+    retry = F.coalesce(F.col("status").isin(*RETRY), F.lit(False))
     if max_attempts is not None:
         retry = retry & (F.col("attempt") < max_attempts)
     first = F.lit(1)
@@ -104,7 +110,7 @@ def feedback(fetch_log: DataFrame, now: Column, max_attempts: int | None = None)
     return content.select(
         F.inline(
             F.concat(
-                rows(moved & F.col("moved_to").isNotNull(), F.array("moved_to"), "redirect", first),
+                rows(moved & F.col("moved_to").isNotNull(), F.array(moved_target()), "redirect", first),
                 rows(retry, F.array("url"), "retry", (F.col("attempt") + 1).cast("int")),
                 rows(F.coalesce("_content", F.lit(False)), F.col("links"), "outlink", first),
             )

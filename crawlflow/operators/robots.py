@@ -35,8 +35,8 @@ def parse(robots_txt: DataFrame, agent: str = AGENT) -> DataFrame:
     )
 
 
-def permit(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
-    """Keep the URLs their host allows.
+def with_denied(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+    """Add ``denied``: whether the host forbids the URL.
 
     A URL is allowed when no disallowed prefix fits its path, or an allowed one does. Rules are
     gathered to one row per host, so the join adds no rows and a host with very many URLs can be
@@ -53,4 +53,9 @@ def permit(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
         return F.exists(prefixes, lambda p: F.col("_path").startswith(p))
 
     denied = F.coalesce(fits("_disallow") & ~fits("_allow"), F.lit(False))
-    return joined.where(~denied).select(*urls.columns)
+    return joined.select(*urls.columns, denied.alias("denied"))
+
+
+def permit(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
+    """Keep the URLs their host allows."""
+    return with_denied(urls, rules, url).where("not denied").drop("denied")

@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crawlflow import schemas
 from crawlflow.functions import html as H, text as X, url as U
-from crawlflow.operators import crawl, dust, dust_apply, politeness, redirects, robots
+from crawlflow.operators import crawl, dust, dust_apply, flow, politeness, redirects, robots
 from crawlflow.plans import inputs as I
-from crawlflow.session import once, scratch_path, spread
+from crawlflow.session import materialize, once, scratch_path, spread
 from crawlflow.sources import seeds, sinks
 from crawlflow.streaming.articles import read_folder, stream_articles, stream_frontier
+from crawlflow.streaming.flow import stream_flow
 from crawlflow.streaming.throttle import stream_throttle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +146,19 @@ def quarantine(pages):
     return crawl.quarantine(I.fetch_log(pages), max_attempts=3)
 
 
+def _whole_flow(spark, sf_dir, run):
+    pages = I.table(spark, sf_dir, "pages")
+    known = materialize(I.web(pages), "web"), materialize(robots.parse(I.robots_files(pages)), "robots")
+    out = scratch_path(spark, "flow")
+    return run(I.crawled(pages).select("url", "date"), *known, I.now(), out)
+
+
+@query
+def crawl_pipeline(spark, sf_dir):
+    """Three steps of the whole flow, every output."""
+    return _whole_flow(spark, sf_dir, flow.crawl_steps)
+
+
 # Text
 
 
@@ -335,3 +349,14 @@ def stream_throttle_plan(spark, sf_dir):
     )
     run.awaitTermination()
     return spark.read.parquet(f"{out}/rows").select("event_id", "user_id", "release_ms")
+
+
+@query
+def stream_pipeline(spark, sf_dir):
+    """The same flow as three micro-batches of a stream that reads what it sends back."""
+
+    def run(seeds, web, rules, now, out):
+        stream_flow(seeds, web, rules, now, out, f"{out}/progress")
+        return flow.results(spark, out)
+
+    return _whole_flow(spark, sf_dir, run)

@@ -169,3 +169,10 @@ def spelled(pages: DataFrame) -> DataFrame:
         """
     )
     return pages.select(F.explode(F.array_distinct(F.array("url", other))).alias("url"), "html")
+
+
+def web(pages: DataFrame) -> DataFrame:
+    """``(url, status, moved_to, fetched_url, html)``: one fetch result for each canonical URL."""
+    log = fetch_log(pages).withColumn("url", F.explode(F.filter(U.canonical_urls(F.array("url")), lambda u: u.isNotNull())))
+    first = F.min(F.struct("date", "status", "moved_to", "fetched_url", "html")).alias("first")
+    return log.groupBy("url").agg(first).select("url", "first.*").drop("date")

@@ -188,7 +188,7 @@ def token_rows(source: str, key: str) -> str:
         lambda w: w NOT IN ({quoted(STOP_WORDS)})) AS k FROM {source})"""
 
 
-ARTICLE_TOKENS = f"""WITH {ARTICLE},
+ARTICLE_LISTS = f"""{ARTICLE},
     articles AS (
         SELECT page_id, coalesce(t, '') AS text FROM pages LEFT JOIN (
             SELECT page_id, string_agg(text, chr(10) ORDER BY n) AS t FROM content WHERE is_content GROUP BY 1)
@@ -196,7 +196,8 @@ ARTICLE_TOKENS = f"""WITH {ARTICLE},
     toks AS ({token_rows('articles', 'page_id')}),
     {stem_ctes('toks')},
     lists AS (
-        SELECT page_id, list(stem ORDER BY pos) AS tokens FROM toks JOIN stems ON w = token GROUP BY 1)
+        SELECT page_id, list(stem ORDER BY pos) AS tokens FROM toks JOIN stems ON w = token GROUP BY 1)"""
+ARTICLE_TOKENS = f"""WITH {ARTICLE_LISTS}
     SELECT url, {DATE} AS date, text, coalesce(tokens, []) AS tokens
     FROM pages JOIN articles USING (page_id) LEFT JOIN lists USING (page_id)"""
 
@@ -356,6 +357,63 @@ def frontier(seeds: str) -> str:
         WHERE url IS NOT NULL AND NOT {REJECTED.replace('{u}', 'url')}"""
 
 
+def whole_flow(steps: int = 3) -> str:
+    """Steps as CTEs, each from the one before; article tokens and links of a page are the same in all."""
+    labels_ = f"string_split({host('url')}, '.')"
+    domain = f"""CASE WHEN array_to_string({labels_}[-2:], '.') IN ({quoted(PUBLIC_SUFFIXES)})
+        THEN array_to_string({labels_}[-3:], '.') ELSE array_to_string({labels_}[-2:], '.') END"""
+    moved, retry = "coalesce(status IN (301, 302, 303), false)", "coalesce(status IN (408, 502, 503), false)"
+    parts = [f"""{FETCH_LOG}, {ROBOTS.replace('bodies', 'files').replace('lines AS', 'file_lines AS').replace('FROM lines', 'FROM file_lines')},
+    web AS MATERIALIZED (SELECT url, unnest(min({{'date': date, 'status': status, 'moved_to': moved_to, 'fetched_url': fetched_url, 'html': html, 'page_id': page_id}}))
+        FROM (SELECT l.* REPLACE ({canonical('l.url')} AS url), p.page_id FROM fetch_log l JOIN (SELECT page_id, {DATE} AS date FROM pages) p USING (date))
+        WHERE url IS NOT NULL GROUP BY url),
+    {ARTICLE_LISTS},
+    fetched AS (SELECT * FROM web WHERE html <> '' AND {IS_HTML}),
+    {links('fetched', 'page_id')},
+    inbox_0 AS (SELECT url, {DATE} AS date, 'seed' AS origin, 1 AS attempt FROM pages)"""]
+    for k in range(steps):
+        before = " UNION ALL ".join(f"SELECT url, attempt, domain, release_ms FROM planned_{j}" for j in range(k))
+        before = before or "SELECT NULL AS url, NULL AS attempt, NULL AS domain, NULL::bigint AS release_ms WHERE false"
+        parts.append(f"""
+    canon_{k} AS MATERIALIZED (SELECT url AS given, {canonical('url')} AS url, date, origin, attempt FROM inbox_{k}),
+    hits_{k} AS (SELECT url, bool_or(kind = 'disallow') AND NOT bool_or(kind = 'allow') AS denied FROM (SELECT DISTINCT url FROM canon_{k})
+        JOIN rules ON host = {host('url')} AND starts_with({path('url')}, prefix) GROUP BY 1),
+    judged_{k} AS MATERIALIZED (SELECT c.*, CASE WHEN url IS NULL THEN 'invalid_url' WHEN {REJECTED.replace('{u}', 'url')} THEN 'rejected'
+        WHEN denied THEN 'robots_denied' END AS reason FROM canon_{k} c LEFT JOIN hits_{k} USING (url)),
+    before_{k} AS ({before}),
+    new_{k} AS (SELECT url, attempt, unnest(min({{'date': date, 'origin': origin}})), {domain} AS domain FROM judged_{k}
+        WHERE reason IS NULL AND NOT EXISTS (SELECT 1 FROM before_{k} b WHERE b.url = judged_{k}.url AND b.attempt = judged_{k}.attempt)
+        GROUP BY url, attempt),
+    ranked_{k} AS (SELECT *, epoch_ms(date) AS ms, row_number() OVER (PARTITION BY domain ORDER BY epoch_ms(date), url || '#' || attempt) AS k FROM new_{k}),
+    planned_{k} AS MATERIALIZED (SELECT r.* EXCLUDE (k, ms), (k * 1000 + greatest(max(ms - k * 1000) OVER (PARTITION BY domain ORDER BY k), last))::bigint AS release_ms
+        FROM ranked_{k} r LEFT JOIN (SELECT domain, max(release_ms) AS last FROM before_{k} GROUP BY 1) USING (domain)),
+    log_{k} AS MATERIALIZED (SELECT p.url, p.attempt, status, moved_to, html, page_id FROM planned_{k} p LEFT JOIN web USING (url)),
+    inbox_{k + 1} AS (
+        SELECT moved_to AS url, {NOW} AS date, 'redirect' AS origin, 1 AS attempt FROM log_{k} WHERE {moved} AND moved_to IS NOT NULL
+        UNION ALL SELECT url, {NOW}, 'retry', attempt + 1 FROM log_{k} WHERE {retry} AND attempt < 3
+        UNION ALL SELECT link, {NOW}, 'outlink', 1 FROM log_{k} JOIN links USING (page_id) WHERE NOT {moved} AND html <> '' AND {IS_HTML}),
+    dropped_{k} AS (SELECT given AS url, reason FROM judged_{k} WHERE reason IS NOT NULL
+        UNION ALL SELECT * FROM (SELECT url, CASE WHEN {moved} AND moved_to IS NULL THEN 'moved_without_target'
+            WHEN {retry} AND attempt >= 3 THEN 'retries_exhausted' WHEN {moved} THEN NULL WHEN html IS NULL THEN 'not_fetched'
+            WHEN html = '' THEN 'empty_page' WHEN NOT {IS_HTML} THEN 'not_html' END AS reason FROM log_{k}) WHERE reason IS NOT NULL)""")
+    nothing = {"attempt": "int", "origin": "varchar", "release_ms": "bigint", "reason": "varchar", "tokens": "varchar[]"}
+
+    def out(k: int, sink: str, source: str, **have: str) -> str:
+        cells = ", ".join(f"{have.get(c, 'NULL')}::{t} AS {c}" for c, t in nothing.items())
+        return f"SELECT {k} AS step, '{sink}' AS sink, url, {cells} FROM {source}"
+
+    return "WITH " + ",".join(parts) + " UNION ALL ".join(
+        "\n" + x
+        for k in range(steps)
+        for x in (
+            out(k, "planned", f"planned_{k}", attempt="attempt", origin="origin", release_ms="release_ms"),
+            out(k, "article", f"(SELECT url, coalesce(tokens, []) AS tokens FROM log_{k} LEFT JOIN lists USING (page_id) WHERE NOT {moved} AND html <> '' AND {IS_HTML})", tokens="tokens"),
+            out(k, "dropped", f"dropped_{k}", reason="reason"),
+            out(k, "frontier", f"inbox_{k + 1}", attempt="attempt", origin="origin"),
+        )
+    )
+
+
 def _queries() -> dict[str, str]:
     moved = "status IN (301, 302, 303)"
     retry = "status IN (408, 502, 503)"
@@ -411,7 +469,9 @@ def _queries() -> dict[str, str]:
             WHERE NOT {moved} AND html IS NOT NULL""",
         "redirect_resolve": f"""
             WITH RECURSIVE {FETCH_LOG},
-            moves AS (SELECT url, moved_to FROM fetch_log WHERE {moved} AND moved_to IS NOT NULL),
+            moves AS (SELECT url, max_by(target, {{'date': date, 'target': target}}) AS moved_to FROM (
+                SELECT coalesce({canonical('url')}, url) AS url, coalesce({canonical('moved_to')}, moved_to) AS target, date
+                FROM fetch_log WHERE {moved} AND moved_to IS NOT NULL) GROUP BY 1),
             chain AS (
                 SELECT url, moved_to AS target, 1::bigint AS hops FROM moves
                 UNION ALL
@@ -450,6 +510,8 @@ def _queries() -> dict[str, str]:
         "token_stems": f"""
             WITH toks AS ({token_rows('documents', 'doc_id')}), {stem_ctes('toks')}
             SELECT doc_id, pos, stem FROM toks JOIN stems ON w = token""",
+        "crawl_pipeline": whole_flow(),
+        "stream_pipeline": whole_flow(),
         "article_tokens": ARTICLE_TOKENS,
         "stream_article_tokens": ARTICLE_TOKENS,
         "throttle_gap": f"""

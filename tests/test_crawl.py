@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,3 +118,17 @@ def test_row_without_status_is_routed_or_named(spark):
     now = F.current_timestamp()
     assert [(r.url, r.stream) for r in crawl.route(log, now).collect()] == [("http://a/", "content")]
     assert [(r.url, r.reason) for r in crawl.quarantine(log).collect()] == [("http://b/", "not_fetched")]
+
+
+def test_targets_are_resolved_and_canonical(spark):
+    """Relative targets, other spellings, a chain through both, a target that is no URL, a row that is none."""
+    rows = [
+        ("http://A.com/a/x?b=2#f", 301, "../y"), ("http://a.com/y", 302, "//b.org"), ("http://b.org/", 303, "/end"), ("http://c.com", 301, "mailto:me@c.com"),
+        ("nothing", 301, "http://a.com/y"), ("http://d.com/1", 301, "2"), ("http://d.com/2#x", 301, "http://d.com:80/1"), ("http://e.com/", 200, None),
+    ]
+    log = spark.createDataFrame([(u, datetime(2024, 1, 1), s, t) for u, s, t in rows], "url string, date timestamp, status int, moved_to string")
+    got = {r.url: (r.final_url, r.hops) for r in redirects.resolve(log).collect()}
+    assert got == {
+        "http://a.com/a/x?b=2": ("http://b.org/end", 3), "http://a.com/y": ("http://b.org/end", 2), "http://b.org/": ("http://b.org/end", 1),
+        "nothing": ("http://b.org/end", 3), "http://c.com/": ("mailto:me@c.com", 1), "http://d.com/1": (None, None), "http://d.com/2": (None, None),
+    }
