@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from crawlflow.operators.sequence import with_position
+from crawlflow.session import materialize
 
 # Delay between two visits of a domain, what counts as recent, and when a domain
 # is over-represented (percent), and the number of workers.
@@ -151,30 +152,65 @@ def recent_urls(offered: DataFrame, recent: int = RECENT) -> DataFrame:
     return offered.select("idx", "url").orderBy(F.desc("idx")).limit(recent)
 
 
-def spread_workers(offered: DataFrame, workers: int = WORKERS, block: int = BLOCK) -> DataFrame:
-    """``(url, worker)``: domains take turns and URLs go round the workers.
+def spread_workers(
+    offered: DataFrame, workers: int = WORKERS, last: DataFrame | None = None, defer_overloaded: bool = False
+) -> DataFrame:
+    """``(idx, url, domain, worker, turn, reason)``: who visits a URL and as which of its visits, from 0 on.
+
+    No worker visits a domain twice in a row. URLs are dealt round the workers, the most frequent domain
+    first, so each worker has its fair part of every domain. Of the domain that fills more than half of a
+    worker's turns, what cannot be kept apart is deferred: ``worker`` and ``turn`` are null and ``reason`` is
+    ``no_worker``; nothing else is. With ``defer_overloaded``, URLs whose domain holds too much of the
+    recent ones are deferred before that, as ``overloaded``. A worker takes its URLs, in the order they
+    are dealt, in every other turn and then in the turns between.
+
+    ``last(worker, domain)`` hands on where each worker was last, so that rounds can follow each other
+    (``last_visits``); a worker that would begin there takes its turns from the end.
 
-    The first URLs of all domains come first, then the second ones, and so on; the position in
-    that order, modulo the number of workers, is the worker. A domain's rank is counted per block
-    of positions and shifted by the counts of earlier blocks.
+    The only sort over all rows is by (domain size, domain, ``idx``) and splits a hot domain; what meets in
+    one place is a row per worker. A null domain counts as the domain without name.
     """
-    named = F.coalesce("domain", F.lit("")).alias("domain")
-    rows = offered.select("idx", "url", named).withColumn(
-        "_block", F.expr(f"(idx - 1) div {block}")
+    named = offered.select("idx", "url", F.coalesce("domain", F.lit("")).alias("domain"))
+    over = None
+    if defer_overloaded:
+        share = recent_domain_share(named).select("idx", "overloaded")
+        judged = materialize(named.join(share, "idx"), "offered")
+        named, over = judged.where("not overloaded").drop("overloaded"), judged.where("overloaded").drop("overloaded")
+    counted = named.join(named.groupBy("domain").agg((-F.count("*")).alias("_rank")), "domain")
+    dealt = with_position(counted, "_rank", "domain", "idx").withColumn("worker", (F.col("pos") % workers).cast("int"))
+    dealt = dealt.withColumn("_q", F.expr(f"pos div {workers}"))
+    # A worker's own most frequent domain goes to its front; its parts differ from fair ones by one at most.
+    parts = dealt.groupBy("worker", "domain").agg(F.count("*").alias("_first"), F.min("_q").alias("_start"))
+    top = F.max_by(F.struct("domain", "_first", "_start"), F.struct("_first", -F.col("_start")))
+    sums = parts.groupBy("worker").agg(F.sum("_first").alias("_n"), top.alias("_t"))
+    sums = sums.select("worker", "_n", F.col("_t.domain").alias("_top"), "_t._first", "_t._start")
+    if last is not None:
+        here = last.select("worker", F.coalesce("domain", F.lit("")).alias("_last"))
+        sums = sums.join(here, "worker", "left")
+    else:
+        sums = sums.withColumn("_last", F.lit(None).cast("string"))
+    back = F.coalesce(F.col("_last") == F.col("_top"), F.lit(False))
+    room = F.col("_n") - F.col("_first") + F.when(back, 0).otherwise(1)
+    plan = sums.select("worker", back.alias("_back"), F.least("_first", room).alias("_kept"), (F.col("_first") - F.least("_first", room)).alias("_cut"), "_n", "_first", "_start", "_top")
+    rows = dealt.join(F.broadcast(plan), "worker")  # a row per worker
+    moved = F.when(F.col("domain") == F.col("_top"), F.col("_q") - F.col("_start"))
+    rows = rows.withColumn("_q", moved.when(F.col("_q") < F.col("_start"), F.col("_q") + F.col("_first")).otherwise(F.col("_q")))
+    deferred = (F.col("_q") >= F.col("_kept")) & (F.col("_q") < F.col("_first"))
+    at = F.when(F.col("_q") < F.col("_kept"), F.col("_q")).otherwise(F.col("_q") - F.col("_cut"))
+    n = F.col("_n") - F.col("_cut")
+    half = F.floor((n + 1) / 2)
+    turn = F.when(at < half, 2 * at).otherwise(2 * (at - half) + 1)
+    turn = F.when(F.col("_back"), n - 1 - turn).otherwise(turn).cast("long")
+    placed = rows.select(
+        "idx", "url", "domain", F.when(~deferred, F.col("worker")).alias("worker"), F.when(~deferred, turn).alias("turn"),
+        F.when(deferred, "no_worker").alias("reason"),
     )
-    earlier = W.partitionBy("domain").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy("domain", "_block")
-        .agg(F.count("*").alias("_n"))
-        .select(
-            "domain", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
-        )
-    )
-    inside = W.partitionBy("domain", "_block").orderBy("idx")
-    local = rows.withColumn("_inside", F.row_number().over(inside))
-    turns = (
-        local.join(offsets, ["domain", "_block"])
-        .select("url", "domain", (F.col("_offset") + F.col("_inside")).alias("turn"))
-    )
-    placed = with_position(turns, "turn", "domain")
-    return placed.select("url", (F.col("pos") % workers).cast("int").alias("worker"))
+    if over is None:
+        return placed
+    nowhere = F.lit(None).cast("int").alias("worker"), F.lit(None).cast("long").alias("turn")
+    return placed.unionByName(over.select("idx", "url", "domain", *nowhere, F.lit("overloaded").alias("reason")))
+
+
+def last_visits(spread: DataFrame) -> DataFrame:
+    """``(worker, domain)`` of each worker's last turn."""
+    return spread.where("worker is not null").groupBy("worker").agg(F.max_by("domain", "turn").alias("domain"))

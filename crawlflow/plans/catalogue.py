@@ -224,6 +224,12 @@ def spread_workers(pages):
     return politeness.spread_workers(I.offered(pages))
 
 
+@on_pages
+def schedule_workers(pages):
+    """The same after over-represented domains are deferred."""
+    return politeness.spread_workers(I.offered(pages), defer_overloaded=True)
+
+
 # Rewrite rules
 
 

@@ -339,6 +339,23 @@ def applied(min_support: int) -> str:
     JOIN (SELECT origin, max_by(rest, n) AS rest FROM rounds GROUP BY 1) last USING (origin)"""
 
 
+def spread(source: str, more: str = "", workers: int = 4) -> str:
+    return f"""WITH {OFFERED},
+        shares AS (SELECT *, CASE WHEN idx > 1 THEN 100.0::double * count(*) OVER (PARTITION BY domain ORDER BY idx
+            RANGE BETWEEN 100 PRECEDING AND 1 PRECEDING) / least(idx - 1, 100) ELSE 0.0::double END AS share FROM offered),
+        sized AS (SELECT idx, url, domain, count(*) OVER (PARTITION BY domain) AS size FROM {source}),
+        dealt AS (SELECT *, (row_number() OVER (ORDER BY size DESC, domain, idx) - 1) % {workers} AS w FROM sized),
+        parts AS (SELECT *, count(*) OVER (PARTITION BY w, domain) AS own FROM dealt),
+        tops AS (SELECT *, domain = first_value(domain) OVER (PARTITION BY w ORDER BY own DESC, size DESC, domain, idx) AS top FROM parts),
+        queues AS (SELECT *, row_number() OVER (PARTITION BY w ORDER BY top DESC, size DESC, domain, idx) - 1 AS q FROM tops),
+        room AS (SELECT w, count(*) FILTER (NOT top) + 1 AS most FROM queues GROUP BY w),
+        kept AS (SELECT queues.*, row_number() OVER (PARTITION BY w ORDER BY q) - 1 AS k, count(*) OVER (PARTITION BY w) AS n
+            FROM queues JOIN room USING (w) WHERE NOT top OR q < most)
+        SELECT idx, url, domain, w::int AS worker, (CASE WHEN 2 * k < n THEN 2 * k ELSE 2 * (k - (n + 1) // 2) + 1 END)::bigint AS turn, NULL AS reason FROM kept
+        UNION ALL SELECT idx, url, domain, NULL, NULL, 'no_worker' FROM queues JOIN room USING (w) WHERE top AND q >= most
+        {more}"""
+
+
 def frontier(seeds: str) -> str:
     moved = "status IN (301, 302, 303)"
     return f"""
@@ -527,10 +544,8 @@ def _queries() -> dict[str, str]:
                     / least(idx - 1, 100) ELSE 0.0::double END AS share FROM offered)
             SELECT idx, domain, share, share > 15 AS overloaded FROM shares""",
         "recent_urls": f"WITH {OFFERED} SELECT idx, url FROM offered ORDER BY idx DESC LIMIT 100",
-        "spread_workers": f"""
-            WITH {OFFERED},
-            turns AS (SELECT url, domain, row_number() OVER (PARTITION BY domain ORDER BY idx) AS turn FROM offered)
-            SELECT url, ((row_number() OVER (ORDER BY turn, domain) - 1) % 4)::int AS worker FROM turns""",
+        "spread_workers": spread("offered"),
+        "schedule_workers": spread("(SELECT * FROM shares WHERE share <= 15)", "UNION ALL SELECT idx, url, domain, NULL, NULL, 'overloaded' FROM shares WHERE share > 15"),
         "dust_envelopes": f"WITH {FULL_ROWS} SELECT prefix, suffix, substr, size FROM envelopes",
         "dust_buckets": f"WITH {FULL_ROWS}, {BUCKETS} SELECT prefix, suffix, n FROM buckets",
         "dust_likely_rules": f"WITH {full} SELECT alpha, beta, support FROM likely",

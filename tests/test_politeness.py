@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from crawlflow.operators import politeness as P
@@ -68,18 +69,73 @@ def test_recent_urls(spark):
     assert got == ["u6", "u5", "u4"]
 
 
-def test_spread(spark):
-    domains = ["a"] * 40 + ["b"] * 40 + ["c"] * 40 + ["d"] * 40 + ["e"] * 40
-    for block in (13, 65_536):
-        rows = P.spread_workers(offered(spark, domains), block=block).collect()
-        load = Counter(r.worker for r in rows)
-        assert len(rows) == 200 and set(load.values()) == {50}
-    worker = {r.url: r.worker for r in rows}
-    order = sorted(range(200), key=lambda i: (i % 40, domains[i]))
-    last = {}
-    for i in order:
-        assert last.get(worker[f"u{i + 1}"]) != domains[i]
-        last[worker[f"u{i + 1}"]] = domains[i]
+def check_spread(rows, n, workers, before=None):
+    """No worker twice in a row at a domain, turns without gaps, as few deferred as possible."""
+    assert sorted(r.idx for r in rows) == list(range(1, n + 1))
+    by_worker = {w: sorted((r.turn, r.domain) for r in rows if r.worker == w) for w in range(workers)}
+    for w, visits_ in by_worker.items():
+        assert [t for t, _ in visits_] == list(range(len(visits_)))
+        domains = ([before[w]] if before and w in before else []) + [d for _, d in visits_]
+        assert all(a != b for a, b in zip(domains, domains[1:])), (w, domains)
+    deferred = [r for r in rows if r.reason == "no_worker"]
+    assert all(r.worker is None and r.turn is None for r in deferred)
+    assert all((r.worker is None) == (r.reason is not None) for r in rows)
+    return by_worker, deferred
+
+
+@pytest.mark.parametrize("workers, sizes", [
+    (1, [40] * 5), (4, [40] * 5), (2, [3, 3, 2]), (5, [100, 10, 10, 5]), (1, [100, 10, 10, 5]), (4, [200]), (1, [50, 49]), (2, [50, 49]),
+    (5, [1] * 30), (4, [60, 20, 20, 19]), (2, [7, 7]), (1, [1]),
+])
+def test_spread(spark, workers, sizes):
+    domains = [chr(97 + k) for k, n in enumerate(sizes) for _ in range(n)]
+    random.Random(workers).shuffle(domains)
+    rows = P.spread_workers(offered(spark, domains), workers).collect()
+    by_worker, deferred = check_spread(rows, len(domains), workers)
+    # Only a domain that fills more than half of a worker's turns has to wait, and only what is too much.
+    top = max(sizes)
+    assert len({r.domain for r in deferred}) <= 1
+    if 2 * top <= sum(sizes) - workers:
+        assert not deferred
+    for w, visits_ in by_worker.items():
+        n_others = sum(d != "a" for _, d in visits_)
+        assert len(visits_) <= 2 * n_others + 1 if deferred else True
+    load = [len(v) for v in by_worker.values()]
+    if not deferred:
+        assert max(load) - min(load) <= 1
+
+
+def test_rounds_follow_each_other(spark):
+    """The last visits of a round are handed to the next one, with what it deferred."""
+    rng = random.Random(9)
+    last, before, late = None, None, []
+    for _ in range(4):
+        domains = rng.choices("aaaabbc", k=rng.randrange(5, 40)) + late
+        spread = P.spread_workers(offered(spark, domains), 3, last=last)
+        rows = spread.collect()
+        by_worker, deferred = check_spread(rows, len(domains), 3, before)
+        before = (before or {}) | {w: v[-1][1] for w, v in by_worker.items() if v}
+        last = spark.createDataFrame(list(before.items()), "worker int, domain string")
+        found = {r.worker: r.domain for r in P.last_visits(spread).collect()}
+        assert found == {w: v[-1][1] for w, v in by_worker.items() if v}
+        late = [r.domain for r in deferred]
+    alone = P.spread_workers(offered(spark, ["a"]), 1, last=spark.createDataFrame([(0, "a")], "worker int, domain string")).collect()
+    assert [r.reason for r in alone] == ["no_worker"]
+
+
+def test_overloaded_domains_are_deferred(spark):
+    domains = ["hot"] * 60 + [f"d{k % 23}" for k in range(140)] + [None] * 3
+    random.Random(3).shuffle(domains)
+    frame = offered(spark, domains)
+    rows = P.spread_workers(frame, 4, defer_overloaded=True).collect()
+    check_spread(rows, len(domains), 4)
+    named = frame.fillna("", ["domain"])
+    over = {r.idx for r in P.recent_domain_share(named).where("overloaded").collect()}
+    assert {r.idx for r in rows if r.reason == "overloaded"} == over and over
+
+
+def test_nothing_to_spread(spark):
+    assert P.spread_workers(offered(spark, ["a"]).where("false")).count() == 0
 
 
 def test_rows_without_domain_stay(spark):
