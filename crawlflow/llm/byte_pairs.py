@@ -24,6 +24,7 @@ from __future__ import annotations
 import base64
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 from itertools import islice
@@ -34,16 +35,16 @@ import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crawlflow.llm.common import slices, whole_texts
+from crawlflow.llm.common import SLICE_BYTES, lean, slices, whole_texts
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Longer matches are cut or become rows of their own.
 WIDE = 256
 #: Widths of the matrices, and how many cells one may have.
 WIDTHS = (2, 4, 8, 12, 16, 24, 32, 64, 128, WIDE)
-CELLS = 1 << 20
+CELLS = 1 << 18
 #: Distinct matches whose ids a task keeps; the memo is emptied beyond.
-MEMO = 400_000
+MEMO = 120_000
 #: Matches of a text that are looked at together; texts of more characters are read match by match.
 STREAM = 1 << 17
 STREAM_CHARS = 1 << 20
@@ -141,26 +142,34 @@ class PairRanks:
         return out
 
 
-class Vocabulary:
-    def __init__(self, path: str):
-        with open(path, "rb") as file:
-            rows = [line.split() for line in file if line.strip()]
-        self.ranks = {base64.b64decode(a): int(b) for a, b in rows}
-        top = max(self.ranks.values()) + 1
-        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        spelled = [b""] * top
-        for token, rank in self.ranks.items():
+def read_ranks(path: str) -> dict[bytes, int]:
+    with open(path, "rb") as file:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in file if line.strip())}
+
+
+class Spellings:
+    """The bytes of every id; an id that is in no file has none."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        spelled = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
             spelled[rank] = token
         self.sizes = np.array([len(t) for t in spelled], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
-        pairs = [
-            (self.ranks[token[:k]], self.ranks[token[k:]], rank)
-            for token, rank in self.ranks.items()
-            for k in range(1, len(token))
-            if token[:k] in self.ranks and token[k:] in self.ranks
-        ]
-        self.pairs = PairRanks(*np.array(pairs, np.int64).reshape(-1, 3).T)
+
+
+class Vocabulary(Spellings):
+    def __init__(self, path: str):
+        self.ranks = read_ranks(path)
+        super().__init__(self.ranks)
+        self.single = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        splits = ((token[:k], token[k:], rank) for token, rank in self.ranks.items() for k in range(1, len(token)))
+        known = array("q")
+        for left, right, rank in splits:
+            if left in self.ranks and right in self.ranks:
+                known.extend((self.ranks[left], self.ranks[right], rank))
+        self.pairs = PairRanks(*np.frombuffer(known, np.int64).reshape(-1, 3).T)
         inside = np.ones(max(len(self.bytes) - 1, 0), bool)
         inside[self.starts[self.starts > 0] - 1] = False  # the last byte of a token and the first of the next
         self.beside = np.zeros(1 << 16, bool)
@@ -323,6 +332,11 @@ class Encoder:
         return self.matches(found, ends)
 
 
+@cache
+def spellings(path: str) -> Spellings:
+    return Spellings(read_ranks(path))
+
+
 @cache
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -335,6 +349,7 @@ def encode(docs: DataFrame, *, ranks: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary(path))
         for batch in batches:
+            pa.default_memory_pool().release_unused()
             for part in slices(batch):
                 ids, ends = encoder.texts(part.column("text").to_pylist())
                 offsets = np.concatenate([[0], ends])
@@ -343,7 +358,19 @@ def encode(docs: DataFrame, *, ranks: str | None = None) -> DataFrame:
                     [part.column("doc_id"), pa.array(np.diff(offsets), pa.int64()), lists], ["doc_id", "n_tokens", "ids"]
                 )
 
-    return whole_texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
+    return whole_texts(docs).mapInArrow(lean(run), "doc_id long, n_tokens long, ids array<int>")
+
+
+def runs(batch: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``most`` ids; a longer list is a run of its own."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(batch.column("ids")), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def decode(encoded: DataFrame, *, ranks: str | None = None) -> DataFrame:
@@ -352,8 +379,8 @@ def decode(encoded: DataFrame, *, ranks: str | None = None) -> DataFrame:
     kept = [c for c in encoded.columns if c not in ("ids", "bytes")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(path)
-        for batch in batches:
+        known = spellings(path)
+        for batch in (part for whole in batches for part in runs(whole)):
             lists = batch.column("ids")
             ids = lists.flatten().to_numpy(zero_copy_only=False)
             if len(ids) and (ids.min() < 0 or ids.max() >= len(known.sizes) or not known.sizes[ids].all()):
@@ -368,7 +395,7 @@ def decode(encoded: DataFrame, *, ranks: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), spelled.cast(pa.binary())], [*kept, "bytes"])
 
     schema = encoded.select(*kept).withColumn("bytes", F.lit(b"")).schema
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(lean(run), schema)
 
 
 def ids_text(ids: str | Column) -> Column:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +16,48 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 SLICE_BYTES = 1 << 20
 
 
+#: Bytes of a batch that goes to a Python worker, unless the session names its own bound. Spark's default
+#: of 64 MB takes a multiple of that on both sides, in each of an executor's tasks.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING, _SPARK_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(spark: SparkSession) -> None:
+    if spark.conf.get(_BATCH_SETTING, _SPARK_DEFAULT) == _SPARK_DEFAULT:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
+def lean(step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``step`` of mapInArrow, giving memory back to the system between batches and at the end.
+
+    Python workers are used again by later tasks, and would else keep the most that any step ever took.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in step(batches):
+            yield batch
+            del batch
+            pa.default_memory_pool().release_unused()
+        give_back()
+
+    return run
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(AttributeError, OSError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def whole_texts(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` alone, a null text as the empty one; other columns cannot clash."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
 
 

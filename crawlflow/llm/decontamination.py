@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crawlflow.llm.common import slices, whole_texts
+from crawlflow.llm.common import lean, slices, whole_texts
 from crawlflow.llm.words import Words, mix, words_of
 from crawlflow.session import materialize
 
@@ -206,7 +206,7 @@ def item_rows(benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame
                 )
 
     texts = benchmark.select(F.col("item_id").cast("long"), "text").where("text is not null")
-    return texts.mapInArrow(run, f"item_id long, size int, words binary, keys array<long>, pieces {PIECES}")
+    return texts.mapInArrow(lean(run), f"item_id long, size int, words binary, keys array<long>, pieces {PIECES}")
 
 
 def filter_of(items: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -221,7 +221,7 @@ def filter_of(items: DataFrame) -> tuple[np.ndarray, list[int]]:
             yield pa.RecordBatch.from_arrays([pa.array(at)], ["at"])
 
     bits = np.zeros(BLOOM_BITS, bool)
-    bits[items.mapInArrow(run, "at long").distinct().toPandas()["at"].to_numpy(np.int64)] = True
+    bits[items.mapInArrow(lean(run), "at long").distinct().toPandas()["at"].to_numpy(np.int64)] = True
     return bits, sorted(r["size"] for r in items.select("size").distinct().collect())
 
 
@@ -259,7 +259,7 @@ def windows(docs: DataFrame, bits: np.ndarray, piece_bits: np.ndarray, sizes: li
                     columns.append(pieces.take(pa.array(held)))
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "size", "lead", "words", "keys", "pieces"])
 
-    return whole_texts(docs).where("doc_id is not null").mapInArrow(run, WINDOW)
+    return whole_texts(docs).where("doc_id is not null").mapInArrow(lean(run), WINDOW)
 
 
 HIT = "doc_id long, item_id long, start long, edits int, similarity double"
@@ -281,7 +281,7 @@ def verified(pairs: DataFrame, similarity: float) -> DataFrame:
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], [f.split()[0] for f in HIT.split(", ")])
 
-    return pairs.mapInArrow(run, HIT)
+    return pairs.mapInArrow(lean(run), HIT)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:

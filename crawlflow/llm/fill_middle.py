@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crawlflow.llm.common import SLICE_BYTES, slices, whole_texts
+from crawlflow.llm.common import SLICE_BYTES, lean, slices, whole_texts
 
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 PLAIN_FROM, SPM_BELOW = 90, 20
@@ -173,7 +173,7 @@ def fill_middle(docs: DataFrame) -> DataFrame:
         "doc_id", "text", h(1).alias("h1"), h(2).alias("h2"),
         F.when(plain, "plain").when(h(4) % 100 < SPM_BELOW, "spm").otherwise("psm").alias("form"),
     )
-    return drawn.mapInArrow(rearrange, CUT)
+    return drawn.mapInArrow(lean(rearrange), CUT)
 
 
 def restore(output: str | Column = "output", form: str | Column = "form") -> Column:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window as W
 
-from crawlflow.llm.common import remainder, shrink, slices
+from crawlflow.llm.common import lean, remainder, shrink, slices
 
 #: Labelled rows that are learned from, at most (about), and n-grams kept per language and length.
 SAMPLE_ROWS = 20_000
@@ -158,7 +158,7 @@ def learn(docs: DataFrame, *, sample_rows: int = SAMPLE_ROWS, min_share: float =
                             ["lang", "n", "gram", "docs"],
                         )
 
-    counted = sample.mapInArrow(grams, "lang string, n int, gram long, docs long").groupBy("lang", "n", "gram").agg(F.sum("docs").alias("docs"))
+    counted = sample.mapInArrow(lean(grams), "lang string, n int, gram long, docs long").groupBy("lang", "n", "gram").agg(F.sum("docs").alias("docs"))
     seen = {r["lang"]: min(r["count"], per_language) for r in sizes}
     of = F.create_map(*[F.lit(x) for k, v in seen.items() for x in (k, float(v))])
     shared = counted.withColumn("share", F.col("docs") / of[F.col("lang")])
@@ -195,7 +195,7 @@ def identify(docs: DataFrame, model: LanguageFilter) -> DataFrame:
 
     modulus, left = HELD_OUT
     rows = docs.select(F.col("doc_id").cast("long"), (remainder(modulus) == left).alias("held_out"), "text")
-    return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(lean(predict), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def train_rows(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crawlflow.llm.common import shrink, whole_texts
+from crawlflow.llm.common import lean, shrink, whole_texts
 
 #: Labelled rows that are learned from, at most (about).
 SAMPLE_ROWS = 20_000
@@ -95,7 +95,7 @@ def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def statistics(docs: DataFrame) -> DataFrame:
     """``doc_id`` and the counts of every row."""
-    return whole_texts(docs).mapInArrow(count_batches, COUNTS_SCHEMA)
+    return whole_texts(docs).mapInArrow(lean(count_batches), COUNTS_SCHEMA)
 
 
 #: What rules may test: ratios of two counts (the second at least 1), or a count itself.

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crawlflow.llm.common import bytes_of, slices, whole_texts
+from crawlflow.llm.common import bytes_of, give_back, lean, slices, whole_texts
 from crawlflow.llm.suffix_array import common_prefixes, suffix_array
 from crawlflow.llm.words import BASE, INVERSE, mix
 from crawlflow.session import materialize
@@ -45,7 +45,7 @@ GRAM = 24
 WINDOW = LENGTH - GRAM + 1
 SIDE = LENGTH - GRAM
 GROUP = 2048
-BUCKET_BYTES = 6 << 20
+BUCKET_BYTES = 4 << 20
 PART_BYTES, SLICE = 4 << 20, 1 << 18
 
 
@@ -186,7 +186,10 @@ def answers(table: pa.Table) -> pa.Table:
     h, d, i = h[order], d[order], i[order]
     for what, which in ((REPEATED, i > first), (ASKED, head & several)):
         rows += [(doc, what, keys) for doc, keys in per_document(i[which], key_of(h[which], d[which]))]
-    return pa.Table.from_batches([arrow(rows, ANSWER)])
+    found = pa.Table.from_batches([arrow(rows, ANSWER)])
+    del rows, h, d, i, order, head, first
+    give_back()
+    return found
 
 
 FOUND = "doc_id long, content long, spans array<int>, contexts array<struct<hash:long,at:int,before:binary,after:binary>>"
@@ -347,14 +350,14 @@ def remove_repeats(docs: DataFrame, *, bucket_bytes: int = BUCKET_BYTES) -> Data
     total = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = math.ceil((total + 1) / bucket_bytes)
     named = texts.where("doc_id is not null")
-    asked = named.mapInArrow(lambda it: requests(it, buckets), REQUEST)
+    asked = named.mapInArrow(lean(lambda it: requests(it, buckets)), REQUEST)
     told = asked.groupBy("bucket").applyInArrow(answers, ANSWER).groupBy("doc_id").agg(F.collect_list(F.struct("kind", "keys")).alias("told"))
-    found = materialize(named.join(told, "doc_id").select("doc_id", "content", "text", "told").mapInArrow(contexts, FOUND), "repeats")
+    found = materialize(named.join(told, "doc_id").select("doc_id", "content", "text", "told").mapInArrow(lean(contexts), FOUND), "repeats")
     single = found.select("doc_id", "content", F.explode("contexts").alias("c")).select("doc_id", "content", "c.*")
     distinct = single.groupBy("hash", "before", "after").agg(F.min("doc_id").alias("first"))
     distinct = materialize(distinct, "contexts")
     crowded = distinct.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("hash")
-    small = distinct.join(crowded, "hash", "left_anti").repartition("hash").sortWithinPartitions("hash").mapInArrow(order_contexts, MASKS)
+    small = distinct.join(crowded, "hash", "left_anti").repartition("hash").sortWithinPartitions("hash").mapInArrow(lean(order_contexts), MASKS)
     big = masks_by_rows(distinct.join(crowded, "hash", "left_semi"))
     masks = small.unionByName(big.select(*[f.split()[0] for f in MASKS.split(", ")]))
     mark = F.struct(
@@ -364,7 +367,6 @@ def remove_repeats(docs: DataFrame, *, bucket_bytes: int = BUCKET_BYTES) -> Data
     spans = found.select("doc_id", "content", "spans").where("size(spans) > 0").groupBy("doc_id", "content").agg(F.first("spans").alias("spans"))
     both = spans.join(more, ["doc_id", "content"], "full").withColumnsRenamed({"doc_id": "r_id", "content": "r_content"})
     joined = texts.join(both, (texts["doc_id"] == both["r_id"]) & (texts["content"] == both["r_content"]), "left")
-    out = joined.select("doc_id", "text", "spans", "more").mapInArrow(
-        cut_out, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    out = joined.select("doc_id", "text", "spans", "more").mapInArrow(lean(cut_out), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
     return out

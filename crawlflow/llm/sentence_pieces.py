@@ -37,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crawlflow.llm.common import whole_texts
+from crawlflow.llm.common import lean, whole_texts
 from crawlflow.llm.token_counts import SPACE, model_path, processor
 from crawlflow.session import materialize
 
@@ -361,7 +361,7 @@ def encode(docs: DataFrame, *, model: str | None = None, chunk_chars: int = CHUN
     rows = whole_texts(docs).withColumn("row_id", F.monotonically_increasing_id())
     size = max(chunk_chars, 2 * lattice(path).longest)
     giant = F.length("text") >= 2 * size
-    short = rows.where(~giant).mapInArrow(lambda it: encode_whole(it, path), ENCODED)
+    short = rows.where(~giant).mapInArrow(lean(lambda it: encode_whole(it, path)), ENCODED)
     chunks = materialize(rows.where(giant).mapInArrow(lambda it: cut(it, path, size), CHUNKS).repartition("row_id", "part"), "chunks")
     parts = encode_giants(chunks, path)
     joined = parts.groupBy("row_id").agg(
@@ -396,4 +396,4 @@ def decode(encoded: DataFrame, *, model: str | None = None) -> DataFrame:
                     rows, chars = [], 0
             yield batch_of(rows, schema)
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(lean(run), schema)

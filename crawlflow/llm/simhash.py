@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from crawlflow.llm.common import whole_texts
+from crawlflow.llm.common import lean, whole_texts
 from crawlflow.llm.graph import components
 from crawlflow.session import materialize
 
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             found = np.array([fingerprint(t.as_py()) for t in batch.column("text")], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
-    return whole_texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return whole_texts(docs).mapInArrow(lean(run), "doc_id long, fp long")
 
 
 def links(nodes: DataFrame) -> DataFrame:

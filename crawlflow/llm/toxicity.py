@@ -29,7 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from crawlflow.llm.common import remainder, shrink, whole_texts
+from crawlflow.llm.common import lean, remainder, shrink, small_batches, whole_texts
 
 #: Labelled rows that are learned from, at most (about), and entries of the lexicon.
 SAMPLE_ROWS = 24_000
@@ -150,7 +150,7 @@ def representatives(rows: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), *(pa.array(table[:, k]) for k in range(3))], ["doc_id", "k0", "k1", "k2"]
             )
 
-    left = rows.mapInArrow(smallest, "doc_id long, k0 long, k1 long, k2 long")
+    left = rows.mapInArrow(lean(smallest), "doc_id long, k0 long, k1 long, k2 long")
     for key in ("k0", "k1", "k2"):
         left = left.groupBy(key).agg(F.min(F.struct("doc_id", "k0", "k1", "k2")).alias("_r")).select("_r.*")
     return left.select("doc_id")
@@ -183,7 +183,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS)
                 ["pattern", "pos", "neg"],
             )
 
-    counted = rows.mapInArrow(counts, "pattern string, pos long, neg long").groupBy("pattern").agg(
+    counted = rows.mapInArrow(lean(counts), "pattern string, pos long, neg long").groupBy("pattern").agg(
         F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
     )
     total = counted.where("pattern = ''").collect()
@@ -216,7 +216,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS)
             )
 
     allowed = (
-        rows.mapInArrow(near, "phrase string, pos long, neg long").groupBy("phrase")
+        rows.mapInArrow(lean(near), "phrase string, pos long, neg long").groupBy("phrase")
         .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         .where((F.col("pos") == 0) & (F.col("neg") >= MIN_EXCEPTION))
         .orderBy(F.desc("neg"), "phrase").limit(MAX_TERMS).select("phrase").collect()
@@ -228,7 +228,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample_rows: int = SAMPLE_ROWS)
             mass = [lexicon.mass(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(mass, pa.float64())], ["toxic", "mass"])
 
-    measured = rows.mapInArrow(masses, "toxic int, mass double").toPandas()
+    measured = rows.mapInArrow(lean(masses), "toxic int, mass double").toPandas()
     return Lexicon(lexicon.weights, lexicon.exceptions, scale_of(measured["mass"].to_numpy(), measured["toxic"].to_numpy()))
 
 
@@ -258,7 +258,7 @@ def toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.float64())], ["doc_id", "score"])
 
     modulus, left = HELD_OUT
-    scored = whole_texts(docs).mapInArrow(scores, "doc_id long, score double")
+    scored = whole_texts(docs).mapInArrow(lean(scores), "doc_id long, score double")
     return scored.select(
         "doc_id", (remainder(modulus) == left).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted")
     )
@@ -267,10 +267,12 @@ def toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
 def clean(docs: DataFrame, lexicon: Lexicon, *, threshold: float = THRESHOLD) -> DataFrame:
     """``docs``, all columns, without the rows whose text scores ``threshold`` or more."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)  # at most MAX_TERMS entries
+    small_batches(docs.sparkSession)
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = shared.value
-        for batch in batches:
-            yield batch.filter(pa.array([lexicon.score(t.as_py() or "") < threshold for t in batch.column("text")], pa.bool_()))
+    @F.arrow_udf("double")  # texts alone go through Python
+    def score(texts: pa.Array) -> pa.Array:
+        found = pa.array([shared.value.score(t.as_py() or "") for t in texts], pa.float64())
+        pa.default_memory_pool().release_unused()
+        return found
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.where(score("text") < threshold)
