@@ -41,9 +41,7 @@ UNDETERMINED = "und"
 HELD_OUT = (3, 1)
 
 #: 1 for code points that are letters, over the whole of Unicode.
-LETTER = np.zeros(0x110000, bool)
-_ALL = np.array([chr(c).isalpha() for c in range(0x30000)])
-LETTER[: len(_ALL)] = _ALL
+LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
 def code_points(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -37,14 +37,15 @@ class Rule:
     least: int = 0
 
 
-# A private key: header, body and END line; without END the RFC 1421 headers and the lines of base64 that
-# follow, up to 240 (RSA of 16,384 bits has 197). Java recurses per repeat of a group and RE2 takes at
+# A private key: header, RFC 1421 headers, any amount of base64 and line breaks (nothing else, so prose between
+# a header and an END line stays), END line; without END the headers and the lines of base64 that follow, up to 240 (RSA of 16,384 bits has 197). Java recurses per repeat of a group and RE2 takes at
 # most 1,000 nested repeats, so groups are bounded and single classes are not.
-KEY_END = "[^-]*(?:-[^-]+){0,40}-----END [A-Z ]{0,30}PRIVATE KEY-----"
+KEY_HEADERS = "(?:[\\r\\n]+[A-Za-z0-9-]{1,40}:\\x20[^\\r\\n]*){0,9}"
+KEY_END = f"{KEY_HEADERS}[A-Za-z0-9+/=\\x20\\t\\r\\n\\\\\"',>]*-----END [A-Z ]{{0,30}}PRIVATE KEY-----"
 KEY_BREAK = "[\\x20\\t\\r\\n\\\\\"'+,>]"
 KEY_LINES = f"(?:{KEY_BREAK}*[A-Za-z0-9+/=]{{16,}})"
 KEY_BODY = (
-    f"(?:[\\r\\n]+[A-Za-z0-9-]{{1,40}}:\\x20[^\\r\\n]*){{0,9}}{KEY_LINES}{{1,60}}" + f"{KEY_LINES}{{0,60}}" * 3
+    f"{KEY_HEADERS}{KEY_LINES}{{1,60}}" + f"{KEY_LINES}{{0,60}}" * 3
     + f"(?:{KEY_BREAK}+[A-Za-z0-9+/]{{1,15}}={{0,2}}(?:[\\r\\n\\\\\"']|$))?"
 )
 

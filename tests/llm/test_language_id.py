@@ -73,3 +73,11 @@ def test_rare_languages_are_learned(spark):
     assert len(model.languages) == 66
     got = {r.doc_id: r.lang_pred for r in L.identify(frame, model).collect()}
     assert got == {d: lang for d, _, lang in docs}
+
+
+def test_letters_of_all_planes(spark):
+    """Letters beyond the second plane are letters too."""
+    learned = [(i, chr(0x30010 + i % 7) * 3 + " " + chr(0x31350) * 2, "zh", "") for i in range(30)]
+    docs = frame(spark, rows() + [(1000 + i, t, lang, p) for i, t, lang, p in learned])
+    got = L.identify(frame(spark, [(1, chr(0x30010) * 3, None, ""), (2, "\U000e0100", None, "")]), L.learn(docs)).collect()
+    assert {r.doc_id: r.lang_pred for r in got} == {1: "zh", 2: "und"}

@@ -65,6 +65,10 @@ def key_texts():
         out.append((f"{head}\n" + "\n".join([*body, "QUJDRA=="]), "[private_key]"))
         out.append((f"{head}\n" + "\n".join([*body, tail, "", head, *body]), "[private_key]\n\n[private_key]"))
     out.append((f"{head} is a header line.", "[private_key] is a header line."))
+    prose = " is a header. " + "More text, and more (of it). " * 1000
+    out.append((f"{head}{prose}{tail}", f"[private_key]{prose}{tail}"))
+    many = "\n".join("".join(rng.choices(letters, k=64)) for _ in range(900))
+    out.append((f"{head}\n{many}\n{tail}.", "[private_key]."))
     out.append((f"{head}\n" + "x-y " * 60_000, "[private_key]\n" + "x-y " * 60_000))
     return out
 
