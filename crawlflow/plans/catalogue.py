@@ -346,12 +346,14 @@ def stream_frontier_feedback(spark, sf_dir):
 
 @query
 def stream_throttle_plan(spark, sf_dir):
-    schema = I.table(spark, sf_dir, "events").schema
-    events = read_folder(spark, sf_dir, schema, "events*.parquet")
+    """Events as four micro-batches in the order of their time."""
+    events = I.table(spark, sf_dir, "events")
     out = scratch_path(spark, "throttle")
+    seeds.in_time_order(events, "ts", f"{out}/arrived", 4)
+    events = read_folder(spark, f"{out}/arrived", events.schema, files_per_batch=1)
     run = stream_throttle(
         events, f"{out}/rows", f"{out}/state", f"{out}/progress",
-        "user_id", "ts", "event_id", I.EVENT_DELAY_MS,
+        "user_id", "ts", "event_id", I.EVENT_DELAY_MS, parts=8,
     )
     run.awaitTermination()
     return spark.read.parquet(f"{out}/rows").select("event_id", "user_id", "release_ms")

@@ -72,3 +72,16 @@ def read_size_log(spark: SparkSession, path: str) -> DataFrame:
 def page_sizes(pages: DataFrame) -> DataFrame:
     """``(url, size)`` in bytes, from the stored pages."""
     return pages.select("url", F.octet_length("html").alias("size"))
+
+
+def in_time_order(rows: DataFrame, ts: str, folder: str, files: int) -> None:
+    """Write a table as ``files`` files of equal spans of time, one after the other, for a stream to replay.
+
+    Rows without a time come first.
+    """
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    span = rows.agg(F.struct(F.min(at).alias("first"), F.max(at).alias("last")).alias("span")).scalar()
+    which = F.floor((F.col("_at") - F.col("_span.first")) * files / (F.col("_span.last") - F.col("_span.first") + 1))
+    placed = rows.withColumn("_at", at).withColumn("_span", span).withColumn("_file", F.coalesce(which, F.lit(0)))
+    for k in range(files):
+        placed.where(F.col("_file") == k).select(*rows.columns).coalesce(1).write.mode("append").parquet(folder)

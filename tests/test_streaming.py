@@ -1,9 +1,13 @@
+import glob
 import os
+from collections import Counter
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from crawlflow import schemas
 from crawlflow.operators import crawl, politeness
+from crawlflow.operators.politeness import throttle_plan
 from crawlflow.plans import inputs as I
 from crawlflow.sources import seeds, sinks
 from crawlflow.streaming.articles import read_folder, stream_articles, stream_rewrites
@@ -53,6 +57,28 @@ def test_throttle_over_micro_batches(spark, tmp_path):
         assert sorted(os.listdir(f"{out}/rows")) == [f"batch={i}" for i in range(4)]
         assert got.select(want.columns).exceptAll(want).count() == 0
         assert got.count() == 1000
+        # Two lists are left, and no more than two versions of a part.
+        assert sorted(n for n in os.listdir(f"{out}/state") if n.startswith("list=")) == ["list=2", "list=3"]
+        held = Counter(os.path.basename(d) for d in glob.glob(f"{out}/state/version=*/part=*"))
+        assert held and max(held.values()) <= 2
+
+
+def test_untouched_parts_are_not_written(spark, tmp_path):
+    """Five micro-batches, each of a domain of its own but the last, which comes back to the first."""
+    schema = "id long, domain string, ts timestamp"
+    for k, name in enumerate(["a", "b", "c", "d", "a"]):
+        rows = [(10 * k + i, name, datetime(2024, 1, 1, 0, 0, k)) for i in range(3)] + [(10 * k + 9, None, datetime(2024, 1, 1, 0, 0, k))]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = read_folder(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, files_per_batch=1)
+    stream_throttle(stream, f"{tmp_path}/rows", f"{tmp_path}/state", f"{tmp_path}/c", "domain", "ts", "id", 60_000).awaitTermination()
+    want = throttle_plan(spark.read.parquet(f"{tmp_path}/in"), "domain", "ts", "id", 60_000)
+    got = spark.read.parquet(f"{tmp_path}/rows").select(want.columns)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count() == 20
+    newest = {r.part: r.version for r in spark.read.parquet(f"{tmp_path}/state/list=4").collect()}
+    assert sorted(newest.values()) == [1, 2, 3, 4, 4]  # b, c, d as they were; a and rows without domain anew
+    # The list before still names the first version of a's part; all others of that version are gone.
+    left = {v: len(glob.glob(f"{tmp_path}/state/version={v}/part=*")) for v in range(5)}
+    assert left == {0: 1, 1: 1, 2: 1, 3: 2, 4: 2}
 
 
 def test_rules_are_read_again(spark, tmp_path):
