@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, Window as W
 
 from crawlflow.operators.sequence import with_position
-from crawlflow.session import materialize, spread
+from crawlflow.session import materialize, once, scratch_path, spread
 
 # Fixed values of the method.
 MAX_SUBSTRING = 12
@@ -269,6 +269,84 @@ def refines_sql(a1: str, b1: str, a2: str, b2: str, reading: str = "intent") ->
     )
 
 
+def _supported(earlier: str, later: str) -> str:
+    """SQL for: the earlier rule's support does not exceed the later one's by too much."""
+    return f"{earlier} - {later} <= greatest({MAX_RELATIVE_DEFICIENCY} - {earlier}, {MAX_ABSOLUTE_DEFICIENCY})"
+
+
+def _origins_sql(reading: str) -> str:
+    """SQL array of the rules that ``(alpha, beta)`` may be a refinement result of, one for each span of alpha.
+
+    If a span's surroundings (see ``refines_sql``) also enclose beta, what they enclose there is the
+    beta of the only rule on that span that can give this one. Alpha has at most 12 characters,
+    so there are at most 78 spans.
+    """
+    before = "substring(alpha, s)" if reading == "literal" else "substring(alpha, 1, s - 1)"
+    after = "substring(alpha, e + 1)"
+    outside = f"(length({before}) + length({after}))"
+    origin = f"""if(length(beta) >= {outside} and startswith(beta, {before}) and endswith(beta, {after}),
+        struct(substring(alpha, s, e - s + 1) as alpha,
+               substring(beta, length({before}) + 1, length(beta) - {outside}) as beta), null)"""
+    spans = f"transform(sequence(1, length(alpha)), s -> transform(sequence(s, length(alpha)), e -> {origin}))"
+    return f"""if(length(alpha) = 0, array(), array_distinct(filter(flatten({spans}),
+        o -> o is not null and not (o.alpha = alpha and o.beta = beta))))"""
+
+
+def all_refinements(ranked: DataFrame, reading: str = "intent") -> DataFrame:
+    """``(pos_i, pos_j, kind, level)`` for all rules of which one refines the other, however far apart.
+
+    Every rule names the shorter rules it may come from, and these are looked up: an equi-join on whole
+    rules, of which each stands once in the table, so a rule named by many others splits well.
+    ``level`` is the length of the longer rule's alpha (of alpha and beta in the literal reading); along
+    a chain of refinements it grows.
+    """
+    if reading not in ("intent", "literal"):
+        raise ValueError(f"reading must be 'intent' or 'literal', not {reading!r}")
+    named = ranked.select("*", F.explode(once(F.expr(_origins_sql(reading)))).alias("_from")).select(
+        "*", F.col("_from.alpha").alias("alpha_s"), F.col("_from.beta").alias("beta_s")
+    )
+    known = ranked.select(*[F.col(c).alias(f"{c}_s") for c in ("pos", "alpha", "beta", "support")])
+    level = "length(alpha) + length(beta)" if reading == "literal" else "length(alpha)"
+    in_reach = f"if(pos_s < pos, {_supported('support_s', 'support')}, {_supported('support', 'support_s')})"
+    return (
+        named.join(known, ["alpha_s", "beta_s"])
+        .where(f"{in_reach} and {refines_sql('alpha_s', 'beta_s', 'alpha', 'beta', reading)}")
+        .select(
+            F.least("pos", "pos_s").alias("pos_i"),
+            F.greatest("pos", "pos_s").alias("pos_j"),
+            F.expr("if(pos_s < pos, 'fwd', 'bwd')").alias("kind"),
+            F.expr(level).alias("level"),
+        )
+    )
+
+
+def eliminated_anywhere(pairs: DataFrame) -> DataFrame:
+    """Positions of redundant rules by ``all_refinements``, decided level by level.
+
+    A rule is eliminated by rules of lower levels only, so all rules of a level are decided at once:
+    those that a rule not yet eliminated refines go. There are as many rounds as levels, at most 12
+    (24 in the literal reading); each reads its own level's pairs and the positions gone so far.
+    """
+    spark = pairs.sparkSession
+    pairs = materialize(pairs, "refinements")
+    stops = pairs.where("kind = 'bwd'").groupBy("pos_i").agg(F.min("pos_j").alias("_stop"))
+    effects = (
+        pairs.where("kind = 'fwd'").join(stops, "pos_i", "left").where("_stop is null or pos_j < _stop")
+        .select(F.col("pos_i").alias("src"), F.col("pos_j").alias("dst"), "level")
+    )
+    path, gone = scratch_path(spark, "effects"), scratch_path(spark, "eliminated")
+    effects.repartition("level", F.col("dst") % 64).write.partitionBy("level").parquet(path)
+    effects = spark.read.schema("src long, dst long, level int").parquet(path)
+    stops.select(F.col("pos_i").alias("pos")).write.parquet(f"{gone}/level=0")
+    # At most one row for each length of a rule.
+    levels = sorted(row.level for row in effects.select("level").distinct().collect())
+    for done, level in zip([0, *levels], levels):
+        before = spark.read.schema("pos long, level int").parquet(gone).where(f"level between 1 and {done}")
+        found = effects.where(F.col("level") == level).join(before, F.col("src") == F.col("pos"), "left_anti")
+        found.select(F.col("dst").alias("pos")).distinct().write.parquet(f"{gone}/level={level}")
+    return spark.read.schema("pos long, level int").parquet(gone).select("pos").distinct()
+
+
 def refinements(ranked: DataFrame, reading: str = "intent") -> DataFrame:
     """``(pos_i, pos_j, kind)`` for rules at most 50 positions apart of which one refines the other.
 
@@ -293,7 +371,7 @@ def refinements(ranked: DataFrame, reading: str = "intent") -> DataFrame:
         f"pos_j - pos_i between 1 and {WINDOW}"
         " and (contains(alpha_j, alpha_i) and contains(beta_j, beta_i)"
         " or contains(alpha_i, alpha_j) and contains(beta_i, beta_j))"
-        f" and support_i - support_j <= greatest({MAX_RELATIVE_DEFICIENCY} - support_i, {MAX_ABSOLUTE_DEFICIENCY})"
+        f" and {_supported('support_i', 'support_j')}"
     )
     forward = refines_sql("alpha_i", "beta_i", "alpha_j", "beta_j", reading)
     backward = refines_sql("alpha_j", "beta_j", "alpha_i", "beta_i", reading)
@@ -349,9 +427,20 @@ def eliminated_positions(pairs: DataFrame, reading: str = "intent") -> DataFrame
     return placed.groupBy("block").applyInPandas(_resolve_block, "pos long")
 
 
-def eliminate_redundant(ranked: DataFrame, reading: str = "intent") -> DataFrame:
-    """``(alpha, beta)`` of the rules that survive, sorted by beta then alpha."""
-    gone = eliminated_positions(refinements(ranked, reading), reading)
+def _redundant(ranked: DataFrame, reading: str, window: int | None) -> DataFrame:
+    if window is None:
+        return eliminated_anywhere(all_refinements(ranked, reading))
+    if window != WINDOW:
+        raise ValueError(f"window must be {WINDOW} or None, not {window!r}")
+    return eliminated_positions(refinements(ranked, reading), reading)
+
+
+def eliminate_redundant(ranked: DataFrame, reading: str = "intent", window: int | None = WINDOW) -> DataFrame:
+    """``(alpha, beta)`` of the rules that survive, sorted by beta then alpha.
+
+    By default rules are compared within 50 positions, as in the original; ``window=None`` compares all.
+    """
+    gone = _redundant(ranked, reading, window)
     return ranked.join(gone, "pos", "left_anti").select("alpha", "beta").orderBy("beta", "alpha")
 
 
@@ -361,10 +450,11 @@ def mine_rules(
     size_percent: int | None = None,
     order: str = "asc",
     reading: str = "intent",
+    window: int | None = WINDOW,
 ) -> DataFrame:
     """The whole miner: size log to final rules."""
     rules = likely_rules(size_log, scope, size_percent)
-    return eliminate_redundant(ranked_rules(rules, order), reading)
+    return eliminate_redundant(ranked_rules(rules, order), reading, window)
 
 
 def mine_supported_rules(
@@ -375,6 +465,7 @@ def mine_supported_rules(
     reading: str = "intent",
     min_support: int = 1,
     only: Callable[[DataFrame], DataFrame] = lambda rules: rules,
+    window: int | None = WINDOW,
 ) -> DataFrame:
     """``(pos, alpha, beta, support)`` of the final rules; those with most support have the first ``pos``.
 
@@ -383,6 +474,6 @@ def mine_supported_rules(
     """
     likely = only(likely_rules(size_log, scope, size_percent).where(F.col("support") >= min_support))
     ranked = materialize(ranked_rules(likely, order), "ranked_rules")
-    gone = eliminated_positions(refinements(ranked, reading), reading)
+    gone = _redundant(ranked, reading, window)
     final = ranked.join(gone, "pos", "left_anti")
     return final.select((-F.col("support")).alias("pos"), "alpha", "beta", "support")

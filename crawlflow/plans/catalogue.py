@@ -268,6 +268,18 @@ def dust_final_rules(pages):
     return dust.mine_rules(seeds.page_sizes(pages))
 
 
+@on_pages
+def dust_refinements_all(pages):
+    """All rules compared, not only neighbours in support order."""
+    ranked = dust.ranked_rules(dust.likely_rules(seeds.page_sizes(pages)))
+    return dust.all_refinements(ranked).select("pos_i", "pos_j", "kind")
+
+
+@on_pages
+def dust_final_rules_all(pages):
+    return dust.mine_rules(seeds.page_sizes(pages), window=None)
+
+
 @on_pages
 def dust_overflow(pages):
     return dust.overflow(seeds.page_sizes(pages))

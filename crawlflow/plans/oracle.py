@@ -270,6 +270,20 @@ def pairs(literal: bool = False) -> str:
         WHERE kind IS NOT NULL)"""
 
 
+def all_pairs() -> str:
+    forward = refines("x.alpha", "x.beta", "y.alpha", "y.beta", False)
+    backward = refines("y.alpha", "y.beta", "x.alpha", "x.beta", False)
+    return f"""pairs AS MATERIALIZED (
+        SELECT pos_i, pos_j, kind FROM (
+            SELECT x.pos AS pos_i, y.pos AS pos_j,
+                CASE WHEN {forward} THEN 'fwd' WHEN {backward} THEN 'bwd' END AS kind
+            FROM ranked x JOIN ranked y ON length(y.beta) - length(y.alpha) = length(x.beta) - length(x.alpha)
+            WHERE x.pos < y.pos AND (contains(x.alpha, y.alpha) AND contains(x.beta, y.beta)
+                    OR contains(y.alpha, x.alpha) AND contains(y.beta, x.beta))
+                AND x.support - y.support <= greatest(6 - x.support, 10))
+        WHERE kind IS NOT NULL)"""
+
+
 def final_rules(literal: bool = False) -> str:
     """Elimination level by level: a refinement goes up in alpha, then in beta length."""
     levels = [(a, b) for a in range(1, MAX_SUBSTRING + 1) for b in range(1, MAX_SUBSTRING + 1)]
@@ -553,6 +567,8 @@ def _queries() -> dict[str, str]:
         "dust_ranked_rules": f"WITH {full}, {ranked()} SELECT pos, alpha, beta, support FROM ranked",
         "dust_refinements": f"WITH {full}, {ranked()}, {pairs()} SELECT pos_i, pos_j, kind FROM pairs",
         "dust_final_rules": f"WITH {full}, {ranked()}, {pairs()}, {final_rules()}",
+        "dust_refinements_all": f"WITH {full}, {ranked()}, {all_pairs()} SELECT pos_i, pos_j, kind FROM pairs",
+        "dust_final_rules_all": f"WITH {full}, {ranked()}, {all_pairs()}, {final_rules()}",
         "dust_final_rules_head": f"WITH {head}, {ranked()}, {pairs()}, {final_rules()}",
         "dust_overflow": f"WITH {FULL_ROWS} {over}",
         "dust_overflow_head": f"WITH {HEAD_ROWS} {over}",

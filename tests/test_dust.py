@@ -195,6 +195,30 @@ def test_elimination_against_one_pass(spark, rules, order, reading):
     assert sorted((r.beta, r.alpha) for r in got) == want
 
 
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rule_lists, st.sampled_from(["asc", "desc"]), st.sampled_from(["intent", "literal"]))
+def test_elimination_without_window(spark, rules, order, reading):
+    frame = spark.createDataFrame(rules, "alpha string, beta string, support long")
+    got = dust.eliminate_redundant(dust.ranked_rules(frame, order), reading, window=None).collect()
+    sign = 1 if order == "asc" else -1
+    in_order = sorted(rules, key=lambda r: (sign * r[2], r[0], r[1]))
+    want = sequential(in_order, lambda *r: replaced(*r, literal=reading == "literal"), window=len(rules))
+    assert sorted((r.beta, r.alpha) for r in got) == want
+
+
+def test_far_rules_are_compared(spark):
+    """A short rule that comes from 300 positions away, and a list without any rules."""
+    rules = [("a", "b", 1), *[(f"{k:03}", f"<{k}>{k}", 2) for k in range(300)], ("xa", "xb", 3), ("xay", "xby", 4)]
+    frame = spark.createDataFrame(rules, "alpha string, beta string, support long")
+    want = sequential(rules, replaced, window=len(rules))
+    assert ("xb", "xa") not in want
+    got = dust.eliminate_redundant(dust.ranked_rules(frame), window=None).collect()
+    assert [(r.beta, r.alpha) for r in got] == want
+    near = dust.eliminate_redundant(dust.ranked_rules(frame)).collect()
+    assert ("xb", "xa") in [(r.beta, r.alpha) for r in near]
+    assert dust.eliminate_redundant(dust.ranked_rules(frame.limit(0)), window=None).collect() == []
+
+
 def test_elimination_over_block_borders(spark, monkeypatch):
     """Blocks far smaller than the list change nothing."""
     rng = random.Random(3)
