@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from crawlflow import schemas
 from crawlflow.functions import url as U
 from crawlflow.operators import crawl, robots
+from crawlflow.operators.domains import with_registered_domain
 from crawlflow.operators.politeness import DOMAIN_DELAY_MS, throttle_plan
 
 PLANNED = "url string, attempt int, date timestamp, origin string, domain string, release_ms long"
@@ -38,20 +39,26 @@ def judge(urls: DataFrame, rules: DataFrame) -> DataFrame:
     return known.withColumn("reason", reason).drop("denied")
 
 
-def plan(judged: DataFrame, before: DataFrame | None, last_release: DataFrame | None, delay_ms: int) -> DataFrame:
-    """Admitted rows, one for each URL and attempt that was not planned ``before``, with release times by registered domain."""
+def plan(
+    judged: DataFrame, before: DataFrame | None, last_release: DataFrame | None, delay_ms: int, suffixes: DataFrame | None = None
+) -> DataFrame:
+    """Admitted rows, one for each URL and attempt that was not planned ``before``, with release times by registered domain.
+
+    ``suffixes`` is the table of public suffixes; without it the built-in list of two-label suffixes serves.
+    """
     key = ["url", "attempt"]
     new = judged.where("reason is null").groupBy(*key).agg(F.min(F.struct("date", "origin")).alias("first")).select(*key, "first.*")
     if before is not None:
         new = new.join(before.select(*key), key, "left_anti")
-    named = new.withColumn("domain", U.registered_domain(F.col("url"))).withColumn("visit", F.concat_ws("#", "url", "attempt"))
+    named = new.withColumn("domain", U.registered_domain(F.col("url"))) if suffixes is None else with_registered_domain(new, suffixes)
+    named = named.withColumn("visit", F.concat_ws("#", "url", "attempt"))
     times = throttle_plan(named, "domain", "date", "visit", delay_ms, last_release=last_release)
     return named.join(times.select("visit", "release_ms"), "visit").select(*key, "date", "origin", "domain", "release_ms")
 
 
 def run_step(
     urls: DataFrame, step: int, out: str, web: DataFrame, rules: DataFrame, now: Column,
-    max_attempts: int = 3, delay_ms: int = DOMAIN_DELAY_MS,
+    max_attempts: int = 3, delay_ms: int = DOMAIN_DELAY_MS, suffixes: DataFrame | None = None,
 ) -> None:
     """One step over ``urls``; ``web`` (canonical ``url``, ``status, moved_to, fetched_url, html``) has fetch results."""
     spark = urls.sparkSession
@@ -66,7 +73,7 @@ def run_step(
     if step > 0:
         before = spark.read.schema(f"{PLANNED}, step int").parquet(f"{out}/planned").where(F.col("step") < step)
         last = spark.read.schema(STATE).parquet(f"{out}/state/step={step - 1}")
-    planned = put(plan(judged, before, last, delay_ms), "planned")
+    planned = put(plan(judged, before, last, delay_ms, suffixes), "planned")
     state = planned.select("domain", "release_ms")
     put((state if last is None else state.unionByName(last)).groupBy("domain").agg(F.max("release_ms").alias("release_ms")), "state")
     log = put(planned.select("url", "date", "attempt").join(web.select("url", "status", "moved_to", "fetched_url", "html"), "url", "left"), "log")
@@ -78,7 +85,7 @@ def run_step(
 
 
 def crawl_steps(
-    seeds: DataFrame, web: DataFrame, rules: DataFrame, now: Column, out: str, steps: int = 3, **options: int
+    seeds: DataFrame, web: DataFrame, rules: DataFrame, now: Column, out: str, steps: int = 3, **options: object
 ) -> DataFrame:
     """``steps`` steps from ``seeds`` (``url, date``) on; see ``results``."""
     spark = seeds.sparkSession

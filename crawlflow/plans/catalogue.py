@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crawlflow import schemas
 from crawlflow.functions import html as H, text as X, url as U
-from crawlflow.operators import crawl, dust, dust_apply, flow, politeness, redirects, robots
+from crawlflow.operators import crawl, domains, dust, dust_apply, flow, politeness, redirects, robots
 from crawlflow.plans import inputs as I
 from crawlflow.session import materialize, once, scratch_path, spread
 from crawlflow.sources import seeds, sinks
 from crawlflow.streaming.articles import read_folder, stream_articles, stream_frontier
+from crawlflow.streaming.feed import index_seeds, stream_feed
 from crawlflow.streaming.flow import stream_flow
 from crawlflow.streaming.throttle import stream_throttle
 
@@ -101,6 +102,12 @@ def domain_registered(pages):
     return I.domain_samples(pages).select("url", U.registered_domain(F.col("url")).alias("domain"))
 
 
+@on_pages
+def domain_by_suffix(pages):
+    """Registered domains by a suffix table with wildcards and exceptions."""
+    return domains.with_registered_domain(I.host_samples(pages), domains.parse_suffixes(I.suffix_lines(pages)))
+
+
 # Crawl log
 
 
@@ -150,7 +157,8 @@ def _whole_flow(spark, sf_dir, run):
     pages = I.table(spark, sf_dir, "pages")
     known = materialize(I.web(pages), "web"), materialize(robots.parse(I.robots_files(pages)), "robots")
     out = scratch_path(spark, "flow")
-    return run(I.crawled(pages).select("url", "date"), *known, I.now(), out)
+    suffixes = materialize(domains.parse_suffixes(I.suffix_lines(pages)), "suffixes")
+    return run(I.crawled(pages).select("url", "date"), *known, I.now(), out, suffixes=suffixes)
 
 
 @query
@@ -209,6 +217,14 @@ def throttle_plan(spark, sf_dir):
     return politeness.throttle_plan(events, "user_id", "ts", "event_id", I.EVENT_DELAY_MS)
 
 
+@on_pages
+def throttle_domains(pages):
+    """Release times of all pages by the registered domain of their URLs."""
+    fed = pages.select("page_id", "url", F.expr(f"timestamp_millis({I.START_MS} + page_id * {I.PERIOD_MS})").alias("date"))
+    visits = domains.with_registered_domain(fed, domains.parse_suffixes(I.suffix_lines(pages)))
+    return politeness.throttle_plan(visits, "domain", "date", "page_id")
+
+
 @on_pages
 def recent_domain_share(pages):
     return politeness.recent_domain_share(I.offered(pages))
@@ -337,6 +353,19 @@ def dust_apply_mined(spark, sf_dir):
 # Streams
 
 
+@query
+def stream_seed_feed(spark, sf_dir):
+    """Two rounds of the seed list as four micro-batches of ticks."""
+    pages = I.table(spark, sf_dir, "pages")
+    out = scratch_path(spark, "feed")
+    block = 100
+    n = index_seeds(pages, "page_id", f"{out}/indexed", block)
+    stream_feed(spark, f"{out}/indexed", n, f"{out}/rows", f"{out}/progress", I.START_MS, -(-n // 2), 4, block=block)
+    # The feed is endless; an odd number of seeds lets it begin a third round.
+    fed = spark.read.schema("seq long, url string, date timestamp").parquet(f"{out}/rows")
+    return fed.where(F.col("seq") < 2 * n).select("seq", "url", "date")
+
+
 @query
 def stream_article_tokens(spark, sf_dir):
     pages = read_folder(spark, sf_dir, schemas.PAGES, "pages*.parquet")
@@ -375,8 +404,8 @@ def stream_throttle_plan(spark, sf_dir):
 def stream_pipeline(spark, sf_dir):
     """The same flow as three micro-batches of a stream that reads what it sends back."""
 
-    def run(seeds, web, rules, now, out):
-        stream_flow(seeds, web, rules, now, out, f"{out}/progress")
+    def run(seeds, web, rules, now, out, **options):
+        stream_flow(seeds, web, rules, now, out, f"{out}/progress", **options)
         return flow.results(spark, out)
 
     return _whole_flow(spark, sf_dir, run)

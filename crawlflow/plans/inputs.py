@@ -92,6 +92,33 @@ def domain_samples(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode(made).alias("url"))
 
 
+def host_samples(pages: DataFrame) -> DataFrame:
+    """More spellings of hosts: addresses, ports, capitals, closing dots, deeper names, none at all."""
+    made = F.expr(
+        """
+        array(url, regexp_replace(url, '://', '://a.b.'), regexp_replace(url, '[.](com|org|net)/', '.co.uk./'),
+              concat('http://10.1.2.', page_id % 250, ':8080/x'), concat('http://[2001:db8::', page_id % 10, ']:80/'),
+              upper(regexp_replace(url, '[.](com|org|net)/', '.INFO:81/')), 'http://Net/', concat('page ', page_id), null)
+        """
+    )
+    return pages.select(F.explode(made).alias("url"))
+
+
+def suffix_lines(pages: DataFrame) -> DataFrame:
+    """Lines of a public suffix list: the last label of every host, the fixed two-label ones, and for hosts
+    below ``.net`` a wildcard with exceptions."""
+    host = U.host(F.col("url"))
+    net = host.endswith(".net")
+    lines = F.array(
+        F.concat(F.substring_index(host, ".", -1), F.lit(" // top")),
+        F.when(net, F.concat(F.lit("*."), F.substring_index(host, ".", -2))),
+        F.when(net & (F.col("page_id") % 7 == 0), F.concat(F.lit("!"), F.substring_index(host, ".", -3))),
+        F.lit("// a comment"),
+    )
+    fixed = pages.sparkSession.createDataFrame([(s,) for s in U.PUBLIC_SUFFIXES], "value string")
+    return pages.select(F.explode(F.array_compact(lines)).alias("value")).distinct().unionByName(fixed)
+
+
 def robots_files(pages: DataFrame) -> DataFrame:
     """``(host, body)``: one robots file per host, of three kinds."""
     kind = F.min("page_id") % 3

@@ -79,6 +79,38 @@ SAMPLES = r"""samples AS (
         regexp_replace(url, '://(.*)[.](com|org|net)/', '://www.\1.gov/', 'g'),
         regexp_replace(url, '[.](com|org|net)/', '.info/', 'g')]) AS url FROM pages)"""
 
+SUFFIXES = f"""suffix_rules AS (
+    SELECT DISTINCT suffix, kind FROM (
+        SELECT unnest([
+            {{'suffix': string_split(h, '.')[-1], 'kind': 'normal'}},
+            {{'suffix': CASE WHEN h LIKE '%.net' THEN array_to_string(string_split(h, '.')[-2:], '.') END, 'kind': 'wildcard'}},
+            {{'suffix': CASE WHEN h LIKE '%.net' AND page_id % 7 = 0 THEN array_to_string(string_split(h, '.')[-least(3, len(string_split(h, '.'))):], '.') END, 'kind': 'exception'}}
+        ], recursive := true) FROM (SELECT *, {host('url')} AS h FROM pages))
+    WHERE suffix IS NOT NULL
+    UNION SELECT unnest([{quoted(PUBLIC_SUFFIXES)}]), 'normal')"""
+
+
+def host_domains(source: str) -> str:
+    """CTEs that end in ``host_domains(h, domain)`` for the hosts of ``source``'s URLs."""
+    ip = "regexp_matches(name, '^\\[|^[0-9]{1,3}([.][0-9]{1,3}){3}$')"
+    return f"""{SUFFIXES},
+    host_labels AS (SELECT h, rtrim(h, '.') AS name, string_split(rtrim(h, '.'), '.') AS l
+        FROM (SELECT DISTINCT {host('url')} AS h FROM {source} WHERE url IS NOT NULL)),
+    host_tails AS (SELECT h, len(l) AS n, k, array_to_string(l[len(l) - k + 1:], '.') AS suffix
+        FROM (SELECT *, unnest(range(1, len(l) + 1)) AS k FROM host_labels) WHERE NOT {ip}),
+    host_rules AS (SELECT h, max(CASE WHEN kind = 'exception' THEN k END) AS exc,
+            max(CASE WHEN kind = 'normal' THEN k WHEN kind = 'wildcard' AND k < n THEN k + 1 END) AS len_
+        FROM host_tails JOIN suffix_rules USING (suffix) GROUP BY h),
+    host_domains AS MATERIALIZED (SELECT h, CASE WHEN {ip} THEN name
+            ELSE array_to_string(l[greatest(1, len(l) - coalesce(exc, coalesce(len_, 1) + 1) + 1):], '.') END AS domain
+        FROM host_labels LEFT JOIN host_rules USING (h))"""
+
+
+HOSTS = r"""hosts_ AS (
+    SELECT unnest([url, regexp_replace(url, '://', '://a.b.'), regexp_replace(url, '[.](com|org|net)/', '.co.uk./', 'g'),
+        'http://10.1.2.' || page_id % 250 || ':8080/x', 'http://[2001:db8::' || page_id % 10 || ']:80/',
+        upper(regexp_replace(url, '[.](com|org|net)/', '.INFO:81/', 'g')), 'http://Net/', 'page ' || page_id, NULL]) AS url FROM pages)"""
+
 WWW = r"CASE WHEN d = '' THEN 'Domain not found' ELSE d END"
 FORM_A = r"regexp_extract(url, 'https?://www\.(.+?)\.[a-z]{3}', 1)"
 FORM_B = r"regexp_extract(url, 'https?://www\.(.+?)\.(co[a-z]|edu|gov|net|org)', 1)"
@@ -390,14 +422,12 @@ def frontier(seeds: str) -> str:
 
 def whole_flow(steps: int = 3) -> str:
     """Steps as CTEs, each from the one before; article tokens and links of a page are the same in all."""
-    labels_ = f"string_split({host('url')}, '.')"
-    domain = f"""CASE WHEN array_to_string({labels_}[-2:], '.') IN ({quoted(PUBLIC_SUFFIXES)})
-        THEN array_to_string({labels_}[-3:], '.') ELSE array_to_string({labels_}[-2:], '.') END"""
     moved, retry = "coalesce(status IN (301, 302, 303), false)", "coalesce(status IN (408, 502, 503), false)"
     parts = [f"""{FETCH_LOG}, {ROBOTS.replace('bodies', 'files').replace('lines AS', 'file_lines AS').replace('FROM lines', 'FROM file_lines')},
     web AS MATERIALIZED (SELECT url, unnest(min({{'date': date, 'status': status, 'moved_to': moved_to, 'fetched_url': fetched_url, 'html': html, 'page_id': page_id}}))
         FROM (SELECT l.* REPLACE ({canonical('l.url')} AS url), p.page_id FROM fetch_log l JOIN (SELECT page_id, {DATE} AS date FROM pages) p USING (date))
         WHERE url IS NOT NULL GROUP BY url),
+    {host_domains('pages')},
     {ARTICLE_LISTS},
     fetched AS (SELECT * FROM web WHERE html <> '' AND {IS_HTML}),
     {links('fetched', 'page_id')},
@@ -412,7 +442,7 @@ def whole_flow(steps: int = 3) -> str:
     judged_{k} AS MATERIALIZED (SELECT c.*, CASE WHEN url IS NULL THEN 'invalid_url' WHEN {REJECTED.replace('{u}', 'url')} THEN 'rejected'
         WHEN denied THEN 'robots_denied' END AS reason FROM canon_{k} c LEFT JOIN hits_{k} USING (url)),
     before_{k} AS ({before}),
-    new_{k} AS (SELECT url, attempt, unnest(min({{'date': date, 'origin': origin}})), {domain} AS domain FROM judged_{k}
+    new_{k} AS (SELECT url, attempt, unnest(min({{'date': date, 'origin': origin}})), any_value(domain) AS domain FROM judged_{k} LEFT JOIN host_domains ON h = {host('url')}
         WHERE reason IS NULL AND NOT EXISTS (SELECT 1 FROM before_{k} b WHERE b.url = judged_{k}.url AND b.attempt = judged_{k}.attempt)
         GROUP BY url, attempt),
     ranked_{k} AS (SELECT *, epoch_ms(date) AS ms, row_number() OVER (PARTITION BY domain ORDER BY epoch_ms(date), url || '#' || attempt) AS k FROM new_{k}),
@@ -450,12 +480,14 @@ def _queries() -> dict[str, str]:
     retry = "status IN (408, 502, 503)"
     head, full = likely(HEAD_ROWS, LITERAL), likely(FULL_ROWS, LITERAL)
     over = f"SELECT prefix, suffix, count(*) AS n FROM envelopes GROUP BY ALL HAVING count(*) > {MAX_BUCKET}"
-    return {
-        "seed_scan": "SELECT url FROM pages",
-        "seed_feed": f"""
+    feed = f"""
             SELECT seq, url, epoch_ms(({START_MS} + seq * {PERIOD_MS})::bigint) AS date FROM (
                 SELECT row_number() OVER (ORDER BY page_id) - 1 + r * (SELECT count(*) FROM pages) AS seq, url
-                FROM pages, range(2) t(r))""".replace("OVER (ORDER BY page_id)", "OVER (PARTITION BY r ORDER BY page_id)"),
+                FROM pages, range(2) t(r))""".replace("OVER (ORDER BY page_id)", "OVER (PARTITION BY r ORDER BY page_id)")
+    return {
+        "seed_scan": "SELECT url FROM pages",
+        "seed_feed": feed,
+        "stream_seed_feed": feed,
         "size_log": """
             WITH lines AS (SELECT CASE page_id % 6 WHEN 1 THEN url
                 WHEN 2 THEN url || ', ' || strlen(html) WHEN 3 THEN url || ',+' || strlen(html)
@@ -484,6 +516,13 @@ def _queries() -> dict[str, str]:
             WITH {SAMPLES}, labels_ AS (SELECT url, string_split({host('url')}, '.') AS l FROM samples)
             SELECT url, CASE WHEN array_to_string(l[-2:], '.') IN ({quoted(PUBLIC_SUFFIXES)})
                 THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS domain FROM labels_""",
+        "domain_by_suffix": f"""
+            WITH {HOSTS}, {host_domains('hosts_')} SELECT url, domain FROM hosts_ LEFT JOIN host_domains ON h = {host('url')}""",
+        "throttle_domains": f"""
+            WITH {host_domains('pages')},
+            turns AS (SELECT page_id, domain, {START_MS} + page_id * {PERIOD_MS} AS ms,
+                row_number() OVER (PARTITION BY domain ORDER BY page_id) AS k FROM pages LEFT JOIN host_domains ON h = {host('url')})
+            SELECT page_id, domain, (k * 1000 + max(ms - k * 1000) OVER (PARTITION BY domain ORDER BY k))::bigint AS release_ms FROM turns""",
         "robots_rules": f"WITH {ROBOTS} SELECT host, kind, prefix FROM rules",
         "robots_filter": f"""
             WITH {ROBOTS}, urls AS (SELECT page_id, {canonical('url')} AS url FROM pages),

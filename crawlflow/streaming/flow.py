@@ -9,7 +9,7 @@ from crawlflow.operators.flow import run_step, seeded
 
 
 def stream_flow(
-    seeds: DataFrame, web: DataFrame, rules: DataFrame, now: Column, out: str, checkpoint: str, steps: int = 3, **options: int
+    seeds: DataFrame, web: DataFrame, rules: DataFrame, now: Column, out: str, checkpoint: str, steps: int = 3, **options: object
 ) -> None:
     """Run up to ``steps`` micro-batches over the files of ``out``/inbox, where seeds are put and to which every micro-batch adds.
 

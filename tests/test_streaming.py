@@ -11,6 +11,7 @@ from crawlflow.operators.politeness import throttle_plan
 from crawlflow.plans import inputs as I
 from crawlflow.sources import seeds, sinks
 from crawlflow.streaming.articles import read_folder, stream_articles, stream_rewrites
+from crawlflow.streaming.feed import blocks_of, index_seeds, stream_feed
 from crawlflow.streaming.throttle import stream_throttle
 
 SF = "/root/testdata/sf0.001"
@@ -137,6 +138,28 @@ def test_feed_stream_takes_turns(spark):
     assert stream.isStreaming and stream.columns == ["url", "date"]
 
 
+def test_feed_over_micro_batches(spark, tmp_path):
+    """Seven seeds, five turns a micro-batch, a stop in between: as the batch feed, for any block size."""
+    urls = spark.createDataFrame([(10 * k, f"u{k}") for k in range(7)], "id long, url string")
+    want = sorted(tuple(r) for r in seeds.feed(urls, "id", 0, rounds=3).where("seq < 20").select("seq", "url", "date").collect())
+    for block in (2, 3, 100):
+        out = f"{tmp_path}/{block}"
+        n = index_seeds(urls, "id", f"{out}/indexed", block)
+        for batches in (3, 1):
+            stream_feed(spark, f"{out}/indexed", n, f"{out}/rows", f"{out}/progress", 0, 5, batches, block=block)
+        got = spark.read.parquet(f"{out}/rows").select("seq", "url", "date").collect()
+        assert sorted(map(tuple, got)) == want
+    assert index_seeds(urls.limit(0), "id", f"{tmp_path}/none") == 0
+    stream_feed(spark, f"{tmp_path}/none", 0, f"{tmp_path}/no", f"{tmp_path}/no-progress", 0, 5)
+
+
+def test_feed_reads_its_blocks_only(spark):
+    blocks = spark.range(10).withColumnRenamed("id", "block")
+    for first, last in ((0, 9), (25, 44), (95, 104), (103, 112), (40, 150), (0, 99), (199, 200)):
+        got = {r.block for r in blocks.where(blocks_of(first, last, 100, 10)).collect()}
+        assert got == {turn % 100 // 10 for turn in range(first, last + 1)}
+
+
 def test_rules_sink(spark, tmp_path):
     rules = spark.createDataFrame([("x", "b"), ("a", "b"), ("q", "a")], "alpha string, beta string")
     sinks.write_rules(rules, f"{tmp_path}/rules")
