@@ -55,7 +55,16 @@ def _tag_target(tag: Column) -> Column:
 
 
 def with_out_links(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """Add ``links``, the distinct canonical links of a page; an array, so nothing is shuffled.
+    """Add ``links``, the distinct canonical links of a page; an array, so nothing is shuffled."""
+    return (
+        with_resolved_links(df, html, url)
+        .withColumn("links", F.array_distinct(F.array_compact(canonical_urls(F.col("resolved")))))
+        .drop("resolved")
+    )
+
+
+def with_resolved_links(df: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """Add ``resolved``, the links of a page, each spelling once, as absolute URLs.
 
     One pass takes out the comments and scripts, one finds the tags; the rest works on tags.
     """
@@ -85,7 +94,7 @@ def with_out_links(df: DataFrame, html: str = "html", url: str = "url") -> DataF
                 link_base(resolve_link(F.col("_stated"), F.col("_page")))
             ),
         )
-        .withColumn("links", F.array_distinct(F.array_compact(canonical_urls(resolved))))
+        .withColumn("resolved", resolved)
         .drop("_tags", "_stated", "_targets", "_page", "_base")
     )
 

@@ -34,13 +34,13 @@ def admit(urls: DataFrame, url: str = "url") -> DataFrame:
     return urls.select(*others, F.explode(kept).alias(url)).select(*urls.columns)
 
 
-def _has_content() -> Column:
+def has_content() -> Column:
     return F.col("html").isNotNull() & (F.col("html") != "") & H.is_html(F.col("html"))
 
 
 def html_gate(fetched: DataFrame) -> DataFrame:
     """Rows with fetched, non-empty HTML."""
-    return fetched.where(_has_content())
+    return fetched.where(has_content())
 
 
 def route(fetch_log: DataFrame, now: Column) -> DataFrame:
@@ -106,7 +106,7 @@ def feedback(fetch_log: DataFrame, now: Column, max_attempts: int | None = None)
             F.array().cast("array<struct<url:string,origin:string,attempt:int>>")
         )
 
-    content = H.with_out_links(fetch_log.withColumn("_content", _has_content() & ~moved))
+    content = H.with_out_links(fetch_log.withColumn("_content", has_content() & ~moved))
     return content.select(
         F.inline(
             F.concat(
@@ -126,8 +126,8 @@ def frontier(
     return admit(seeded.unionByName(feedback(fetch_log, now, max_attempts)))
 
 
-def quarantine(fetch_log: DataFrame, max_attempts: int | None = None) -> DataFrame:
-    """``(url, reason)`` of the rows that leave the flow, the first reason that holds."""
+def drop_reason(max_attempts: int | None = None) -> Column:
+    """Why a fetch result leaves the flow, the first reason that holds; null when none does."""
     moved = F.coalesce(F.col("status").isin(*MOVED), F.lit(False))
     reason = F.when(U.canonical_url(F.col("url")).isNull(), "invalid_url").when(
         moved & F.col("moved_to").isNull(), "moved_without_target"
@@ -135,12 +135,16 @@ def quarantine(fetch_log: DataFrame, max_attempts: int | None = None) -> DataFra
     if max_attempts is not None:
         spent = F.col("status").isin(*RETRY) & (F.col("attempt") >= max_attempts)
         reason = reason.when(spent, "retries_exhausted")
-    reason = (
+    return (
         reason.when(~moved & F.col("html").isNull(), "not_fetched")
         .when(~moved & (F.col("html") == ""), "empty_page")
         .when(~moved & ~H.is_html(F.col("html")), "not_html")
     )
-    return fetch_log.select("url", F.explode(once(F.array(reason))).alias("reason"))
+
+
+def quarantine(fetch_log: DataFrame, max_attempts: int | None = None) -> DataFrame:
+    """``(url, reason)`` of the rows that leave the flow."""
+    return fetch_log.select("url", F.explode(once(F.array(drop_reason(max_attempts)))).alias("reason"))
 
 
 def extract_text(crawled: DataFrame) -> DataFrame:

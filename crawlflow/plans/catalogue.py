@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crawlflow import schemas
 from crawlflow.functions import html as H, text as X, url as U
-from crawlflow.operators import crawl, domains, dust, dust_apply, flow, politeness, redirects, robots
+from crawlflow.operators import accounts, crawl, domains, dust, dust_apply, flow, politeness, redirects, robots
 from crawlflow.plans import inputs as I
 from crawlflow.session import materialize, once, scratch_path, spread
 from crawlflow.sources import seeds, sinks
@@ -153,6 +153,12 @@ def quarantine(pages):
     return crawl.quarantine(I.fetch_log(pages), max_attempts=3)
 
 
+@on_pages
+def row_accounts(pages):
+    """Where every fetch result and every URL it sends back has gone, in numbers."""
+    return accounts.accounts(I.odd_log(I.fetch_log(pages)), I.now(), max_attempts=3)
+
+
 def _whole_flow(spark, sf_dir, run):
     pages = I.table(spark, sf_dir, "pages")
     known = materialize(I.web(pages), "web"), materialize(robots.parse(I.robots_files(pages)), "robots")

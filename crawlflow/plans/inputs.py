@@ -171,6 +171,20 @@ def fetch_log(pages: DataFrame, known: DataFrame | None = None) -> DataFrame:
     )
 
 
+#: Links that are invalid, rejected and twice the same.
+ODD_LINKS = '<a href="http:///x">x</a><a href="/a.css">a</a><a href="/p/../q">q</a><a href="/q">q</a></body>'
+
+
+def odd_log(log: DataFrame) -> DataFrame:
+    """A fetch log with rows without status, targets and links that are relative, invalid or rejected."""
+    at = f"(unix_millis(date) - {START_MS}) div {PERIOD_MS}"
+    return (
+        log.withColumn("status", F.expr(f"if({at} % 30 = 20, null, status)"))
+        .withColumn("moved_to", F.expr(f"case {at} % 40 when 1 then 'mailto:x' when 11 then '/moved.css' when 21 then '/moved' else moved_to end"))
+        .withColumn("html", F.when(F.expr(f"{at} % 6 = 0"), F.replace("html", F.lit("</body>"), F.lit(ODD_LINKS))).otherwise(F.col("html")))
+    )
+
+
 def offered(pages: DataFrame) -> DataFrame:
     """``(idx, url, domain)``: URLs in arrival order with their form-A domain."""
     numbered = with_position(pages.select("page_id", "url"), "page_id", name="idx", first=1)

@@ -6,7 +6,7 @@ from crawlflow.functions.html import ENTITIES
 from crawlflow.functions.text import STOP_WORDS
 from crawlflow.functions.url import PUBLIC_SUFFIXES
 from crawlflow.operators.dust import MAX_BUCKET, MAX_SUBSTRING, WINDOW
-from crawlflow.plans.inputs import EVENT_DELAY_MS, NOW_MS, PERIOD_MS, START_MS
+from crawlflow.plans.inputs import EVENT_DELAY_MS, NOW_MS, ODD_LINKS, PERIOD_MS, START_MS
 from crawlflow.plans.oracle_stems import stem_ctes
 
 NOW = f"epoch_ms({NOW_MS}::bigint)"
@@ -169,9 +169,10 @@ def links(source: str, key: str) -> str:
         SELECT {key}, url AS u, regexp_replace(html, '{UNSEEN}', ' ', 'g') AS seen FROM {source}),
     tags AS (SELECT {key}, u, unnest({LINK}) AS g FROM seen),
     targets AS (SELECT {key}, u, {TARGET} AS t FROM tags),
-    links AS (
-        SELECT DISTINCT {key}, {canonical(resolved)} AS link FROM targets
-        WHERE t <> '' AND NOT regexp_matches(t, '(?i)javascript:|mailto:|@'))"""
+    spellings AS (
+        SELECT DISTINCT {key}, t, {canonical(resolved)} AS link FROM targets
+        WHERE t <> '' AND NOT regexp_matches(t, '(?i)javascript:|mailto:|@')),
+    links AS (SELECT DISTINCT {key}, link FROM spellings)"""
 
 
 def plain(text: str) -> str:
@@ -402,10 +403,10 @@ def spread(source: str, more: str = "", workers: int = 4) -> str:
         {more}"""
 
 
-def frontier(seeds: str) -> str:
-    moved = "status IN (301, 302, 303)"
+def frontier(seeds: str, log: str = f"{FETCH_LOG},") -> str:
+    moved = "coalesce(status IN (301, 302, 303), false)"
     return f"""
-        WITH {FETCH_LOG},
+        WITH {log}
         content AS (SELECT *, row_number() OVER (ORDER BY date) AS n FROM fetch_log
             WHERE NOT {moved} AND html <> '' AND {IS_HTML}),
         {links('content', 'n')},
@@ -475,6 +476,38 @@ def whole_flow(steps: int = 3) -> str:
     )
 
 
+def row_accounts(left: str) -> str:
+    """Outcomes from the log and links; what the outputs hold from their own twins."""
+    moved, bad = "coalesce(status IN (301, 302, 303), false)", REJECTED.replace("{u}", "url")
+    at = f"(epoch_ms(date) - {START_MS}) // {PERIOD_MS}"
+    log = f"""{FETCH_LOG.replace('fetch_log AS', 'plain_log AS')},
+        fetch_log AS MATERIALIZED (SELECT * REPLACE (CASE WHEN {at} % 30 = 20 THEN NULL ELSE status END AS status,
+            CASE {at} % 40 WHEN 1 THEN 'mailto:x' WHEN 11 THEN regexp_extract(url, '^{NAME}://[^/?#]*') || '/moved.css'
+                WHEN 21 THEN regexp_extract(url, '^{NAME}://[^/?#]*') || '/moved' ELSE moved_to END AS moved_to,
+            CASE WHEN {at} % 6 = 0 THEN replace(html, '</body>', '{ODD_LINKS}') ELSE html END AS html) FROM plain_log)"""
+    return f"""
+        WITH {log},
+        reported AS MATERIALIZED ({left}),
+        back AS MATERIALIZED ({frontier('', '')}),
+        content AS (SELECT *, row_number() OVER (ORDER BY date) AS n FROM fetch_log
+            WHERE NOT {moved} AND html <> '' AND {IS_HTML}),
+        {links('content', 'n')},
+        sent AS (
+            SELECT 'redirect' AS kind, {canonical('moved_to')} AS url, row_number() OVER () AS owner FROM fetch_log WHERE {moved} AND moved_to IS NOT NULL
+            UNION ALL SELECT 'retry', {canonical('url')}, row_number() OVER () FROM fetch_log WHERE status IN (408, 502, 503) AND attempt < 3
+            UNION ALL SELECT 'outlink', link, n FROM spellings),
+        judged AS (SELECT kind, CASE WHEN url IS NULL THEN 'invalid' WHEN {bad} THEN 'rejected'
+            WHEN row_number() OVER (PARTITION BY kind, owner, url) > 1 THEN 'repeated' ELSE 'admitted' END AS outcome FROM sent),
+        kept AS (SELECT CASE WHEN NOT {moved} THEN 'content' ELSE 'sent_on' END AS outcome FROM fetch_log
+            WHERE {canonical('url')} IS NOT NULL AND CASE WHEN {moved} THEN moved_to IS NOT NULL
+                ELSE html <> '' AND {IS_HTML} AND NOT coalesce(status IN (408, 502, 503) AND attempt >= 3, false) END)
+        SELECT kind, outcome, count(*) AS n, CASE WHEN kind = 'result' AND outcome <> 'sent_on' THEN count(*)
+            WHEN outcome = 'admitted' THEN (SELECT count(*) FROM back WHERE origin = kind) END AS n_out
+        FROM (SELECT * FROM judged UNION ALL SELECT 'result', reason FROM reported UNION ALL SELECT 'result', outcome FROM kept
+            UNION ALL SELECT 'status', CASE WHEN status IS NULL THEN 'no_status' ELSE 'given' END FROM fetch_log)
+        GROUP BY kind, outcome"""
+
+
 def _queries() -> dict[str, str]:
     moved = "status IN (301, 302, 303)"
     retry = "status IN (408, 502, 503)"
@@ -484,6 +517,15 @@ def _queries() -> dict[str, str]:
             SELECT seq, url, epoch_ms(({START_MS} + seq * {PERIOD_MS})::bigint) AS date FROM (
                 SELECT row_number() OVER (ORDER BY page_id) - 1 + r * (SELECT count(*) FROM pages) AS seq, url
                 FROM pages, range(2) t(r))""".replace("OVER (ORDER BY page_id)", "OVER (PARTITION BY r ORDER BY page_id)")
+    known = f"coalesce({moved}, false)"
+    left = f"""
+            SELECT url, reason FROM (SELECT url, CASE WHEN {canonical('url')} IS NULL THEN 'invalid_url'
+                WHEN {known} AND moved_to IS NULL THEN 'moved_without_target'
+                WHEN {retry} AND attempt >= 3 THEN 'retries_exhausted'
+                WHEN NOT {known} AND html IS NULL THEN 'not_fetched'
+                WHEN NOT {known} AND html = '' THEN 'empty_page'
+                WHEN NOT {known} AND NOT {IS_HTML} THEN 'not_html' END AS reason FROM fetch_log)
+            WHERE reason IS NOT NULL"""
     return {
         "seed_scan": "SELECT url FROM pages",
         "seed_feed": feed,
@@ -554,15 +596,8 @@ def _queries() -> dict[str, str]:
             f"SELECT url, {DATE} AS date, 'seed' AS origin, 1 AS attempt FROM pages UNION ALL"
         ),
         "stream_frontier_feedback": frontier(""),
-        "quarantine": f"""
-            WITH {FETCH_LOG}
-            SELECT url, reason FROM (SELECT url, CASE WHEN {canonical('url')} IS NULL THEN 'invalid_url'
-                WHEN {moved} AND moved_to IS NULL THEN 'moved_without_target'
-                WHEN {retry} AND attempt >= 3 THEN 'retries_exhausted'
-                WHEN NOT {moved} AND html IS NULL THEN 'not_fetched'
-                WHEN NOT {moved} AND html = '' THEN 'empty_page'
-                WHEN NOT {moved} AND NOT {IS_HTML} THEN 'not_html' END AS reason FROM fetch_log)
-            WHERE reason IS NOT NULL""",
+        "quarantine": f"WITH {FETCH_LOG} {left}",
+        "row_accounts": row_accounts(left),
         "article_text": f"""
             WITH {ARTICLE}
             SELECT page_id, coalesce(t, '') AS text FROM pages LEFT JOIN (
