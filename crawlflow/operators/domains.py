@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from crawlflow.functions import url as U
 from crawlflow.session import once
 
+#: Parts that the URLs of one host are dealt to.
+HOST_PARTS = 64
+
 IP_HOST = r"^\[|^[0-9]{1,3}([.][0-9]{1,3}){3}$"
 
 
@@ -52,8 +55,11 @@ def registered_domains(hosts: DataFrame, suffixes: DataFrame, host: str = "host"
 def with_registered_domain(urls: DataFrame, suffixes: DataFrame, url: str = "url", name: str = "domain") -> DataFrame:
     """Add the registered domain of each URL; null for a null URL, empty for one without a host.
 
-    Domains are found once for each host. A host stands once on that side of the join, so the URLs of a hot host split.
+    Domains are found once for each host. The URLs of a host are dealt to ``HOST_PARTS`` parts by their hash, and a
+    domain goes to the parts that its host has, so the URLs of a hot host do not all meet in one task.
     """
-    placed = urls.withColumn("_host", U.host(F.col(url)))
-    found = registered_domains(placed, suffixes, "_host").select(F.col("host").alias("_host"), F.col("domain").alias(name))
-    return placed.join(found, "_host", "left").select(*urls.columns, name)
+    part = F.pmod(F.xxhash64(url), F.lit(HOST_PARTS)).cast("int")
+    placed = urls.withColumn("_host", U.host(F.col(url))).withColumn("_part", part)
+    parts = placed.select("_host", "_part").distinct()
+    found = registered_domains(parts, suffixes, "_host").select(F.col("host").alias("_host"), F.col("domain").alias(name))
+    return placed.join(parts.join(found, "_host"), ["_host", "_part"], "left").select(*urls.columns, name)
