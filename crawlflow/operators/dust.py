@@ -25,6 +25,9 @@ MAX_ABSOLUTE_DEFICIENCY = 10
 #: broadcast has at most this many rows; the buckets left hold at most 1/HOT of all rows each.
 HOT_BUCKETS = 10_000
 
+#: Characters by which the ends of envelopes are rounded to find lines that can share one.
+CELL = 4
+
 #: Positions resolved per group in the elimination step.
 ELIMINATION_BLOCK = 20_000
 
@@ -91,16 +94,60 @@ def overflow(size_log: DataFrame, scope: str = "full") -> DataFrame:
     return _bucket_sizes(rows, ["prefix", "suffix"]).where(f"n > {MAX_BUCKET}")
 
 
-def _keyed_rows(lines: DataFrame, scope: str) -> tuple[DataFrame, list[str]]:
-    """Exploded rows with the columns that identify their bucket.
+def _cells(lines: DataFrame) -> DataFrame:
+    """``lines`` once for each cell: the envelopes whose prefix and suffix agree when cut to cells.
+
+    A cell is named by the prefix and suffix cut to multiples of ``CELL`` characters, so equal envelopes
+    are in the same cell. A line has some 40 cells where it has 450 envelopes.
+    """
+    shortest = f"greatest(length(line) - {MAX_SUBSTRING}, 0)"
+    lowest = f"greatest({shortest} - {2 * (CELL - 1)} - _i, 0)"
+    return (
+        lines.select("*", F.explode(F.expr(f"sequence(0, length(line) - 1, {CELL})")).alias("_i"))
+        .withColumn("_from", F.expr(f"(({lowest} + {CELL - 1}) div {CELL}) * {CELL}"))
+        .withColumn("_to", F.expr("length(line) - 1 - _i"))
+        .withColumn(
+            "_j", F.explode(F.expr(f"if(_from <= _to, sequence(_from, greatest(_from, _to), {CELL}L), array())"))
+        )
+        .drop("_from", "_to")
+        .withColumn("_cell", F.expr("xxhash64(substring(line, 1, _i), substring(line, -_j, _j))"))
+    )
+
+
+def _cell_lines(lines: DataFrame, max_bucket: int) -> DataFrame:
+    """``(line, size, m, _i, _j, _cell, full)`` for cells that hold several lines; all others make no pair.
+
+    ``full`` cells have more than ``max_bucket`` rows. Only hashes and counts are shuffled to find out.
+    """
+    named = _cells(lines).select("_cell", "m", F.xxhash64("line").alias("_name"))
+    shared = (
+        named.groupBy("_cell")
+        .agg(F.sum("m").alias("n"), (F.min("_name") != F.max("_name")).alias("varied"))
+        .where("varied")
+        .select("_cell", F.expr(f"n > {max_bucket}").alias("full"))
+    )
+    return materialize(_cells(lines).join(materialize(shared, "cells"), "_cell"), "cell_lines")
+
+
+def _cell_rows(cell_lines: DataFrame, scope: str) -> tuple[DataFrame, list[str]]:
+    """The exploded rows of cells, with ``_cell`` and the columns that identify their bucket.
 
     Whole-URL envelopes are long, so there the bucket is named by two 64-bit hashes and the
     envelope text does not travel through the shuffles.
     """
-    rows = explode_envelopes(lines)
+    rows = (
+        cell_lines.select("*", F.explode(F.expr(f"sequence(0L, {CELL - 1}L)")).alias("_di"))
+        .select("*", F.explode(F.expr(f"sequence(0L, {CELL - 1}L)")).alias("_dj"))
+        .withColumn("_len", F.expr("length(line) - _i - _di - _j - _dj"))
+        .where(f"_len between 1 and {MAX_SUBSTRING}")
+        .withColumn("prefix", F.expr("substring(line, 1, int(_i + _di))"))
+        .withColumn("suffix", F.expr("substring(line, int(_i + _di + _len + 1))"))
+        .withColumn("substr", F.expr("substring(line, int(_i + _di + 1), int(_len))"))
+    )
     if scope == "head":
-        return rows, ["prefix", "suffix"]
+        return rows.select("_cell", "prefix", "suffix", "substr", "size", "m"), ["prefix", "suffix"]
     hashed = rows.select(
+        "_cell",
         F.xxhash64("prefix", "suffix").alias("env_a"),
         F.xxhash64("suffix", F.lit("|"), "prefix").alias("env_b"),
         "substr",
@@ -112,14 +159,30 @@ def _keyed_rows(lines: DataFrame, scope: str) -> tuple[DataFrame, list[str]]:
 
 def _bucket_substrings(
     lines: DataFrame, scope: str, max_bucket: int = MAX_BUCKET
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Usable buckets as one row per substring with the sizes of its pages; the buckets' sizes.
+) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
+    """Usable buckets as one row per substring with the sizes of its pages; sizes and rows of full cells.
 
     A usable bucket has at most 1000 rows, or ``max_bucket``, which bounds every collected list. Buckets with one
     row or with equal substrings only are left out too, as they cannot make a pair; the latter
     show by equal minimum and maximum of the substrings' hashes.
+
+    No bucket has more rows than its cell. The lines of a cell within the bound go to one task and are
+    exploded there, so their envelopes are never shuffled. Those of full cells are, by bucket.
     """
-    rows, keys = _keyed_rows(lines, scope)
+    cell_lines = _cell_lines(lines, max_bucket)
+    rows, keys = _cell_rows(cell_lines.where("full"), scope)
+    rows = rows.drop("_cell")
+    within = cell_lines.where("not full")
+    parts = int(within.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    local, _ = _cell_rows(within.repartition(parts, "_cell"), scope)
+    few = (
+        local.groupBy("_cell", *keys, "substr")
+        .agg(F.collect_list(F.struct("size", "m")).alias("pages"))
+        .groupBy("_cell", *keys)
+        .agg(F.collect_list(F.struct("substr", "pages")).alias("_subs"))
+        .where("size(_subs) > 1")
+        .select(*keys, F.inline("_subs"))
+    )
     named = rows.withColumn("_name", F.xxhash64("substr"))
     sizes = named.groupBy(*keys).agg(
         F.sum("m").alias("n"), (F.min("_name") != F.max("_name")).alias("varied")
@@ -137,18 +200,17 @@ def _bucket_substrings(
         .groupBy(*keys, "substr")
         .agg(F.collect_list(F.struct("size", "m")).alias("pages"))
     )
-    return materialize(members, "bucket_members"), sizes, keys
+    return materialize(few.unionByName(members), "bucket_members"), sizes, rows, keys
 
 
 def _overflow_support(
-    lines: DataFrame, scope: str, sizes: DataFrame, proposed: DataFrame, max_bucket: int, size_percent: int | None
+    rows: DataFrame, keys: list[str], sizes: DataFrame, proposed: DataFrame, max_bucket: int, size_percent: int | None
 ) -> DataFrame:
     """``(alpha, beta, support)``: the support of ``proposed`` in buckets over the bound.
 
     No pairs are formed there: a substring of a bucket has one histogram of sizes, and only those
     that a proposed rule names meet, first its alpha and then its beta.
     """
-    rows, keys = _keyed_rows(lines, scope)
     named = proposed.select(F.explode(F.array("alpha", "beta")).alias("substr")).distinct()
     over = sizes.where(f"n > {max_bucket} and varied").select(*keys)
     histograms = materialize(
@@ -216,7 +278,7 @@ def likely_rules(
     others propose get their support there too; without, as in the original, it is left out.
     """
     lines = spread(materialize(merged_lines(size_log, scope), "url_lines"), "line", "size")
-    members, sizes, keys = _bucket_substrings(lines, scope, max_bucket)
+    members, sizes, full_rows, keys = _bucket_substrings(lines, scope, max_bucket)
     left = members.select(*keys, F.col("substr").alias("alpha"), F.col("pages").alias("pages_a"))
     right = members.select(*keys, F.col("substr").alias("beta"), F.col("pages").alias("pages_b"))
     rules = (
@@ -229,7 +291,7 @@ def likely_rules(
     if not count_overflow:
         return rules
     rules = materialize(rules, "proposed_rules")
-    more = _overflow_support(lines, scope, sizes, rules, max_bucket, size_percent)
+    more = _overflow_support(full_rows, keys, sizes, rules, max_bucket, size_percent)
     return rules.unionByName(more).groupBy("alpha", "beta").agg(F.sum("support").alias("support"))
 
 
