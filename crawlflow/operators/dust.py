@@ -281,8 +281,11 @@ def likely_rules(
     members, sizes, full_rows, keys = _bucket_substrings(lines, scope, max_bucket)
     left = members.select(*keys, F.col("substr").alias("alpha"), F.col("pages").alias("pages_a"))
     right = members.select(*keys, F.col("substr").alias("beta"), F.col("pages").alias("pages_b"))
+    # A bucket's pairs are many more than its rows, by which adaptive execution would size the tasks.
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rules = (
-        left.join(right, keys)
+        left.repartition(parts, *keys)
+        .join(right, keys)
         .where("alpha <> beta")
         .groupBy("alpha", "beta")
         .agg(F.sum(F.expr(_pair_count_sql(size_percent))).alias("support"))
