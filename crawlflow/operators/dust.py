@@ -232,8 +232,8 @@ def _overflow_support(
     )
 
 
-def _pair_count_sql(size_percent: int | None) -> str:
-    """SQL counting the similar pairs of ``pages_a`` and ``pages_b`` by one merge.
+def _pair_count_sql(size_percent: int | None, a: str = "pages_a", b: str = "pages_b") -> str:
+    """SQL counting the similar pairs of the page lists ``a`` and ``b`` by one merge.
 
     Both lists are put on one scale and sorted together. Walking along, ``seen`` counts the pages
     of b so far; the upper limit of a page of a adds it, the lower limit takes it off again. This
@@ -242,23 +242,23 @@ def _pair_count_sql(size_percent: int | None) -> str:
     """
     scale, upper, lower = (1, 2, None) if size_percent is None else (100, 100 + size_percent, 100 - size_percent)
     events = [
-        f"transform(pages_a, p -> struct({upper}L * p.size as at, 0 as kind, p.m as w))",
-        f"transform(pages_b, p -> struct({scale}L * p.size as at, 1 as kind, p.m as w))",
+        f"transform({a}, p -> struct({upper}L * p.size as at, 0 as kind, p.m as w))",
+        f"transform({b}, p -> struct({scale}L * p.size as at, 1 as kind, p.m as w))",
     ]
     if lower is not None:
-        events.append(f"transform(pages_a, p -> struct({lower}L * p.size as at, 2 as kind, -p.m as w))")
+        events.append(f"transform({a}, p -> struct({lower}L * p.size as at, 2 as kind, -p.m as w))")
     merge = (
         f"aggregate(array_sort(concat({', '.join(events)})), struct(0L as seen, 0L as pairs), "
         "(acc, e) -> struct("
         "acc.seen + if(e.kind = 1, e.w, 0L) as seen, "
         "acc.pairs + if(e.kind = 1, 0L, e.w * acc.seen) as pairs), acc -> acc.pairs)"
     )
-    size_a, size_b = "pages_a[0].size", f"{scale}L * pages_b[0].size"
+    size_a, size_b = f"{a}[0].size", f"{scale}L * {b}[0].size"
     similar = f"{size_b} < {upper}L * {size_a}"
     if lower is not None:
         similar += f" and {size_b} > {lower}L * {size_a}"
-    single = f"if({similar}, pages_a[0].m * pages_b[0].m, 0L)"
-    return f"if(size(pages_a) = 1 and size(pages_b) = 1, {single}, {merge})"
+    single = f"if({similar}, {a}[0].m * {b}[0].m, 0L)"
+    return f"if(size({a}) = 1 and size({b}) = 1, {single}, {merge})"
 
 
 def likely_rules(
@@ -283,13 +283,21 @@ def likely_rules(
     right = members.select(*keys, F.col("substr").alias("beta"), F.col("pages").alias("pages_b"))
     # A bucket's pairs are many more than its rows, by which adaptive execution would size the tasks.
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Both directions of a pair travel and are summed as one row.
     rules = (
         left.repartition(parts, *keys)
         .join(right, keys)
-        .where("alpha <> beta")
+        .where("alpha < beta")
         .groupBy("alpha", "beta")
-        .agg(F.sum(F.expr(_pair_count_sql(size_percent))).alias("support"))
-        .where("support > 0")
+        .agg(
+            F.sum(F.expr(_pair_count_sql(size_percent))).alias("_there"),
+            F.sum(F.expr(_pair_count_sql(size_percent, "pages_b", "pages_a"))).alias("_back"),
+        )
+        .select(
+            F.expr("""inline(filter(array(
+                struct(alpha, beta, _there as support), struct(beta as alpha, alpha as beta, _back as support)
+            ), r -> r.support > 0))""")
+        )
     )
     if not count_overflow:
         return rules
