@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crawlflow.functions.url import canonical_urls, link_base, resolve_link
@@ -32,6 +34,9 @@ ENTITIES = (
     ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
     ("&apos;", "'"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
 )
+# Any reference that ends in a semicolon, and one that ENTITIES does not hold.
+REFERENCE = "&(?=(?:#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);)"
+OTHER_REFERENCE = REFERENCE + "(?!(?:" + "|".join(entity[1:] for entity, _ in ENTITIES) + "))"
 # Blanks that are not already one single space.
 LOOSE_BLANKS = r"[ \t\r\n\f\x{A0}]{2,}|[\t\r\n\f\x{A0}]"
 # A piece between spaces without any letter or digit, which does not count as a word.
@@ -41,6 +46,13 @@ NO_WORD = r"[^\p{L}\p{N} ](?<![^ ].)[^\p{L}\p{N} ]*+(?![^ ])"
 MAX_LINK_DENSITY = 0.333333
 MAX_PREVIOUS_DENSITY = 0.555556
 
+# Where a clause ends, and the fewest words of one; fixed values of the published clause filter.
+CLAUSE_END = r"([\p{L}0-9][,.:;!?]+)(?:[ \n\r]+|$)"
+MIN_CLAUSE_WORDS = 5
+
+# Fixed value: pieces of an article with at most one block between them are one.
+MAX_FUSED_GAP = 1
+
 # Below any of these an article counts as low quality.
 MIN_WORDS_BEFORE, MIN_WORDS_AFTER, MIN_BLOCK_WORDS = 90, 70, 25
 
@@ -103,11 +115,52 @@ def _collapse(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, LOOSE_BLANKS, " "))
 
 
+def _code_point(code: Column) -> Column:
+    """The character of a numeric reference: bytes of Windows-1252 as browsers read them, no control characters."""
+    windows = "".join(bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160))
+    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return (
+        F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), "\ufffd")
+        .when(code.isin(9, 10, 12, 13), " ")
+        .when((code < 32) | (code == 127), "")
+        .when(code.between(128, 159), F.substring(F.lit(windows), code.cast("int") - 127, F.lit(1)))
+        .otherwise(plain)
+    )
+
+
+def _reference(piece: Column) -> Column:
+    """A text that starts behind the ``&`` of a reference, with its character; unknown names stay."""
+    body = F.substring_index(piece, ";", 1)
+    # One string, as a map of that many literals makes plans slow.
+    names = F.lit("".join(f"\u0004{name}\u0005{char}" for name, char in html5.items() if name.endswith(";")) + "\u0004")
+    entry = F.concat(F.lit("\u0004"), body, F.lit(";\u0005"))
+    named = F.when(
+        F.contains(names, entry), F.substring_index(F.call_function("substring_index", names, entry, F.lit(-1)), "\u0004", 1)
+    )
+    rest = F.substring(piece, F.length(body) + 2, F.length(piece))
+    number = F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, F.lit(3), F.length(body)), 16, 10)).when(
+        body.startswith("#"), F.substring(body, F.lit(2), F.length(body))
+    )
+    char = F.when(body.startswith("#"), _code_point(number.cast("long"))).otherwise(named)
+    return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+
 def _decode(text: Column) -> Column:
-    """Character references as characters; ``&amp;`` last, so nothing is decoded twice."""
-    for entity, char in ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references as characters, none decoded twice: the frequent ones by plain replacement,
+    ``&amp;`` last; texts with any other piece by piece."""
+
+    def frequent(t: Column) -> Column:
+        for entity, char in ENTITIES:
+            t = F.replace(t, F.lit(entity), F.lit(char))
+        return t
+
+    def every(t: Column) -> Column:
+        pieces = F.split(t, REFERENCE)
+        following = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), _reference)
+        return F.concat(pieces[0], F.array_join(following, ""))
+
+    # Bound as an array's element, so that the text is computed once.
+    return F.transform(F.array(text), lambda t: F.when(t.rlike(OTHER_REFERENCE), every(t)).otherwise(frequent(t)))[0]
 
 
 def _count_words(text: Column) -> Column:
@@ -158,8 +211,8 @@ def _density(block: Column) -> Column:
     return F.when(block["words"] > 0, block["linked"] / block["words"]).otherwise(F.lit(0.0))
 
 
-def content_blocks(blocks: Column) -> Column:
-    """Blocks that are article text, judged by their own and their neighbours' statistics."""
+def _content_rule(blocks: Column):
+    """Whether a block is article text, judged by its own and its neighbours' statistics."""
 
     def is_content(block: Column, i: Column) -> Column:
         previous, following = F.get(blocks, i - 1), F.get(blocks, i + 1)
@@ -173,7 +226,70 @@ def content_blocks(blocks: Column) -> Column:
             F.coalesce(_density(previous), F.lit(0.0)) <= MAX_PREVIOUS_DENSITY, after_text
         ).otherwise(after_links)
 
-    return F.filter(blocks, is_content)
+    return is_content
+
+
+def content_blocks(blocks: Column) -> Column:
+    return F.filter(blocks, _content_rule(blocks))
+
+
+def _has_clause(block: Column) -> Column:
+    """Whether one of the text's delimited clauses has at least five words; what follows the last end is none."""
+    pieces = F.split(F.regexp_replace(block["text"], CLAUSE_END, f"$1{MARK}"), MARK)
+    ended = F.slice(pieces, 1, F.size(pieces) - 1)
+    return F.exists(ended, lambda c: F.size(F.split(c, "[ \n\r]+")) >= MIN_CLAUSE_WORDS)
+
+
+def with_sentences(df: DataFrame, html: str = "html") -> DataFrame:
+    """Add ``blocks`` and ``article``: the paragraphs of the page's main text that hold a clause.
+
+    Content blocks, and the one block before a run of them (mostly its heading), are one piece; pieces with at
+    most one block between them are joined; the piece with most words stays, the first of equal ones. Of its
+    paragraphs those with a delimited clause of five or more words are the article. Pieces are kept as the
+    positions where they begin and end, so a page costs its number of blocks.
+    """
+    blocks, content = F.col("blocks"), F.col("_content")
+    is_content = _content_rule(blocks)
+    begins = F.filter(
+        F.transform(content, lambda c, i: F.when((i == 0) | ~c, i)), lambda i: i.isNotNull()
+    )
+
+    def piece(begin: Column, k: Column) -> Column:
+        end = F.coalesce(F.get(F.col("_begins"), k + 1), F.size("blocks")) - 1
+        return F.when(
+            (end > begin) | F.get(content, begin), F.struct(begin.alias("begin"), end.alias("end"))
+        )
+
+    pieces = F.filter(F.transform("_begins", piece), lambda p: p.isNotNull())
+    apart = F.filter(
+        F.transform(
+            "_pieces",
+            lambda p, k: F.when(
+                (k == 0) | (p["begin"] - F.get(F.col("_pieces"), k - 1)["end"] - 1 > MAX_FUSED_GAP), k
+            ),
+        ),
+        lambda k: k.isNotNull(),
+    )
+
+    def fused(first: Column, k: Column) -> Column:
+        stop = F.coalesce(F.get(F.col("_apart"), k + 1), F.size("_pieces"))
+        members = F.slice("_pieces", first + 1, stop - first)
+        paragraphs = F.flatten(
+            F.transform(members, lambda p: F.slice(blocks, p["begin"] + 1, p["end"] - p["begin"] + 1))
+        )
+        return F.struct(F.aggregate(paragraphs, F.lit(0), lambda n, b: n + b["words"]).alias("words"), (-k).alias("order"), paragraphs.alias("paragraphs"))
+
+    largest = F.coalesce(F.array_max("_fused")["paragraphs"], F.slice(blocks, 1, 0))
+    return (
+        with_blocks(df, html)
+        .withColumn("_content", F.transform(blocks, is_content))
+        .withColumn("_begins", begins)
+        .withColumn("_pieces", pieces)
+        .withColumn("_apart", apart)
+        .withColumn("_fused", F.transform("_apart", fused))
+        .withColumn("article", F.filter(largest, _has_clause))
+        .drop("_content", "_begins", "_pieces", "_apart", "_fused")
+    )
 
 
 def with_article(df: DataFrame, html: str = "html") -> DataFrame:

@@ -147,11 +147,15 @@ def quarantine(fetch_log: DataFrame, max_attempts: int | None = None) -> DataFra
     return fetch_log.select("url", F.explode(once(F.array(drop_reason(max_attempts)))).alias("reason"))
 
 
-def extract_text(crawled: DataFrame) -> DataFrame:
-    """``(url, date, text)`` of crawled pages; pages without content are dropped."""
-    return H.with_article(html_gate(crawled)).select("url", "date", H.article_text().alias("text"))
+def extract_text(crawled: DataFrame, sentences: bool = False) -> DataFrame:
+    """``(url, date, text)`` of crawled pages; pages without content are dropped.
+
+    With ``sentences`` the text is the main piece's paragraphs that hold a clause (``with_sentences``).
+    """
+    extract = H.with_sentences if sentences else H.with_article
+    return extract(html_gate(crawled)).select("url", "date", H.article_text().alias("text"))
 
 
-def article_tokens(crawled: DataFrame) -> DataFrame:
+def article_tokens(crawled: DataFrame, sentences: bool = False) -> DataFrame:
     """``(url, date, text, tokens)``: article text with its stemmed tokens."""
-    return extract_text(crawled).withColumn("tokens", X.stems(X.tokens(F.col("text"))))
+    return extract_text(crawled, sentences).withColumn("tokens", X.stems(X.tokens(F.col("text"))))

@@ -208,6 +208,17 @@ def article_tokens(pages):
     return crawl.article_tokens(I.crawled(spread(pages, "page_id")))
 
 
+@on_pages
+def article_sentences(pages):
+    pages = spread(pages, "page_id")
+    return H.with_sentences(pages).select("page_id", F.size("article").alias("paragraphs"), H.article_text().alias("text"))
+
+
+@on_pages
+def article_sentence_tokens(pages):
+    return crawl.article_tokens(I.crawled(spread(pages, "page_id")), sentences=True)
+
+
 # Politeness and distribution
 
 

@@ -221,6 +221,26 @@ def token_rows(source: str, key: str) -> str:
         lambda w: w NOT IN ({quoted(STOP_WORDS)})) AS k FROM {source})"""
 
 
+SENTENCES = rf"""{ARTICLE},
+placed AS (
+    SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY n) AS n, text, words, is_content FROM content),
+runs AS (
+    SELECT *, count(*) FILTER (n = 1 OR NOT is_content) OVER (PARTITION BY page_id ORDER BY n) AS run FROM placed),
+pieces AS (
+    SELECT page_id, run, min(n) AS s, max(n) AS e, sum(words) AS w FROM runs GROUP BY ALL HAVING bool_or(is_content)),
+gaps AS (
+    SELECT *, s - lag(e, 1, -9) OVER (PARTITION BY page_id ORDER BY s) - 1 AS gap FROM pieces),
+fused AS (
+    SELECT *, count(*) FILTER (gap > 1) OVER (PARTITION BY page_id ORDER BY s) AS f FROM gaps),
+largest AS (
+    SELECT page_id, f FROM fused GROUP BY page_id, f
+    QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY sum(w) DESC, f) = 1),
+kept AS (
+    SELECT page_id, n, text FROM runs JOIN fused USING (page_id, run) JOIN largest USING (page_id, f)
+    WHERE len(list_filter(regexp_extract_all(text, '(.*?[\p{{L}}0-9])[,.:;!?]+(?:[ \n\r]+|$)', 1),
+        lambda c: len(string_split(c, ' ')) >= 5)) > 0)"""
+
+
 ARTICLE_LISTS = f"""{ARTICLE},
     articles AS (
         SELECT page_id, coalesce(t, '') AS text FROM pages LEFT JOIN (
@@ -603,6 +623,13 @@ def _queries() -> dict[str, str]:
             SELECT page_id, coalesce(t, '') AS text FROM pages LEFT JOIN (
                 SELECT page_id, string_agg(text, chr(10) ORDER BY n) AS t FROM content WHERE is_content GROUP BY 1)
             USING (page_id)""",
+        "article_sentences": f"""
+            WITH {SENTENCES}
+            SELECT page_id, coalesce(k, 0)::int AS paragraphs, coalesce(t, '') AS text FROM pages LEFT JOIN (
+                SELECT page_id, count(*) AS k, string_agg(text, chr(10) ORDER BY n) AS t FROM kept GROUP BY 1)
+            USING (page_id)""",
+        "article_sentence_tokens": ARTICLE_TOKENS.replace(ARTICLE, SENTENCES, 1).replace(
+            "FROM content WHERE is_content", "FROM kept", 1),
         "article_stats": f"""
             WITH {ARTICLE},
             sums AS (SELECT page_id, sum(words) AS b, sum(words) FILTER (is_content) AS a,

@@ -1,3 +1,7 @@
+import html
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +105,65 @@ def test_out_links(spark):
         "http://w.x/b/c?d=1&e=2", "http://o.com/", "http://w.x/b/p.png", "http://w.x/b/",
         "http://w.x/b/?z=1", "http://r.s/t",
     ]
+
+
+def test_character_references(spark):
+    cases = [
+        "plain & text", "a &amp;lt; b", "&lt;p&gt; &copy; &#39;x&#39;", "caf&eacute; &mdash; &hellip;", "&#8212;&#x2014;&#X1F600;",
+        "&#146;&#128;", "&unknown; &#; &", "&NotEqualTilde;&eacute", "&eacute;;&amp;eacute;", "&#xD800;&#9999999;", "", "&#0;",
+    ]
+    frame = spark.createDataFrame([(i, c) for i, c in enumerate([*cases, "a&#1;b&#9;c"])], "i int, t string")
+    got = {r.i: r.t for r in frame.select("i", H._decode(F.col("t")).alias("t")).collect()}
+    # A reference without its semicolon stays as it is.
+    expected = [c if c.startswith("&NotEqual") else html.unescape(c) for c in cases]
+    expected[7] = "≂̸&eacute"
+    assert [got[i] for i in range(len(cases))] == expected
+    assert got[len(cases)] == "ab c"
+
+
+def plain_sentences(blocks):
+    """Main text by walking over the blocks, one merge after another."""
+    density = lambda b: b.linked / b.words if b.words else 0.0
+    pieces = []
+    for i, b in enumerate(blocks):
+        before, after = (blocks[i - 1] if i else None), (blocks[i + 1] if i + 1 < len(blocks) else None)
+        next_words = after.words if after else 0
+        if before is None or density(before) <= 0.555556:
+            good = not (b.words <= 16 and next_words <= 15 and (before.words if before else 0) <= 4)
+        else:
+            good = not (b.words <= 40 and next_words <= 17)
+        good = good and density(b) <= 0.333333
+        if good and pieces:
+            pieces[-1] = (True, pieces[-1][1], i, [*pieces[-1][3], b])
+        else:
+            pieces.append((good, i, i, [b]))
+    joined = []
+    for _, first, last, members in (p for p in pieces if p[0]):
+        if joined and first - joined[-1][0] - 1 <= 1:
+            joined[-1] = (last, joined[-1][1] + members)
+        else:
+            joined.append((last, members))
+    best = max(joined, key=lambda p: sum(b.words for b in p[1]), default=(0, []))[1]
+    return [b.text for b in best if any(
+        len(c.split()) >= 5 for c in re.split(r"(?<=[^\W_])[,.:;!?]+(?: +|$)", b.text)[:-1])]
+
+
+def test_sentences_against_walk(spark):
+    rng = random.Random(5)
+
+    def block():
+        words = " ".join(rng.choice(["news", "of", "the day,", "said.", "x"]) for _ in range(rng.choice([1, 3, 6, 18, 30])))
+        return f"<p>{words}</p>" if rng.random() < 0.7 else f"<p><a href='/x'>{words}</a></p>"
+
+    pages = [(i, "<html><body>" + "".join(block() for _ in range(rng.randint(0, 14))) + "</body></html>") for i in range(150)]
+    pages += [(900, ""), (901, None), (902, "<html><body><p>one two three four five.</p></body></html>")]
+    got = spark.createDataFrame(pages, "i int, html string").transform(H.with_sentences).select("i", "blocks", "article").collect()
+    assert len(got) == len(pages)
+    found = 0
+    for row in got:
+        if row.blocks is None:
+            assert row.i == 901 and not row.article
+            continue
+        assert [b.text for b in row.article] == plain_sentences(row.blocks)
+        found += 0 < len(row.article) < len(row.blocks)
+    assert found > 50
