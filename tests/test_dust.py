@@ -365,3 +365,18 @@ def test_support_in_overflowing_buckets(spark, scope, size_percent):
     got = rules(max_bucket=12, count_overflow=True)
     assert got == {k: everything[k] for k in few}
     assert few and few != got
+
+
+@pytest.mark.parametrize("max_bucket", [3, 1000])
+def test_cells_of_long_lines(spark, max_bucket):
+    """Lines of many cells, shared at any offset; with a low bound most cells shuffle their rows."""
+    rng = random.Random(11)
+    parts = ["http://", "a.example", "/é", "/index", "?page=", "12", "3", "", "/en/"]
+    rows = [("".join(rng.choice(parts) for _ in range(rng.randint(3, 6))), rng.randint(1, 60)) for _ in range(60)]
+    got = dust.likely_rules(size_log(spark, rows), max_bucket=max_bucket, count_overflow=True).collect()
+    expected = brute_rules(rows, "full", None)
+    found = {(r.alpha, r.beta): r.support for r in got}
+    assert found == {k: expected[k] for k in found}
+    if max_bucket == 1000:
+        assert found == expected
+    assert found and len(got) == len(found)
