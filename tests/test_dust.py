@@ -232,6 +232,48 @@ def test_elimination_over_block_borders(spark, monkeypatch):
     assert [(r.beta, r.alpha) for r in got] == want
 
 
+def near_pairs(rules, literal):
+    """All pairs within 50 positions of which one refines the other."""
+    found = set()
+    for i, (a, b, support) in enumerate(rules):
+        for j in range(i + 1, min(len(rules), i + 51)):
+            a2, b2, support2 = rules[j]
+            inside = (a in a2 and b in b2) or (a2 in a and b2 in b)
+            if inside and support - support2 <= max(6 - support, 10):
+                if replaced(a, b, a2, b2, literal):
+                    found.add((i, j, "fwd"))
+                elif replaced(a2, b2, a, b, literal):
+                    found.add((i, j, "bwd"))
+    return found
+
+
+@pytest.mark.parametrize("reading", ["intent", "literal"])
+@pytest.mark.parametrize("batch", [7, 1000])
+def test_neighbours_meet_without_a_shuffle(spark, reading, batch):
+    """Rules stored in order are compared where they are read; only the ends of runs are joined."""
+    rng = random.Random(5)
+    text = lambda: "".join(rng.choice("abé/") for _ in range(rng.randint(1, 4)))
+    rules = sorted({(text(), text()): rng.randint(1, 3) for _ in range(2500)}.items(), key=lambda r: (r[1], *r[0]))
+    rules = [(a, b, n) for (a, b), n in rules if a != b]
+    want = near_pairs(rules, reading == "literal")
+    assert len(want) > 20
+    rows = [(i, *r) for i, r in enumerate(rules)]
+    schema = "pos long, alpha string, beta string, support long"
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        ordered = spark.createDataFrame(rows, schema).repartitionByRange(3, "pos").sortWithinPartitions("pos")
+        mixed = spark.createDataFrame(rng.sample(rows, len(rows)), schema)
+        for ranked in (ordered, mixed):
+            got = dust.refinements(ranked, reading)
+            assert {tuple(r) for r in got.collect()} == want
+            assert got.count() == len(want)
+        types = ", ".join(f"{c}_{side} {t}" for side in "ij" for c, t in ordered.dtypes)
+        found = ordered.mapInArrow(dust._neighbours(reading), f"{types}, run long")
+        assert found.where("pos_j is null").count() <= 3 * 100
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def rewritten(url, rules):
     idle = 0
     for i in range(MAX_STEPS):
