@@ -219,6 +219,22 @@ def test_far_rules_are_compared(spark):
     assert dust.eliminate_redundant(dust.ranked_rules(frame.limit(0)), window=None).collect() == []
 
 
+def test_rules_are_dealt_once_before_they_name_others(spark):
+    """Rules and those they refine change the same text, so what a rule names is not shuffled."""
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("ab/") for _ in range(rng.randint(1, n)))
+    rows = []
+    for k in range(400):
+        a, b, x, y = text(4), text(4), text(4), text(4)
+        rows += [(k, a, b), (k, x + a + y, x + b + y)] if a != b else []
+    found = dust._with_core(spark.createDataFrame(rows, "k int, alpha string, beta string"))
+    assert found.groupBy("k").agg(F.countDistinct("_core").alias("n")).where("n > 1").count() == 0
+    assert found.select("_core").distinct().count() > 50
+    ranked = found.select(F.col("k").cast("long").alias("pos"), "alpha", "beta", F.lit(1).cast("long").alias("support"))
+    plan = dust.all_refinements(ranked)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_elimination_over_block_borders(spark, monkeypatch):
     """Blocks far smaller than the list change nothing."""
     rng = random.Random(3)
