@@ -35,7 +35,7 @@ def tokens(text: Column) -> Column:
 
 
 #: Distinct words a task remembers before it starts over; bounds the memory of a worker.
-MEMORY = 500_000
+MEMORY = 100_000
 
 
 def _stem_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -52,6 +52,8 @@ def _stem_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         offsets = pa.array(np.concatenate(([0], lengths.cumsum())), pa.int32())
         mask = words.is_null() if words.null_count else None
         yield pa.ListArray.from_arrays(offsets, stemmed.take(coded.indices), mask=mask)
+        del words, coded, vocabulary, stemmed, lengths, offsets, mask
+        pa.default_memory_pool().release_unused()
 
 
 def stems(token_list: Column) -> Column:

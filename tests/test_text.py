@@ -5,8 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from crawlflow import session
 from crawlflow.functions import html as H, text as X
 from crawlflow.functions.stem import english, porter
+from crawlflow.operators import crawl
 
 # Published examples of both algorithms.
 PORTER = """
@@ -167,3 +169,23 @@ def test_sentences_against_walk(spark):
         assert [b.text for b in row.article] == plain_sentences(row.blocks)
         found += 0 < len(row.article) < len(row.blocks)
     assert found > 50
+
+
+def test_stemmer_gets_small_batches(spark):
+    """Tokens go to Python workers in batches of bounded bytes, not of ten thousand pages, unless the session has a bound."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting, None)
+    page = "<html><body><p>" + "Running dogs jumped over the lazy foxes again and again today. " * 20 + "</p></body></html>"
+    crawled = spark.createDataFrame([(f"http://a/{k}", page) for k in range(300)], "url string, html string").selectExpr(
+        "url", "timestamp_millis(0) as date", "html"
+    )
+    try:
+        spark.conf.unset(setting)
+        whole = {(r.url, tuple(r.tokens)) for r in crawl.article_tokens(crawled).collect()}
+        assert int(spark.conf.get(setting)) == session.BATCH_BYTES
+        spark.conf.set(setting, "3000")
+        cut = {(r.url, tuple(r.tokens)) for r in crawl.article_tokens(crawled).collect()}
+        assert spark.conf.get(setting) == "3000"
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
+    assert cut == whole and len(whole) == 300
