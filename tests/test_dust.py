@@ -99,6 +99,17 @@ def test_likely_rules_against_all_pairs(spark, scope, percent):
     assert {(r.alpha, r.beta): r.support for r in got} == brute_rules(rows, scope, percent)
 
 
+def test_pairs_without_a_rule_are_not_shuffled(spark):
+    """Pages of one envelope whose sizes are far apart are dropped before the sums, near ones are kept."""
+    rows = [(f"{c}z", 10 ** (k + 1)) for k, c in enumerate("abcdef")] + [("gz", 11)]
+    rules = dust.likely_rules(size_log(spark, rows), size_percent=20)
+    assert {(r.alpha, r.beta, r.support) for r in rules.collect()} == {
+        (a, b, 1) for x, y in ("ag", "ga") for a, b in ((x, y), (f"{x}z", f"{y}z"))
+    }
+    plan = rules._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("_there") and "inline(filter" in plan[plan.rindex("Aggregate [alpha") :]
+
+
 def test_hot_bucket_is_dropped_whole(spark):
     """One bucket over the bound yields nothing, one at the bound yields all its pairs."""
     at = [(f"{c}z", 10) for c in "ab" for _ in range(500)]
