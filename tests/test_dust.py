@@ -436,6 +436,17 @@ def test_support_in_overflowing_buckets(spark, scope, size_percent):
     assert few and few != got
 
 
+def test_rules_are_summed_once_with_overflow(spark, monkeypatch):
+    """What full buckets add joins the sums of pairs; the rules are neither written nor summed a second time."""
+    written, materialize = [], dust.materialize
+    monkeypatch.setattr(dust, "materialize", lambda df, name: written.append(name) or materialize(df, name))
+    rows = [(f"{c}{k}z", 10) for c in "ab" for k in range(9)]
+    rules = dust.likely_rules(size_log(spark, rows), max_bucket=12, count_overflow=True)
+    assert rules.count() > 0
+    assert "overflow_members" in written and "proposed_rules" not in written
+    assert rules._jdf.queryExecution().optimizedPlan().toString().startswith("Generate inline")
+
+
 @pytest.mark.parametrize("max_bucket", [3, 1000])
 def test_cells_of_long_lines(spark, max_bucket):
     """Lines of many cells, shared at any offset; with a low bound most cells shuffle their rows."""
