@@ -436,6 +436,39 @@ def test_support_in_overflowing_buckets(spark, scope, size_percent):
     assert few and few != got
 
 
+def bounded_rules(rows, max_bucket):
+    """Rules of the buckets of at most ``max_bucket`` rows, bucket by bucket."""
+    found, votes = {}, {}
+    for line, size in rows:
+        for i in range(len(line)):
+            for j in range(i + 1, min(i + 12, len(line)) + 1):
+                found.setdefault((line[:i], line[j:]), []).append((line[i:j], size))
+    for members in found.values():
+        for a, x in members if len(members) <= max_bucket else []:
+            for b, y in members:
+                if a != b and y < 2 * x:
+                    votes[a, b] = votes.get((a, b), 0) + 1
+    return votes
+
+
+@pytest.mark.parametrize("max_bucket", [4, 9])
+def test_rules_where_some_wider_or_narrower_buckets_are_full(spark, max_bucket):
+    rng = random.Random(max_bucket)
+    rows = [("".join(rng.choice("ab") for _ in range(rng.randint(1, 7))) + rng.choice(["", "/index.html", "c"]), rng.randint(1, 60)) for _ in range(70)]
+    got = dust.likely_rules(size_log(spark, rows), max_bucket=max_bucket).collect()
+    expected = bounded_rules(rows, max_bucket)
+    assert expected and {(r.alpha, r.beta): r.support for r in got} == expected and len(got) == len(expected)
+
+
+def test_a_pair_of_lines_is_shuffled_once(spark, monkeypatch):
+    """Two lines that are together in 72 buckets (up to 8 characters of text after, 12 in all) make one row, which gets the text around it after the shuffle."""
+    sent, deal = [], dust._in_all_buckets
+    monkeypatch.setattr(dust, "_in_all_buckets", lambda pairs: sent.append(pairs) or deal(pairs))
+    rules = dust.likely_rules(size_log(spark, [("http://a.example/de/4163.html", 10), ("http://a.example/de/5163.html", 10)]))
+    assert rules.count() == 2 * 72 and {r.support for r in rules.collect()} == {1}
+    assert [(r.alpha, r.beta) for r in sent[0].collect()] == [("4", "5")]
+
+
 def test_rules_are_summed_once_with_overflow(spark, monkeypatch):
     """What full buckets add joins the sums of pairs; the rules are neither written nor summed a second time."""
     written, materialize = [], dust.materialize
