@@ -33,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from crawlflow.llm.common import bytes_of, give_back, lean, slices, whole_texts
-from crawlflow.llm.suffix_array import common_prefixes, suffix_array
+from crawlflow.llm.suffix_array import common_prefix, suffix_array
 from crawlflow.llm.words import BASE, INVERSE, mix
 from crawlflow.session import materialize
 
@@ -49,51 +50,58 @@ BUCKET_BYTES = 4 << 20
 PART_BYTES, SLICE = 4 << 20, 1 << 18
 
 
+#: Bits of a place in a batch; a text has fewer than 2 GB.
+PLACE = np.uint64((1 << 31) - 1)
+
+
 def leftmost_least(x: np.ndarray, width: int) -> np.ndarray:
-    """Where each run of ``width`` has its smallest value, the first of equal ones; by doubling."""
-    at, span = np.arange(len(x)), 1
+    """Where each run of ``width`` has its smallest value by the upper 33 bits, the first of equal ones; by doubling."""
+    least, span = (x & ~PLACE) | np.arange(len(x), dtype=np.uint64), 1
     while span < width:
         step = min(span, width - span)
-        left, right = at[:-step], at[step:]
-        at = np.where(x[right] < x[left], right, left)
+        least = np.minimum(least[:-step], least[step:])
         span += step
-    return at
+    return (least & PLACE).astype(np.int64)
+
+
+def powers_to(n: int) -> list[np.ndarray]:
+    """The powers 0 to n of the base and of its inverse."""
+    both = [np.full(n + 1, np.uint64(base)) for base in (BASE, INVERSE)]
+    for powers in both:
+        powers[0] = 1
+        with np.errstate(over="ignore"):
+            np.cumprod(powers, out=powers)
+    return both
 
 
 class Anchors:
     """Of each anchor in a batch: text, position, bounds of its context, hash and context digest."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, powers: list[np.ndarray]):
         data, offsets = bytes_of(texts)
         self.data = data
         empty = np.zeros(0, np.int64)
         self.row, self.at, self.lo, self.hi = empty, empty, empty, empty
         self.hash = self.digest = np.zeros(0, np.uint64)
         self.offsets = offsets
-        if len(data) < LENGTH:
+        strings = np.maximum(np.diff(offsets) - LENGTH + 1, 0)  # of each text
+        if not strings.any():
             return
         with np.errstate(over="ignore"):
-            powers = np.full(len(data) + 1, np.uint64(BASE))
-            back = np.full(len(data) + 1, np.uint64(INVERSE))
-            powers[0] = back[0] = 1
-            np.cumprod(powers, out=powers)
-            np.cumprod(back, out=back)
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1], dtype=np.uint64)])
-            code = lambda a, b: mix((sums[b] - sums[a]) * back[a])
-            start = np.arange(len(data) - GRAM + 1)
-            grams = code(start, start + GRAM)
-            size = np.diff(offsets)
-            row_of = np.repeat(np.arange(len(size)), size)
-            string = np.flatnonzero(np.arange(len(data)) + LENGTH <= offsets[1:][row_of])  # starts of those in one text
-            if not len(string):
-                return
+            powers, back = powers if len(data) < len(powers[0]) else powers_to(len(data))  # a text longer than a slice has its own
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[: len(data)], out=sums[1:])
+            grams = mix((sums[GRAM:] - sums[:-GRAM]) * back[: len(data) - GRAM + 1])
+            before = np.cumsum(strings) - strings
+            string = np.repeat(offsets[:-1] - before, strings) + np.arange(strings.sum())  # starts of those in one text
             of = leftmost_least(grams, WINDOW)[string]
-            row = row_of[string]
-            head = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (row[1:] != row[:-1])]))
+            head = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))  # no place is in two texts
             last = np.concatenate([head[1:], [len(string)]]) - 1
-            self.row, self.at, self.lo, self.hi = row[head], of[head], string[head], string[last] + LENGTH
+            self.at, self.lo, self.hi = of[head], string[head], string[last] + LENGTH
+            self.row = np.searchsorted(offsets, self.lo, side="right") - 1
             self.hash = grams[self.at]
-            self.digest = mix(code(self.lo, self.hi) + (self.at - self.lo).astype(np.uint64), 5)
+            whole = mix((sums[self.hi] - sums[self.lo]) * back[self.lo])
+            self.digest = mix(whole + (self.at - self.lo).astype(np.uint64), 5)
 
 
 def packed(x: np.ndarray) -> bytes:
@@ -110,7 +118,12 @@ def unpacked(parts: list[bytes], kind: type) -> np.ndarray:
 def classes(hash_: np.ndarray, digest: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, ...]:
     """Order by hash, context and document; in it: heads of contexts, contexts of the hash so far
     (from 0), whether the hash has several, and the context's smallest document."""
-    order = np.lexsort((ids, digest, hash_))
+    order = np.argsort(hash_, kind="stable")
+    h = hash_[order]
+    same = h[1:] == h[:-1]
+    tied = np.flatnonzero(np.append(same, False) | np.append(False, same)) if len(h) else order
+    among = order[tied]  # most hashes occur once: only the others need the order by context and document
+    order[tied] = among[np.lexsort((ids[among], digest[among], hash_[among]))]
     h, d, i = hash_[order], digest[order], ids[order]
     new_hash = np.concatenate([[True], h[1:] != h[:-1]])[: len(h)]
     head = np.concatenate([[True], d[1:] != d[:-1]])[: len(h)] | new_hash
@@ -141,9 +154,10 @@ def per_document(ids: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes
 
 def requests(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     """What batches ask of buckets, and what they know alone already."""
+    powers = powers_to(SLICE)
     for batch in batches:
         for part in slices(batch, PART_BYTES):
-            found = [(a.hash, a.digest, s.column("doc_id").to_numpy(zero_copy_only=False)[a.row]) for s in slices(part, SLICE) for a in [Anchors(s.column("text"))]]
+            found = [(a.hash, a.digest, s.column("doc_id").to_numpy(zero_copy_only=False)[a.row]) for s in slices(part, SLICE) for a in [Anchors(s.column("text"), powers)]]
             hash_, digest, ids = (np.concatenate(x) for x in zip(*found, strict=True))
             digest &= np.uint64(0xFFFFFFFFFF)
             hash_ >>= np.uint64(16)
@@ -198,30 +212,62 @@ FOUND = "doc_id long, content long, spans array<int>, contexts array<struct<hash
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document the repeated spans (start, stop, ...), and the contexts that are asked for. The
     left side is reversed, so that both sides are read away from the anchor."""
+    powers = powers_to(SLICE)
     for batch in batches:
         for part in slices(batch, SLICE):
-            found = Anchors(part.column("text"))
+            found = Anchors(part.column("text"), powers)
             keys = key_of(found.hash >> np.uint64(16), found.digest & np.uint64(0xFFFFFFFFFF))
-            begin = np.searchsorted(found.row, np.arange(part.num_rows + 1))
-            spans, asked = [], []
-            for k, told in enumerate(part.column("told").to_pylist()):
-                own = slice(begin[k], begin[k + 1])
-                of = lambda kind: np.concatenate([np.frombuffer(t["keys"], np.uint64) for t in told or [] if t["kind"] == kind] or [np.zeros(0, np.uint64)])  # noqa: E731, B023
-                base = found.offsets[k]
-                whole = np.isin(keys[own], of(REPEATED))
-                spans.append(merged(found.lo[own][whole] - base, found.hi[own][whole] - base).ravel())
-                here = np.flatnonzero(np.isin(keys[own], of(ASKED)) & ~whole) + begin[k]
-                asked.append([
-                    {"hash": int(found.hash[a].astype(np.int64)), "at": int(found.at[a] - base), "before": found.data[found.lo[a] : found.at[a]][::-1].tobytes(), "after": found.data[found.at[a] + GRAM : found.hi[a]].tobytes()}
-                    for a in here
-                ])
-            struct = pa.struct([("hash", pa.int64()), ("at", pa.int32()), ("before", pa.binary()), ("after", pa.binary())])
+            told, blob = part.column("told"), found.data.tobytes()
+            said = told.flatten()
+            words = [k or b"" for k in pc.struct_field(said, "keys").to_pylist()]
+            kind = np.repeat(pc.struct_field(said, "kind").to_numpy(zero_copy_only=False), [len(k) // 8 for k in words])
+            row = np.repeat(np.arange(part.num_rows), pc.fill_null(told.value_lengths(), 0).to_numpy(zero_copy_only=False))
+            row = np.repeat(row, [len(k) // 8 for k in words])
+            key = np.frombuffer(b"".join(words), np.uint64)
+            whole = told_in(found.row, keys, row[kind == REPEATED], key[kind == REPEATED])
+            here = np.flatnonzero(told_in(found.row, keys, row[kind == ASKED], key[kind == ASKED]) & ~whole)
+            # In a text, contexts begin and end in the order of their anchors.
+            lo, hi, of = found.lo[whole], found.hi[whole], found.row[whole]
+            head = np.concatenate([[True], (lo[1:] > hi[:-1]) | (of[1:] != of[:-1])])[: len(lo)]
+            last = np.append(head[1:], True)[: len(lo)]
+            spans = np.stack([lo[head], hi[last]], axis=1) - found.offsets[of[head]][:, None]
+            at, lo, hi = found.at[here], found.lo[here].tolist(), found.hi[here].tolist()
+            struct = pa.StructArray.from_arrays(
+                [
+                    pa.array(found.hash[here].view(np.int64)),
+                    pa.array((at - found.offsets[found.row[here]]).astype(np.int32)),
+                    pa.array([blob[a:b][::-1] for a, b in zip(lo, at.tolist())], pa.binary()),
+                    pa.array([blob[a:b] for a, b in zip((at + GRAM).tolist(), hi)], pa.binary()),
+                ],
+                ["hash", "at", "before", "after"],
+            )
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("content"), pa.array(spans, pa.list_(pa.int32())), pa.array(asked, pa.list_(struct))],
+                [
+                    part.column("doc_id"), part.column("content"),
+                    pa.ListArray.from_arrays(2 * begins(of[head], part.num_rows), pa.array(spans.ravel().astype(np.int32))),
+                    pa.ListArray.from_arrays(begins(found.row[here], part.num_rows), struct),
+                ],
                 ["doc_id", "content", "spans", "contexts"],
             )
 
 
+def begins(row: np.ndarray, n: int) -> np.ndarray:
+    """Where each of n rows begins among sorted row numbers, and their end."""
+    return np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
+
+
+def told_in(row: np.ndarray, key: np.ndarray, told_row: np.ndarray, told_key: np.ndarray) -> np.ndarray:
+    """Whether each (row, key) is among the told ones."""
+    if not len(told_key):
+        return np.zeros(len(key), bool)
+    with np.errstate(over="ignore"):
+        own, told = (k + mix(r.astype(np.uint64), 7) for r, k in ((row, key), (told_row, told_key)))
+    order = np.argsort(told)
+    told, told_row = told[order], told_row[order]
+    at = np.minimum(np.searchsorted(told, own), len(told) - 1)
+    return (told[at] == own) & (told_row[at] == row)
+
+
 def merged(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
     """The union of spans as (n, 2), touching ones joined."""
     if not len(lo):
@@ -239,49 +285,60 @@ MASKS = "hash long, before binary, after binary, first long, mask long"
 def shared_masks(group: list[tuple[bytes, bytes, int]]) -> list[int]:
     """Bit o of each context's mask: the string that begins o bytes before the anchor is also in a
     context whose first document is smaller."""
-    every = sorted({x for before, after, _ in group for x in (before, after)})
+    bounds = [(max(0, SIDE - len(after)), len(before)) for before, after, _ in group]
+    holds = [0] * (SIDE + 1)  # contexts with a string that begins o bytes before
+    for low, high in bounds:
+        for o in range(low, high + 1):
+            holds[o] += 1
+    masks = [0] * len(group)
+    open_, texts = [], set()
+    for k, ((low, high), (before, after, first)) in enumerate(zip(bounds, group)):
+        # What no other context reaches is not shared: sides end where strings that can be do.
+        while low <= high and holds[low] < 2:
+            low += 1
+        while low <= high and holds[high] < 2:
+            high -= 1
+        if low <= high:
+            before, after = before[:high], after[: SIDE - low]
+            texts.update((before, after))
+            open_.append((k, before, after, first, low, high))
+    if not open_:
+        return masks
+    every = sorted(texts)
     # A side that only begins another one is told apart from others just as that one is.
     longer: dict[bytes, bytes] = {}
-    for side, following in zip(reversed(every), [b"", *reversed(every)]):
-        longer[side] = longer[following] if following.startswith(side) and following in longer else side
+    following = None
+    for side in reversed(every):
+        following = longer[side] = longer[following] if following is not None and following.startswith(side) else side
     sides = sorted(set(longer.values()))
     text: list[int] = []
-    start = {}
+    at = {}
     for k, side in enumerate(sides):
-        start[side] = len(text)
+        at[len(text)] = side
         text += [b + len(sides) for b in side]
         text.append(k)  # a separator of its own
-    order = suffix_array(text)
-    shared = common_prefixes(text, order)
-    # Sides in order, each with what it shares with the side before it.
-    sorted_sides, common, low = [], [], LENGTH
-    at = {s: side for side, s in start.items()}
-    for i, h in zip(order, shared):
-        low = min(low, h)
-        if i in at:
-            sorted_sides.append(at[i])
-            common.append(low)
-            low = LENGTH
     name = {}  # of each side: the class of its first t bytes, for every t it has
-    current = [0] * (SIDE + 1)
-    for k, side in enumerate(sorted_sides):
-        for t in range(common[k] + 1 if k else 0, SIDE + 1):
-            current[t] = k
-        name[side] = current[:]
+    current, last = [0] * (SIDE + 1), b""
+    for k, side in enumerate([at[i] for i in suffix_array(text) if i in at]):
+        # Sides in order, each with what it shares with the side before it.
+        fresh = common_prefix(last, side) + 1 if k else 0
+        current = current[:fresh] + [k] * (SIDE + 1 - fresh)
+        name[side] = current
+        last = side
     smallest: dict[tuple[int, int, int], int] = {}
-    for before, after, first in group:
+    keys = []
+    for _, before, after, first, low, high in open_:
         left, right = name[longer[before]], name[longer[after]]
-        for o in range(max(0, SIDE - len(after)), len(before) + 1):
-            key = o, left[o], right[SIDE - o]
-            if smallest.get(key, first) >= first:
+        keys.append([(o, left[o], right[SIDE - o]) for o in range(low, high + 1)])
+        for key in keys[-1]:
+            if smallest.setdefault(key, first) > first:
                 smallest[key] = first
-    masks = []
-    for before, after, first in group:
-        left, right, mask = name[longer[before]], name[longer[after]], 0
-        for o in range(max(0, SIDE - len(after)), len(before) + 1):
-            if smallest[o, left[o], right[SIDE - o]] < first:
+    for (k, _, _, first, low, _), own in zip(open_, keys):
+        mask = 0
+        for o, key in enumerate(own, low):
+            if smallest[key] < first:
                 mask |= 1 << o
-        masks.append(mask)
+        masks[k] = mask
     return masks
 
 

@@ -31,40 +31,73 @@ def suffix_array(text: list[int]) -> list[int]:
     # Groups as a linked order; a new group is linked in right above its old one.
     below, above = list(range(-1, len(members) - 1)), list(range(1, len(members) + 1))
     moved = [False] * len(members)
-    previous, done = [-1] * n, [False] * n
+    size, apart = [len(inside) for inside in members], len(members)  # apart: groups that are not empty
+    previous, done = [-1] * n, [False] * (n + 1)  # the last is that of place -1, before the text
     final: list[tuple[int, int]] = []  # group and size, highest first
-    top = len(members) - 1
+    top = highest = len(members) - 1
     above[top] = -1
     while top >= 0:
+        if apart == n:  # a suffix a group: the groups are in order already
+            holds = dict(zip(group, range(n)))
+            order = []
+            while highest >= 0:
+                if size[highest]:
+                    order.append(holds[highest])
+                highest = below[highest]
+            order.reverse()
+            return order
+        alone = size[top]
+        if not alone:
+            top = below[top]
+            continue
         inside = members[top]
         if moved[top]:
             inside = [i for i in inside if group[i] == top]
-        final.append((top, len(inside)))
-        times: dict[int, int] = {}
-        for i in inside:
+        final.append((top, alone))
+        if alone == 1:
+            i = inside[0]
             p = i - 1
-            while p >= 0 and done[p]:
+            while done[p]:
                 p = previous[p]
             previous[i] = p
             done[i] = True
-            if p >= 0:
-                times[p] = times.get(p, 0) + 1
-        if len(times) == 1 or times and max(times.values()) == 1:
-            levels = [list(times)]
+            levels = [[p]] if p >= 0 and size[group[p]] > 1 else []
         else:
-            by_times: dict[int, list[int]] = {}
-            for p, t in times.items():
-                by_times.setdefault(t, []).append(p)
-            levels = [by_times[t] for t in sorted(by_times, reverse=True)]
+            pointed = []
+            for i in inside:
+                p = i - 1
+                while done[p]:
+                    p = previous[p]
+                previous[i] = p
+                done[i] = True
+                if p >= 0:
+                    pointed.append(p)
+            once = dict.fromkeys(pointed)
+            if len(once) == len(pointed) or len(once) == 1:
+                levels = [list(once)] if once else []
+            else:
+                times: dict[int, int] = {}
+                for p in pointed:
+                    times[p] = times.get(p, 0) + 1
+                by_times: dict[int, list[int]] = {}
+                for p, t in times.items():
+                    by_times.setdefault(t, []).append(p)
+                levels = [by_times[t] for t in sorted(by_times, reverse=True)]
         for level in levels:
+            if len(level) == size[group[level[0]]] and len({group[p] for p in level}) == 1:
+                continue  # all of a group, which stays where it is
             fresh: dict[int, int] = {}
             for p in level:
                 old = group[p]
                 new = fresh.get(old)
                 if new is None:
+                    if size[old] == 1:
+                        continue
                     new = fresh[old] = len(members)
                     members.append([])
                     moved.append(False)
+                    size.append(0)
+                    apart += 1
                     moved[old] = True
                     below.append(old)
                     above.append(above[old])
@@ -72,11 +105,15 @@ def suffix_array(text: list[int]) -> list[int]:
                     above[old] = new
                 members[new].append(p)
                 group[p] = new
+                size[new] += 1
+                size[old] -= 1
+                if not size[old]:
+                    apart -= 1
         top = below[top]
     place, at = [0] * len(members), 0
-    for g, size in reversed(final):
+    for g, count in reversed(final):
         place[g] = at
-        at += size
+        at += count
     order, put = [0] * n, [False] * n
     k, j = -1, n - 1  # as if an empty suffix came first
     while True:
@@ -108,3 +145,10 @@ def common_prefixes(text: list[int], order: list[int]) -> list[int]:
         out[rank[i]] = h
         h = max(0, h - 1)
     return out
+
+
+def common_prefix(a: bytes, b: bytes) -> int:
+    """How many bytes two texts share from their start."""
+    n = min(len(a), len(b))
+    differing = int.from_bytes(a[:n]) ^ int.from_bytes(b[:n])
+    return n - (differing.bit_length() + 7) // 8

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from crawlflow.llm import repeats as R
@@ -87,3 +89,73 @@ def test_query_on_documents(spark):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in R.remove_repeats(docs).drop("kept").collect()), key=repr)
     assert got == brute(rows)
+
+
+def test_leftmost_least_goes_by_upper_bits():
+    x = np.array([9 << 31, (3 << 31) + 5, (3 << 31) + 1, 8 << 31, 2 << 40, 7 << 31, 7 << 31], np.uint64)
+    assert R.leftmost_least(x, 3).tolist() == [1, 1, 2, 5, 5]
+
+
+def brute_masks(group):
+    strings = [{o: b[:o] + b"|" + a[: R.SIDE - o] for o in range(max(0, R.SIDE - len(a)), len(b) + 1)} for b, a, _ in group]
+    return [
+        sum(1 << o for o, x in own.items() if any(other.get(o) == x and f < first for other, (_, _, f) in zip(strings, group, strict=True)))
+        for own, (_, _, first) in zip(strings, group, strict=True)
+    ]
+
+
+@pytest.mark.parametrize("most", [2, 3, 9])
+def test_masks_against_brute_force(most):
+    rng = random.Random(most)
+    shared = 0
+    for _ in range(300):
+        long = [[bytes(rng.choices(b"ab", k=R.SIDE)) for _ in range(2)] for _ in range(2)]
+        group = {}
+        while len(group) < most:
+            high = rng.randrange(R.SIDE + 1)
+            low = rng.randrange(high + 1)
+            before, after = (bytearray(rng.choice(side)) for side in long)
+            for side in (before, after):
+                if rng.random() < 0.2:
+                    side[rng.randrange(R.SIDE)] ^= 1
+            group[bytes(before[:high]), bytes(after[: R.SIDE - low])] = rng.randrange(5)
+        group = [(b, a, f) for (b, a), f in group.items()]
+        assert R.shared_masks(group) == brute_masks(group)
+        shared += any(brute_masks(group))
+    assert shared > 20
+
+
+def test_only_sides_that_can_be_shared_are_ordered(monkeypatch):
+    ordered = []
+    monkeypatch.setattr(R, "suffix_array", lambda text: ordered.append(len(text)) or suffix_array(text))
+    x, y = bytes(range(65, 65 + R.SIDE)), bytes(range(97, 97 + R.SIDE))
+    assert R.shared_masks([(x[:5], y, 1), (x[:20], y[:16], 2)]) == [0, 0]  # strings from 0 to 5 and from 10 to 20 before
+    assert ordered == []
+    assert R.shared_masks([(x[:5], y, 1), (x[:20], y[: R.SIDE - 5], 2)]) == [0, 1 << 5]
+    assert ordered == [5 + 1 + R.SIDE - 5 + 1]  # one string in common: x[:5] and what follows it
+
+
+def test_contexts_of_several_texts():
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("abcdefgh", k=n)) for n in (400, 10, 0, 300, 500)]
+    all_ = R.Anchors(pa.array(texts), R.powers_to(R.SLICE))
+    keys = R.key_of(all_.hash >> np.uint64(16), all_.digest & np.uint64(0xFFFFFFFFFF))
+    of = lambda row, which: keys[all_.row == row][which].tobytes()
+    told = [
+        [{"kind": R.REPEATED, "keys": of(0, slice(0, 2))}, {"kind": R.ASKED, "keys": of(0, slice(1, 4))}, {"kind": R.REPEATED, "keys": of(3, slice(0, 1))}],
+        [], None, [{"kind": R.ASKED, "keys": of(3, slice(0, 1))}], [{"kind": R.REPEATED, "keys": of(4, slice(None))}],
+    ]
+    kind = pa.list_(pa.struct([("kind", pa.int32()), ("keys", pa.binary())]))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(5)), pa.array(range(5)), pa.array(texts), pa.array(told, kind)], ["doc_id", "content", "text", "told"]
+    )
+    out = next(R.contexts(iter([batch]))).to_pylist()
+    own = np.flatnonzero(all_.row == 0)
+    assert out[0]["spans"] == R.merged(all_.lo[own[:2]], all_.hi[own[:2]]).ravel().tolist()
+    assert [(r["spans"], r["contexts"]) for r in out[1:3]] == [([], [])] * 2
+    assert out[3]["spans"] == [] and out[4]["spans"] == [0, 500] and out[4]["contexts"] == []
+    assert [len(out[k]["contexts"]) for k in (0, 3)] == [2, 1]  # what is repeated as a whole is not asked for
+    for k, c in [(0, c) for c in out[0]["contexts"]] + [(3, out[3]["contexts"][0])]:
+        at = c["at"]
+        assert texts[k].encode()[at - len(c["before"]) : at] == c["before"][::-1]
+        assert texts[k].encode()[at + R.GRAM : at + R.GRAM + len(c["after"])] == c["after"]
