@@ -15,8 +15,10 @@ other.
 3. Contexts of an anchor with several ones are ordered by a suffix array (linear grouping
    construction, ``suffix_array``) over the reversed left and the right sides; neighbouring prefixes
    tell which strings of LENGTH bytes two contexts share, and so which are repeated from a smaller
-   document. Anchors with more than ``GROUP`` contexts are compared by Spark instead, one row per
-   string, as no task may hold an unbounded group; the result is the same.
+   document. No task may hold an unbounded group: contexts of an anchor with more than ``GROUP`` are
+   cut to pieces of at most seven strings, equal pieces become one, and the suffix array orders those
+   that agree in the 44 bytes (or more) all their strings hold. Where more than ``GROUP`` still agree,
+   Spark compares them, one row per string; the result is the same.
 
 The documents themselves are shuffled by ``doc_id`` twice: to find contexts and to cut repeats out.
 
@@ -29,7 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -179,7 +181,7 @@ def requests(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
 
 
 def arrow(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(), "array<long>": pa.list_(pa.int64())}
     names, types = zip(*(f.split() for f in schema.split(", ")), strict=True)
     columns = list(zip(*rows, strict=True)) or [()] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[t]) for c, t in zip(columns, types, strict=True)], list(names))
@@ -280,17 +282,19 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 MASKS = "hash long, before binary, after binary, first long, mask long"
+LEAST = "hash long, low int, before binary, after binary, least array<long>"
+#: Strings of crowded anchors by how many bytes before the anchor they begin. Those of a piece share 44 bytes of 50 in a group.
+PIECES = ((0, 6), (7, 13), (14, 20), (21, 26))
 
 
-def shared_masks(group: list[tuple[bytes, bytes, int]]) -> list[int]:
-    """Bit o of each context's mask: the string that begins o bytes before the anchor is also in a
-    context whose first document is smaller."""
+def shared_strings(group: list[tuple[bytes, bytes, int]]) -> tuple[list[tuple[int, int, list]], dict[tuple, int]]:
+    """Contexts with strings that another one may have: number, first such string and names of
+    these strings; and the smallest first document by name."""
     bounds = [(max(0, SIDE - len(after)), len(before)) for before, after, _ in group]
     holds = [0] * (SIDE + 1)  # contexts with a string that begins o bytes before
     for low, high in bounds:
         for o in range(low, high + 1):
             holds[o] += 1
-    masks = [0] * len(group)
     open_, texts = [], set()
     for k, ((low, high), (before, after, first)) in enumerate(zip(bounds, group)):
         # What no other context reaches is not shared: sides end where strings that can be do.
@@ -303,7 +307,7 @@ def shared_masks(group: list[tuple[bytes, bytes, int]]) -> list[int]:
             texts.update((before, after))
             open_.append((k, before, after, first, low, high))
     if not open_:
-        return masks
+        return [], {}
     every = sorted(texts)
     # A side that only begins another one is told apart from others just as that one is.
     longer: dict[bytes, bytes] = {}
@@ -326,54 +330,118 @@ def shared_masks(group: list[tuple[bytes, bytes, int]]) -> list[int]:
         name[side] = current
         last = side
     smallest: dict[tuple[int, int, int], int] = {}
-    keys = []
-    for _, before, after, first, low, high in open_:
+    found = []
+    for k, before, after, first, low, high in open_:
         left, right = name[longer[before]], name[longer[after]]
-        keys.append([(o, left[o], right[SIDE - o]) for o in range(low, high + 1)])
-        for key in keys[-1]:
+        keys = [(o, left[o], right[SIDE - o]) for o in range(low, high + 1)]
+        found.append((k, low, keys))
+        for key in keys:
             if smallest.setdefault(key, first) > first:
                 smallest[key] = first
-    for (k, _, _, first, low, _), own in zip(open_, keys):
-        mask = 0
-        for o, key in enumerate(own, low):
+    return found, smallest
+
+
+def shared_masks(group: list[tuple[bytes, bytes, int]]) -> list[int]:
+    """Bit o of each context's mask: the string that begins o bytes before the anchor is also in a
+    context whose first document is smaller."""
+    found, smallest = shared_strings(group)
+    masks = [0] * len(group)
+    for k, low, keys in found:
+        first, mask = group[k][2], 0
+        for o, key in enumerate(keys, low):
             if smallest[key] < first:
                 mask |= 1 << o
         masks[k] = mask
     return masks
 
 
-def order_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Masks of contexts that come sorted by anchor."""
-    group: list[tuple[bytes, bytes, int]] = []
-    last, rows = None, []
+def least_firsts(group: list[tuple[bytes, bytes, int]], low: int) -> list[list[int]]:
+    """The smallest first document of each string of a context, from ``low`` bytes before the anchor on."""
+    begin = [max(low, SIDE - len(after)) for _, after, _ in group]
+    least = [[first] * (len(before) - b + 1) for b, (before, _, first) in zip(begin, group)]
+    found, smallest = shared_strings(group)
+    for k, start, keys in found:
+        least[k][start - begin[k] : start - begin[k] + len(keys)] = [smallest[key] for key in keys]
+    return least
 
-    def close():
-        rows.extend((last, b, a, f, m) for (b, a, f), m in zip(group, shared_masks(group) if len(group) > 1 else [0] * len(group)))
 
+def by_group(batches: Iterator[pa.RecordBatch], keys: int, work: Callable[[list[tuple]], list[tuple]], schema: str) -> Iterator[pa.RecordBatch]:
+    """``work`` on the rows of each group, which come sorted by the first ``keys`` columns."""
+    group: list[tuple] = []
+    rows: list[tuple] = []
     for batch in batches:
-        for h, before, after, first in zip(*(batch.column(c).to_pylist() for c in ("hash", "before", "after", "first"))):
-            if h != last:
-                close()
-                group.clear()
-                last = h
-            group.append((before, after, first))
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if group and row[:keys] != group[0][:keys]:
+                rows.extend(work(group))
+                group = []
+            group.append(row)
         if rows:
-            yield arrow(rows, MASKS)
+            yield arrow(rows, schema)
             rows = []
-    close()
-    yield arrow(rows, MASKS)
+    if group:
+        rows.extend(work(group))
+    yield arrow(rows, schema)
 
 
-def masks_by_rows(big: DataFrame) -> DataFrame:
-    """The same masks for anchors of very many contexts: a row per string, first documents by key."""
-    o = F.explode(F.sequence(F.greatest(F.lit(0), SIDE - F.octet_length("after")), F.octet_length("before"))).alias("o")
-    strings = big.select("*", o).select(
-        "*", F.substring("before", 1, F.col("o")).alias("b"), F.substring("after", 1, SIDE - F.col("o")).alias("a")
+def order_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Masks of contexts (hash, before, after, first) that come sorted by anchor."""
+
+    def work(group):
+        masks = shared_masks([row[1:] for row in group]) if len(group) > 1 else [0]
+        return [(*row, mask) for row, mask in zip(group, masks)]
+
+    return by_group(batches, 1, work, MASKS)
+
+
+def order_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """First documents of the strings of pieces (hash, low, left, right, before, after, first) that come sorted."""
+
+    def work(group):
+        least = least_firsts([row[4:] for row in group], group[0][1])
+        return [(h, low, before, after, x) for (h, low, _, _, before, after, _), x in zip(group, least)]
+
+    return by_group(batches, 4, work, LEAST)
+
+
+def start_of(low: str = "low", after: str = "after"):
+    return F.greatest(F.col(low), SIDE - F.octet_length(after))
+
+
+def masks_by_pieces(big: DataFrame) -> DataFrame:
+    """The same masks for anchors of very many contexts. These are cut to a few neighbouring strings;
+    equal pieces become one, and those that agree in what all their strings hold go to the suffix array."""
+    spans = F.array(*[F.struct(F.lit(low).alias("low"), F.lit(high).alias("high")) for low, high in PIECES])
+    pieces = (
+        big.select("hash", "first", F.col("before").alias("b"), F.col("after").alias("a"), F.explode(spans).alias("span"))
+        .select("hash", "first", "b", "a", "span.*")
+        .withColumns({"before": F.substring("b", 1, F.col("high")), "after": F.substring("a", 1, SIDE - F.col("low"))})
+        .where(start_of() <= F.octet_length("before"))
+    )
+    cut = pieces.groupBy("hash", "low", "high", "before", "after").agg(F.min("first").alias("first"))
+    cut = cut.withColumns({"left": F.substring("before", 1, F.col("low")), "right": F.substring("after", 1, SIDE - F.col("high"))})
+    cut = materialize(cut, "pieces")
+    key = ["hash", "low", "left", "right"]
+    crowded = cut.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select(*key)
+    small = cut.join(crowded, key, "left_anti").select(*key, "before", "after", "first")
+    small = small.repartition(*key).sortWithinPartitions(*key).mapInArrow(lean(order_pieces), LEAST)
+    least = small.unionByName(firsts_by_rows(cut.join(crowded, key, "left_semi")))
+    bit = "aggregate(sequence(0, size(least) - 1), 0L, (m, i) -> m | if(least[i] < first, shiftleft(1L, start + i), 0L))"
+    masks = pieces.join(least, ["hash", "low", "before", "after"]).withColumn("start", start_of()).withColumn("mask", F.expr(bit))
+    masks = masks.groupBy("hash", "b", "a", "first").agg(F.bit_or("mask").alias("mask"))
+    return masks.withColumnsRenamed({"b": "before", "a": "after"})
+
+
+def firsts_by_rows(crowded: DataFrame) -> DataFrame:
+    """The same first documents where very many pieces agree in what all their strings hold: a row per string."""
+    o = F.explode(F.sequence(start_of(), F.octet_length("before"))).alias("o")
+    strings = crowded.select("*", o).withColumns(
+        {"b": F.substring("before", 1, F.col("o")), "a": F.substring("after", 1, SIDE - F.col("o"))}
     )
     key = ["hash", "o", "b", "a"]
-    least = strings.groupBy(*key).agg(F.min("first").alias("least"))
-    bit = F.when(F.col("least") < F.col("first"), F.expr("shiftleft(1L, o)")).otherwise(0)
-    return strings.join(least, key).groupBy("hash", "before", "after", "first").agg(F.bit_or(bit).alias("mask"))
+    of = strings.join(strings.groupBy(*key).agg(F.min("first").alias("smallest")), key)
+    all_ = F.array_sort(F.collect_list(F.struct("o", "smallest")))  # of a piece: seven at most
+    of = of.groupBy("hash", "low", "before", "after").agg(all_.alias("all"))
+    return of.select("hash", "low", "before", "after", F.col("all.smallest").alias("least"))
 
 
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,8 +482,9 @@ def remove_repeats(docs: DataFrame, *, bucket_bytes: int = BUCKET_BYTES) -> Data
     distinct = single.groupBy("hash", "before", "after").agg(F.min("doc_id").alias("first"))
     distinct = materialize(distinct, "contexts")
     crowded = distinct.groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("hash")
-    small = distinct.join(crowded, "hash", "left_anti").repartition("hash").sortWithinPartitions("hash").mapInArrow(lean(order_contexts), MASKS)
-    big = masks_by_rows(distinct.join(crowded, "hash", "left_semi"))
+    small = distinct.join(crowded, "hash", "left_anti").select("hash", "before", "after", "first")
+    small = small.repartition("hash").sortWithinPartitions("hash").mapInArrow(lean(order_contexts), MASKS)
+    big = masks_by_pieces(distinct.join(crowded, "hash", "left_semi"))
     masks = small.unionByName(big.select(*[f.split()[0] for f in MASKS.split(", ")]))
     mark = F.struct(
         "at", F.octet_length("before").alias("n_before"), F.octet_length("after").alias("n_after"), (F.col("doc_id") > F.col("first")).alias("whole"), "mask"

@@ -159,3 +159,36 @@ def test_contexts_of_several_texts():
         at = c["at"]
         assert texts[k].encode()[at - len(c["before"]) : at] == c["before"][::-1]
         assert texts[k].encode()[at + R.GRAM : at + R.GRAM + len(c["after"])] == c["after"]
+
+
+@pytest.mark.parametrize("group", [2, 100])
+def test_masks_of_crowded_anchors(spark, monkeypatch, group):
+    monkeypatch.setattr(R, "GROUP", group)
+    rng = random.Random(group)
+    contexts = {}
+    x, y = b"b" * R.SIDE, b"a" * R.SIDE
+    for _ in range(60):
+        high = rng.randrange(R.SIDE + 1)
+        before, after = bytearray(x[:high]), bytearray(y[: R.SIDE - rng.randrange(high + 1)])
+        for side in (before, after):
+            if side and rng.random() < 0.4:
+                side[rng.randrange(len(side))] ^= rng.randrange(3)
+        contexts[bytes(before), bytes(after)] = rng.randrange(9)
+    rows = [(h, b, a, f) for h in (1, 2) for (b, a), f in contexts.items()]
+    big = spark.createDataFrame([(h, bytearray(b), bytearray(a), f) for h, b, a, f in rows], "hash long, before binary, after binary, first long")
+    got = {(r["hash"], bytes(r["before"]), bytes(r["after"])): r["mask"] for r in R.masks_by_pieces(big).collect()}
+    want = brute_masks([r[1:] for r in rows[: len(rows) // 2]]) * 2
+    assert got == {r[:3]: mask for r, mask in zip(rows, want, strict=True)}
+    assert sum(map(bool, want)) > 40
+
+
+def test_strings_are_exploded_only_where_pieces_crowd(spark, monkeypatch):
+    rows_of = []
+    by_rows = R.firsts_by_rows
+    monkeypatch.setattr(R, "firsts_by_rows", lambda crowded: rows_of.append(crowded.count()) or by_rows(crowded))
+    monkeypatch.setattr(R, "GROUP", 20)
+    # One anchor, 60 contexts that differ in what stands 20 bytes and more before it.
+    rows = [(1, bytearray(b"x" * 20 + bytes([k, k, k])), bytearray(b"y" * R.SIDE), k) for k in range(60)]
+    got = R.masks_by_pieces(spark.createDataFrame(rows, "hash long, before binary, after binary, first long")).collect()
+    assert {r["first"]: r["mask"] for r in got} == {k: (1 << 21) - 1 if k else 0 for k in range(60)}
+    assert rows_of == [0]  # before: each of the 60 contexts, with 24 strings
