@@ -493,3 +493,42 @@ def test_cells_of_long_lines(spark, max_bucket):
     if max_bucket == 1000:
         assert found == expected
     assert found and len(got) == len(found)
+
+
+def test_two_lines_are_dealt_by_line_once(spark):
+    """Only the first member of a pair needs the wider buckets of its line; the second goes to its bucket directly."""
+    rows = [(f"http://a.example/de/{k}163.html", 10) for k in range(1, 5)]
+    plan = dust.likely_rules(size_log(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression [line") == 1
+
+
+@pytest.mark.parametrize("cores", [1, 64])
+def test_pairs_travel_as_one_text(spark, monkeypatch, cores):
+    """A pair takes one text and small numbers to the task of its change, whatever its characters are."""
+    monkeypatch.setattr(dust, "CORES_A_TASK", cores)
+    rng = random.Random(cores)
+    rows = [("".join(rng.choice("aé\n/😀") for _ in range(rng.randint(1, 14))), rng.randint(1, 60)) for _ in range(60)]
+    rules = dust.likely_rules(size_log(spark, rows))
+    assert {(r.alpha, r.beta): r.support for r in rules.collect()} == brute_rules(rows, "full", None)
+    sent = [line for line in rules._jdf.queryExecution().optimizedPlan().toString().splitlines() if "RepartitionByExpression [_core" in line]
+    assert len(sent) == 1
+
+
+def test_rules_are_stored_and_sorted_in_blocks(spark, monkeypatch):
+    """Ranking and the final order, over many small ranges and blocks, give what a plain sort gives."""
+    from crawlflow.operators import ranges
+
+    for name, value in (("ROWS_A_RANGE", 50), ("ROWS_PACKED", 90), ("ROWS_SENT", 7)):
+        monkeypatch.setattr(ranges, name, value)
+    rng = random.Random(4)
+    text = lambda: "".join(rng.choice("abé/") for _ in range(rng.randint(1, 4)))
+    found = {(text(), text()): rng.randint(1, 3) for _ in range(1500)}
+    rules = [(a, b, n) for (a, b), n in found.items() if a != b]
+    frame = spark.createDataFrame(rules, "alpha string, beta string, support long").repartition(5)
+    for order, sign in (("asc", 1), ("desc", -1)):
+        want = sorted(rules, key=lambda r: (sign * r[2], r[0].encode(), r[1].encode()))
+        ranked = dust.ranked_rules(frame, order)
+        assert sorted((r.pos, r.alpha, r.beta, r.support) for r in ranked.collect()) == [(i, *r) for i, r in enumerate(want)]
+        assert ranked.select("_part" if "_part" in ranked.columns else F.spark_partition_id()).distinct().count() > 1
+        got = [(r.beta, r.alpha) for r in dust.eliminate_redundant(ranked).collect()]
+        assert got == sequential(want, replaced)
