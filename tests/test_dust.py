@@ -532,3 +532,26 @@ def test_rules_are_stored_and_sorted_in_blocks(spark, monkeypatch):
         assert ranked.select("_part" if "_part" in ranked.columns else F.spark_partition_id()).distinct().count() > 1
         got = [(r.beta, r.alpha) for r in dust.eliminate_redundant(ranked).collect()]
         assert got == sequential(want, replaced)
+
+
+def test_only_spans_between_common_ends_are_looked_at(spark):
+    """What a rule may come from, against all spans of alpha; alphas of more than 12 characters lose none."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abé") for _ in range(rng.randint(0, n)))
+    rules = [(x + text(3) + y, x + text(3) + y) for x, y in ((text(7), text(7)) for _ in range(200))] + [("", "a"), ("a", ""), ("a", "a")]
+
+    def origins(a, b):
+        found = set()
+        for s in range(len(a)):
+            for e in range(s + 1, len(a) + 1):
+                x, y = a[:s], a[e:]
+                if len(b) >= len(x + y) and b.startswith(x) and b.endswith(y):
+                    found.add((a[s:e], b[len(x) : len(b) - len(y)]))
+        return found - {(a, b)}
+
+    frame = spark.createDataFrame(rules, "alpha string, beta string").withColumn("o", F.expr(dust._origins_sql("intent")))
+    for row in frame.collect():
+        got = [tuple(o) for o in row.o]
+        assert len(got) == len(set(got)) and set(got) == origins(row.alpha, row.beta)
+    plan = frame._jdf.queryExecution().analyzed().toString()
+    assert "_same_end" in plan
